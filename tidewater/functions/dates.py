@@ -106,10 +106,10 @@ def key_date(c) -> Column:
     d = F.element_at(F.split(col(c), "date_", -1), -1)
     d = F.element_at(F.split(F.element_at(F.split(d, "/", -1), 1), "=", -1), -1)
     d = F.when(d.contains("T"), F.substring_index(d, "T", 1)).otherwise(F.substring_index(d, "-", 3))
-    return F.when(col(c).contains("date_"), F.try_to_date(d, F.lit("yyyy-MM-dd")))
+    return F.when(col(c).contains("date_"), F.try_to_date(d, "yyyy-MM-dd"))
 
 
 def name_date(c, prefix_regex: str = r"^tmp_.*\d{8}") -> Column:
     """Date in a temporary table name (first 8-digit run, yyyyMMdd) when the name matches ``prefix_regex``."""
     m = F.regexp_extract(col(c), r"(\d{8})", 1)
-    return F.when(col(c).rlike(prefix_regex), F.try_to_date(m, F.lit("yyyyMMdd")))
+    return F.when(col(c).rlike(prefix_regex), F.try_to_date(m, "yyyyMMdd"))
