@@ -68,10 +68,12 @@ def chunk_lists(chunked: DataFrame, chunk: str, value: str, order: str) -> DataF
     return chunked.groupBy(chunk).agg(F.transform(F.array_sort(F.collect_list(st)), lambda x: x["v"]).alias("items"))
 
 
-def throttle(df: DataFrame, keys: list[str], ts: str, minutes: int = 15, out: str = "should_act") -> DataFrame:
+def throttle(df: DataFrame, keys: list[str], ts: str, minutes: int = 15, out: str = "should_act",
+             tiebreak: str | None = None) -> DataFrame:
     """True when at least ``minutes`` passed since the previous action of the same key (or there was none).
     The previous time is a ``lead`` over descending time, so it runs on the skew-proof scan as well."""
-    d = lead_within(df, keys, [(ts, False)], ts, "_tw_prev")
+    order = [(ts, False)] + ([(tiebreak, False)] if tiebreak else [])
+    d = lead_within(df, keys, order, ts, "_tw_prev")
     ok = F.coalesce(F.col(ts) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes)) >= F.col("_tw_prev"),
                     F.lit(True))
     return d.withColumn(out, ok).drop("_tw_prev")
