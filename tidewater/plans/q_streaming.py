@@ -1 +1,101 @@
-"""Placeholder."""
+"""Streaming operators run over the driver tables as file streams (``availableNow``), with their
+sinks and checkpoints below the shared checkpoint folder; each query returns a batch read of its sink."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.plans.common import t
+from tidewater.plans.registry import query
+from tidewater.session import scratch_path
+from tidewater.streaming import streams as st
+from tidewater.tables import SCHEMAS, table_path
+
+
+def event_stream(spark, sf, max_files: int = 1):
+    """The ``events`` table as a file stream source."""
+    return spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", max_files) \
+        .option("pathGlobFilter", "events.parquet").parquet(sf.rstrip("/"))
+
+
+@query("stream_produce", """
+SELECT 'event-producer' AS producer, event_id, user_id, event_type FROM events
+""")
+def stream_produce(spark, sf):
+    sink, ck = scratch_path(spark, "produce-sink"), scratch_path(spark, "produce-ck")
+    src = event_stream(spark, sf).select("event_id", "user_id", "event_type")
+    q = st.produce(src, "event-producer", sink, ck)
+    q.awaitTermination()
+    msgs = spark.read.parquet(sink)
+    return st.decode_messages(msgs, "event_id BIGINT, user_id BIGINT, event_type STRING")
+
+
+@query("stream_consume", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def stream_consume(spark, sf):
+    out, ck = scratch_path(spark, "consume-out"), scratch_path(spark, "consume-ck")
+    q = st.consume(event_stream(spark, sf), st.idempotent_batch_writer(out), ck)
+    q.awaitTermination()
+    return spark.read.schema(SCHEMAS["events"]).parquet(out).select(*SCHEMAS_EVENTS_COLS)
+
+
+SCHEMAS_EVENTS_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@query("interval_ingest", """
+SELECT event_id, CAST(time_bucket(INTERVAL 5 MINUTE, ts) AS DATE) AS date_,
+       strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%H%M') AS interval FROM events
+""")
+def interval_ingest(spark, sf):
+    out, ck = scratch_path(spark, "interval-out"), scratch_path(spark, "interval-ck")
+    q = st.interval_ingest(event_stream(spark, sf).select("event_id", "ts"), "ts", out, ck)
+    q.awaitTermination()
+    return spark.read.option("basePath", out) \
+        .schema("event_id BIGINT, ts TIMESTAMP_NTZ, interval STRING, date_ DATE, hour INT") \
+        .parquet(out).select("event_id", "date_", "interval")
+
+
+# cache operations from events: a view stores the offer (ttl 2 days), a click reads it, a purchase stores an
+# empty value (never stored)
+def cache_ops(spark, sf):
+    e = t(spark, sf, "events").where(F.col("event_type").isin("view", "click", "purchase"))
+    return e.select(F.col("user_id").cast("string").alias("key"),
+                    F.when(F.col("event_type") == "view", F.get_json_object("props", "$.k")).alias("value"),
+                    F.when(F.col("event_type") == "click", "get").otherwise("set").alias("op"),
+                    "ts", F.lit(172800).alias("ttl"), "event_id")
+
+
+_TTL_AS_OF = "2024-01-30 00:00:00"
+
+
+@query("keyed_ttl_lookup", f"""
+WITH ops AS (SELECT CAST(user_id AS VARCHAR) AS key,
+                    CASE WHEN event_type = 'view' THEN json_extract_string(props, '$.k') END AS value,
+                    CASE WHEN event_type = 'click' THEN 'get' ELSE 'set' END AS op, ts, 172800 AS ttl
+               FROM events WHERE event_type IN ('view', 'click', 'purchase')),
+     s AS (SELECT key, arg_max(value, ts) AS value, MAX(ts) AS set_ts FROM ops
+            WHERE op = 'set' AND value IS NOT NULL GROUP BY key),
+     g AS (SELECT key, MAX(ts) AS touch_ts FROM ops GROUP BY key)
+SELECT s.key, s.value, greatest(s.set_ts, g.touch_ts) + INTERVAL 172800 SECOND AS expires
+  FROM s JOIN g ON s.key = g.key
+ WHERE greatest(s.set_ts, g.touch_ts) + INTERVAL 172800 SECOND > TIMESTAMP '{_TTL_AS_OF}'
+""")
+def keyed_ttl_lookup(spark, sf):
+    """Batch form: last cached offer per user still alive at the as-of time, with renew on read."""
+    return st.ttl_lookup_batch(cache_ops(spark, sf), _TTL_AS_OF, auto_renew=True)
+
+
+@query("keyed_ttl_state")
+def keyed_ttl_state(spark, sf):
+    """Stream form of the same cache: keyed state with TTL via ``applyInPandasWithState``, fed by a file stream of
+    the operations; returns the state snapshot after the last batch."""
+    src_path = scratch_path(spark, "cache-ops")
+    cache_ops(spark, sf).drop("event_id").write.mode("overwrite").parquet(src_path)
+    ops = spark.readStream.schema("key STRING, value STRING, op STRING, ts TIMESTAMP_NTZ, ttl INT") \
+        .option("maxFilesPerTrigger", 4).parquet(src_path)
+    out, ck = scratch_path(spark, "ttl-out"), scratch_path(spark, "ttl-ck")
+    q = st.consume(st.ttl_state(ops, auto_renew=True), st.idempotent_batch_writer(out), ck, output_mode="update")
+    q.awaitTermination()
+    snap = spark.read.parquet(out)
+    # the newest row per key is the state after the final batch
+    latest = snap.groupBy("key").agg(F.max_by(F.struct("value", "expires"), F.col("batch_id")).alias("s"))
+    return latest.select("key", "s.value", "s.expires")
