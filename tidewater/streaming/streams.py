@@ -95,9 +95,12 @@ def interval_ingest(stream: DataFrame, ts_col: str, out_path: str, checkpoint: s
 
 
 def interval_counts(stream: DataFrame, ts_col: str, delay: str = "10 minutes", minutes: int = 5) -> DataFrame:
-    """Messages per interval, emitted once the watermark passes the interval end (append mode)."""
-    return stream.withWatermark(ts_col, delay).groupBy(F.window(F.col(ts_col), f"{minutes} minutes").alias("w")) \
-        .agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("window_start"), "n")
+    """Messages per interval, emitted once the watermark passes the interval end (append mode). Zone-less times are
+    read as UTC for the watermark (event-time columns must be TIMESTAMP)."""
+    et = stream.withColumn("_tw_et", F.col(ts_col).cast("timestamp"))
+    return et.withWatermark("_tw_et", delay).groupBy(F.window(F.col("_tw_et"), f"{minutes} minutes").alias("w")) \
+        .agg(F.count(F.lit(1)).alias("n")) \
+        .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n")
 
 
 def watermark_stream(stream: DataFrame, keys: list[str], ts_col: str, out_path: str, marks_path: str,
