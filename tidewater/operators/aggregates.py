@@ -3,7 +3,7 @@
 All group aggregates are declarative ``groupBy().agg`` so Spark combines map-side before the shuffle (a hot key
 sends one partial row per map task, not its rows). Exact quantiles are the exception Spark has no skew-proof
 built-in for (``percentile`` merges every distinct value of a group in one task), so they are computed by rank:
-a range-partitioned row numbering (see ``sequence``) and a join on the few target ranks per group.
+a range-partitioned running count over pre-aggregated values (see ``sequence``) and the few target ranks per group.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.sequence import row_number_within
+from tidewater.operators.sequence import running_sum_within
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
@@ -35,35 +35,48 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, probs=QUANTILES
     """Exact quantiles with linear interpolation (pandas/``quantile_cont``) per group, or globally with
     ``group=[]``; nulls are skipped. One output column per probability, named by ``qname``.
 
-    Rank r of each value comes from a skew-proof row numbering; for every group and probability p only the ranks
-    floor((n-1)p) and ceil((n-1)p) are fetched, so no group's values are ever gathered in one place.
+    Equal values collapse first into (group, value, multiplicity) rows (a map-side-combined aggregate). A
+    skew-proof running count over those rows in value order gives each distinct value its rank range
+    ``[cum - c, cum)``; joined with one row of target ranks per group (``floor``/``ceil`` of ``(n-1)p``), each
+    target rank picks exactly one value. No group's values are ever gathered in one task.
     """
     base = df.where(F.col(value).isNotNull())
     for g in group:
         base = base.where(F.col(g).isNotNull())
-    base = base.select(*group, value)
-    ranked = row_number_within(base, group, [value], "_tw_rank", num_partitions)
-    counts = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_tw_n")) if group else \
-        base.agg(F.count(F.lit(1)).alias("_tw_n"))
-    targets = []
-    for p in probs:
+    vc = base.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_tw_c"))
+    cum = running_sum_within(vc, group, [value], "_tw_c", "_tw_cum", num_partitions)
+    counts = vc.groupBy(*group).agg(F.sum("_tw_c").alias("_tw_n")) if group else \
+        vc.agg(F.sum("_tw_c").alias("_tw_n"))
+    tcols = []
+    for i, p in enumerate(probs):
         pos = (F.col("_tw_n") - 1).cast("double") * F.lit(float(p))
-        targets.append(F.struct(F.lit(float(p)).alias("p"), pos.alias("pos"),
-                                F.floor(pos).cast("bigint").alias("lo"), F.ceil(pos).cast("bigint").alias("hi")))
-    t = counts.select(*group, F.explode(F.array(*targets)).alias("t")).select(*group, "t.*")
-    wanted = t.select(*group, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("_tw_r0"))
-    wanted = wanted.distinct().withColumn("_tw_rank", F.col("_tw_r0") + 1).drop("_tw_r0")
-    key = group + ["_tw_rank"]
-    hits = ranked.join(wanted, key, "inner").select(*group, (F.col("_tw_rank") - 1).alias("_tw_r0"),
-                                                     F.col(value).alias("_tw_v"))
-    lo = hits.withColumnRenamed("_tw_r0", "lo").withColumnRenamed("_tw_v", "v_lo")
-    hi = hits.withColumnRenamed("_tw_r0", "hi").withColumnRenamed("_tw_v", "v_hi")
-    vals = t.join(lo, group + ["lo"], "inner").join(hi, group + ["hi"], "inner")
-    q = (F.col("v_lo") + (F.col("pos") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo")))
-    vals = vals.select(*group, "p", q.alias("qv"))
-    # pivot on the fixed probability list: one row per group
-    aggs = [F.max(F.when(F.col("p") == float(p), F.col("qv"))).alias(qname(p)) for p in probs]
-    return vals.groupBy(*group).agg(*aggs) if group else vals.agg(*aggs)
+        tcols += [pos.alias(f"_tw_pos{i}"), F.floor(pos).cast("bigint").alias(f"_tw_lo{i}"),
+                  F.ceil(pos).cast("bigint").alias(f"_tw_hi{i}")]
+    targets = counts.select(*group, *tcols)
+    if group:
+        # one row per group; AQE broadcasts it when small and splits a hot group's partition otherwise
+        j = cum.join(targets, group)
+    else:
+        # a single row: a proven size bound
+        j = cum.withColumn("_tw_one", F.lit(1)).join(F.broadcast(targets.withColumn("_tw_one", F.lit(1))), "_tw_one")
+    start, end, v = F.col("_tw_cum") - F.col("_tw_c"), F.col("_tw_cum"), F.col(value)
+    hit = lambda r: (start <= r) & (r < end)
+    any_hit = None
+    for i in range(len(probs)):
+        h = hit(F.col(f"_tw_lo{i}")) | hit(F.col(f"_tw_hi{i}"))
+        any_hit = h if any_hit is None else any_hit | h
+    aggs = []
+    for i in range(len(probs)):
+        aggs += [F.max(F.when(hit(F.col(f"_tw_lo{i}")), v)).alias(f"_tw_vlo{i}"),
+                 F.max(F.when(hit(F.col(f"_tw_hi{i}")), v)).alias(f"_tw_vhi{i}"),
+                 F.max(f"_tw_pos{i}").alias(f"_tw_pos{i}"), F.max(f"_tw_lo{i}").alias(f"_tw_lo{i}")]
+    picked = j.where(any_hit)
+    g = picked.groupBy(*group).agg(*aggs) if group else picked.agg(*aggs)
+    out = []
+    for i, p in enumerate(probs):
+        lo_v, hi_v = F.col(f"_tw_vlo{i}"), F.col(f"_tw_vhi{i}")
+        out.append((lo_v + (F.col(f"_tw_pos{i}") - F.col(f"_tw_lo{i}")) * (hi_v - lo_v)).alias(qname(p)))
+    return g.select(*group, *out)
 
 
 def group_quantiles_fallback(df: DataFrame, group: str, value: str, distinct_of: str, min_distinct: int = 10,

@@ -77,7 +77,7 @@ def _boundary_schema(df: DataFrame, keys: list[str], value: str | None) -> T.Str
     return T.StructType(fields)
 
 
-def _boundaries(keys: list[str], value: str | None):
+def _boundaries(keys: list[str], value: str | None, weight: str | None = None):
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pid = None
         first = last = None
@@ -99,7 +99,7 @@ def _boundaries(keys: list[str], value: str | None):
             last_gid = gid.iloc[-1]
             tail = b[gid == last_gid]
             continues = last_gid == 0
-            n_last = (n_last if continues else 0) + len(tail)
+            n_last = (n_last if continues else 0) + (int(tail[weight].sum()) if weight else len(tail))
             if value is not None:
                 vals = tail[value].dropna()
                 if len(vals):
@@ -166,12 +166,12 @@ def _carries(bounds: DataFrame, keys: list[str], value: str | None, want: str) -
 
 
 def _scan(df: DataFrame, keys: list[str], order: Sequence, value: str | None, out: str, want: str,
-          num_partitions: int | None, out_type: T.DataType) -> DataFrame:
+          num_partitions: int | None, out_type: T.DataType, weight: str | None = None) -> DataFrame:
     n = _partitions(df, num_partitions)
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + _order_cols(order)
     ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols) \
         .withColumn(PID, F.spark_partition_id())
-    bounds = ranged.mapInPandas(_boundaries(keys, value if want != "rownum" else None),
+    bounds = ranged.mapInPandas(_boundaries(keys, value if want != "rownum" else None, weight),
                                 _boundary_schema(df, keys, value if want != "rownum" else None))
     carry = _carries(bounds, keys, value, want)
     # one row per partition: a proven size bound, so the broadcast is safe at any data size
@@ -223,7 +223,7 @@ def _scan(df: DataFrame, keys: list[str], order: Sequence, value: str | None, ou
                 elif starts.iloc[-1] or gid.iloc[-1] > 0:
                     state = None
             else:
-                rn = b.groupby(gid).cumcount() + 1
+                rn = b[weight].groupby(gid).cumsum().astype("int64") if weight else b.groupby(gid).cumcount() + 1
                 if state is not None and not starts.iloc[0]:
                     rn = rn + (gid == 0) * state
                 b[out] = rn
@@ -259,3 +259,14 @@ def row_number_within(df: DataFrame, keys: list[str], order: Sequence, out: str,
         res = _scan(df, ["_tw_all"], order, None, out, "rownum", num_partitions, T.LongType())
         return res.drop("_tw_all")
     return _scan(df, keys, order, None, out, "rownum", num_partitions, T.LongType())
+
+
+def running_sum_within(df: DataFrame, keys: list[str], order: Sequence, weight: str, out: str,
+                       num_partitions: int | None = None) -> DataFrame:
+    """``sum(weight) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED PRECEDING)`` for a non-negative integer
+    weight (e.g. the row count behind a pre-aggregated value); ``keys=[]`` runs over the whole frame."""
+    if not keys:
+        df = df.withColumn("_tw_all", F.lit(0))
+        return _scan(df, ["_tw_all"], order, None, out, "rownum", num_partitions, T.LongType(), weight) \
+            .drop("_tw_all")
+    return _scan(df, keys, order, None, out, "rownum", num_partitions, T.LongType(), weight)

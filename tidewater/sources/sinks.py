@@ -70,7 +70,7 @@ def existing_days(spark: SparkSession, out_path: str, day_col: str = "day") -> D
 
 
 def export_daily_incremental(df: DataFrame, ts_col: str, start: str | datetime, end: str | datetime, out_path: str,
-                             day_col: str = "day") -> None:
+                             day_col: str = "day", files_per_day: int = 2) -> None:
     """Export ``[start, end)`` as one output partition per day, skipping days that were already written.
 
     A single job: the range filter reaches the scan, days present in the output are removed by a left-anti join on
@@ -84,7 +84,10 @@ def export_daily_incremental(df: DataFrame, ts_col: str, start: str | datetime,
     done = existing_days(spark, out_path, day_col)
     if done is not None:
         sel = sel.join(done, day_col, "left_anti")
-    sel.write.mode("append").partitionBy(day_col).parquet(out_path)
+    # cluster by day (plus a row-hash salt so a heavy day is still written by several tasks): a few files per day
+    # instead of one file per day per input partition
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in sel.columns]), F.lit(files_per_day))
+    sel.repartition(F.col(day_col), salt).write.mode("append").partitionBy(day_col).parquet(out_path)
 
 
 def compact_files(spark: SparkSession, src: str, dst: str, num_files: int = 1) -> None:
