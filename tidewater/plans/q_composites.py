@@ -231,6 +231,21 @@ def heavy_query_report(spark, sf):
     return spark.read.parquet(out).select("id", "query_id", "state", "scanned_bytes", "engine_ms", "submitted")
 
 
+@query("query_stats_export", _QH_SQL + """
+SELECT CAST(row_number() OVER (ORDER BY QueryExecutionId) - 1 AS BIGINT) AS id, QueryExecutionId AS query_id, state,
+       scanned AS scanned_bytes, COALESCE(engine_ms, -1) AS engine_ms, db AS database
+  FROM qh
+""")
+def query_stats_export(spark, sf):
+    """The whole query history flattened (missing numbers as -1), numbered in id order and exported to Parquet."""
+    flat = flatten_nested(_query_history(spark, sf), {
+        "query_id": "QueryExecutionId", "state": "Status.State", "scanned_bytes": "Statistics.DataScannedInBytes",
+        "engine_ms": "Statistics.EngineExecutionTimeInMillis", "database": "QueryExecutionContext.Database"})
+    out = scratch_path(spark, "query-stats-all")
+    sinks.export_table(assign_ids(flat, ["query_id"], "id"), out, "parquet")
+    return spark.read.parquet(out).select("id", "query_id", "state", "scanned_bytes", "engine_ms", "database")
+
+
 _CFG_VALUES = ", ".join(f"('{a}', '{b}', '{c}', '{v}')" for a, b, c, v in flatten_config(EVENT_CONFIG))
 
 

@@ -223,14 +223,23 @@ def any_null_filter(spark, sf):
     return op.any_null_filter(c, ["c_name", "seg"])
 
 
-@query("remove_empty_elements")
+@query("remove_empty_elements", """
+WITH r AS (SELECT l_orderkey, to_json(list({'n': l_linenumber, 'flag': l_returnflag} ORDER BY l_linenumber, l_returnflag))
+                  AS returns FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey),
+     p AS (SELECT o.o_orderkey, concat_ws(',',
+             CASE WHEN o.o_orderpriority <> '5-LOW' THEN '"priority":"' || o.o_orderpriority || '"' END,
+             CASE WHEN r.returns IS NOT NULL THEN '"returns":' || r.returns END,
+             CASE WHEN o.o_orderstatus <> 'F' THEN '"meta":{"status":"' || o.o_orderstatus || '"}' END) AS parts
+             FROM orders o LEFT JOIN r ON r.l_orderkey = o.o_orderkey)
+SELECT o_orderkey, CASE WHEN parts = '' THEN '[]' ELSE '{' || parts || '}' END AS doc_json FROM p
+""")
 def remove_empty_elements(spark, sf):
     """Per order, a nested document with optional parts: null priority, empty line lists and all-empty structs
     are removed recursively before writing JSON."""
     o = t(spark, sf, "orders")
     li = t(spark, sf, "lineitem")
-    lines = li.where("l_returnflag = 'R'").groupBy("l_orderkey").agg(
-        F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("flag"))).alias("returns"))
+    lines = li.where("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.array_sort(
+        F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("flag")))).alias("returns"))
     doc = o.join(lines, o.o_orderkey == lines.l_orderkey, "left").select(
         "o_orderkey",
         F.struct(F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"),

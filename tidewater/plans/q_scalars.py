@@ -22,7 +22,13 @@ def fn_camel_to_snake(spark, sf):
     return t(spark, sf, "conversations").select("conv_id", "turn", tf.camel_to_snake("text").alias("snake"))
 
 
-@query("fn_snake_to_camel")
+@query("fn_snake_to_camel", """
+SELECT p_partkey, replace(p_name, ' ', '_') AS snake,
+       array_to_string(list_transform(string_split(replace(p_name, ' ', '_'), '_'),
+                       lambda x, i: CASE WHEN i = 1 THEN x ELSE upper(substr(x, 1, 1)) || lower(substr(x, 2)) END), '')
+       AS camel
+  FROM part
+""")
 def fn_snake_to_camel(spark, sf):
     p = t(spark, sf, "part").select("p_partkey", F.regexp_replace("p_name", " ", "_").alias("snake"))
     return p.select("p_partkey", "snake", tf.snake_to_camel("snake").alias("camel"))
@@ -112,22 +118,46 @@ def fn_join_path(spark, sf):
                     .alias("path"))
 
 
-@query("fn_strip_env_prefix")
+@query("fn_strip_env_prefix", """
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'test_' WHEN doc_id % 3 = 1 THEN 'poc_' ELSE '' END || source ||
+                  CASE WHEN doc_id % 2 = 0 THEN '/' || lang ELSE '' END AS template FROM documents),
+     s AS (SELECT doc_id, template, split_part(template, '/', 1) AS db,
+                  substr(template, length(split_part(template, '/', 1)) + 2) AS rest FROM d),
+     x AS (SELECT *, len(string_split(db, '_')) > 1 AND db NOT IN ('poc_src1', 'test_src2') AS strip,
+                  array_to_string(string_split(db, '_')[2:], '_') AS stripped FROM s),
+     y AS (SELECT doc_id, template,
+                  CASE WHEN template = '' THEN ''
+                       WHEN strip THEN CASE WHEN stripped <> template AND contains(template, '/')
+                                             AND split_part(template, '/', 2) <> '' THEN stripped || '/' || rest
+                                            ELSE stripped END
+                       ELSE template END AS path FROM x)
+SELECT doc_id, template, CASE WHEN ends_with(path, '/') THEN path ELSE path || '/' END AS path FROM y
+""")
 def fn_strip_env_prefix(spark, sf):
     """Template paths derived from document sources: prefixed, plain, known and nested forms."""
     d = t(spark, sf, "documents").select("doc_id", F.concat(
         F.when(F.col("doc_id") % 3 == 0, F.lit("test_")).when(F.col("doc_id") % 3 == 1, F.lit("poc_"))
         .otherwise(F.lit("")), F.col("source"),
         F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("/"), F.col("lang"))).otherwise(F.lit(""))).alias("template"))
-    return d.select("doc_id", "template", tf.strip_env_prefix("template", ["src1", "src2"]).alias("path"))
-
-
-@query("fn_capacity_percent")
+    return d.select("doc_id", "template", tf.strip_env_prefix("template", ["poc_src1", "test_src2"]).alias("path"))
+
+
+@query("fn_capacity_percent", """
+WITH r AS (SELECT s_suppkey, 'Raw data size: ' || CAST(CAST(floor(abs(s_acctbal)) AS BIGINT) % 10 AS VARCHAR) ||
+                  '.5TB +/- 0.1TB' || chr(10) || 'License size: 12.5TB' AS report, s_nationkey * 10 AS ext FROM supplier),
+     p AS (SELECT s_suppkey, report, ext,
+                  CAST(trunc(CAST(replace(string_split(string_split(report, chr(10))[1], ' ')[4], 'TB', '') AS DOUBLE)
+                             * 1024) AS BIGINT) AS used,
+                  CAST(trunc(CAST(replace(string_split(string_split(report, chr(10))[2], ' ')[-1], 'TB', '') AS DOUBLE)
+                             * 1024) AS BIGINT) AS total FROM r)
+SELECT s_suppkey, report, CAST(trunc((used - ext) / total * 100) AS BIGINT) AS percent FROM p
+""")
 def fn_capacity_percent(spark, sf):
     """Two-line licence reports built from supplier balances: used TB on line 1, licence TB on line 2."""
     s = t(spark, sf, "supplier").select("s_suppkey", F.concat(
-        F.lit("Raw data size: "), F.format_number(F.abs(F.col("s_acctbal")) / 1000, 2), F.lit("TB +/- 0.1TB\n"),
-        F.lit("License size: 12.5TB")).alias("report"), (F.col("s_nationkey") * 10).alias("external_gb"))
+        F.lit("Raw data size: "), (F.floor(F.abs(F.col("s_acctbal"))).cast("bigint") % 10).cast("string"),
+        F.lit(".5TB +/- 0.1TB\n"), F.lit("License size: 12.5TB")).alias("report"),
+        (F.col("s_nationkey") * 10).alias("external_gb"))
     return s.select("s_suppkey", "report", tf.capacity_percent("report", "external_gb").alias("percent"))
 
 
@@ -325,12 +355,19 @@ def fn_json_value(spark, sf):
     return t(spark, sf, "events").select("event_id", tf.json_value("props", "$.k").alias("offer"))
 
 
-@query("fn_parse_json")
+@query("fn_parse_json", "SELECT event_id, CAST(json(props) AS VARCHAR) AS props_json FROM events")
 def fn_parse_json(spark, sf):
     return t(spark, sf, "events").select("event_id", tf.parse_json_text("props").alias("props_json"))
 
 
-@query("fn_to_json_compact")
+@query("fn_to_json_compact", """
+SELECT c_custkey,
+       CASE WHEN c_mktsegment = 'BUILDING' AND NOT c_acctbal > 0 THEN '[]'
+            WHEN c_mktsegment = 'BUILDING' THEN '{"nations":[' || CAST(c_nationkey AS VARCHAR) || ']}'
+            WHEN NOT c_acctbal > 0 THEN '{"segment":"' || c_mktsegment || '"}'
+            ELSE '{"segment":"' || c_mktsegment || '","nations":[' || CAST(c_nationkey AS VARCHAR) || ']}' END AS json
+  FROM customer
+""")
 def fn_to_json_compact(spark, sf):
     c = t(spark, sf, "customer").select("c_custkey", F.struct(
         F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"),
@@ -350,7 +387,15 @@ def fn_json_round_trip(spark, sf):
     return back.select("o_orderkey", "doc.status", "doc.total", "doc.ordered")
 
 
-@query("fn_polygon_wkt")
+@query("fn_polygon_wkt", """
+WITH p AS (SELECT l_orderkey, list([CAST(l_linenumber AS DOUBLE), l_quantity] ORDER BY l_linenumber, l_quantity) AS ring
+             FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey,
+       'POLYGON((' || array_to_string(list_transform(list_concat(ring, [ring[1]]),
+                        lambda x: CAST(x[2] AS VARCHAR) || ' ' || CAST(x[1] AS VARCHAR)), ',') || '))' AS wkt,
+       len(ring) + 1 >= 4 AS valid
+  FROM p
+""")
 def fn_polygon_wkt(spark, sf):
     """Per order, a ring of (line number, quantity) points closed on its first point, as JSON text; orders with an
     even key nest the ring one level deeper (both input forms of the source)."""
