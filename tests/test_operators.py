@@ -161,18 +161,22 @@ def test_top_sum_and_missing(spark):
     assert sorted(r[0] for r in agg.missing_values(nums, "v").collect()) == [6]
 
 
-def test_exact_quantiles_match_pandas(spark):
+@pytest.mark.parametrize("max_distinct", [1_000_000, 100, 0])
+def test_exact_quantiles_match_pandas(spark, max_distinct):
+    # max_distinct=100 sends only the hot group through the rank scan, 0 sends every group
     import random
     rnd = random.Random(3)
-    rows = [("hot" if i % 3 else f"g{i % 7}", rnd.random() * 100 if i % 13 else None) for i in range(900)]
+    rows = [("hot" if i % 3 else f"g{i % 7}", round(rnd.random() * 100, 1) if i % 13 else None) for i in range(900)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r for r in agg.exact_quantiles(df, ["g"], "v", num_partitions=11).collect()}
+    got = {r.g: r for r in agg.exact_quantiles(df, ["g"], "v", num_partitions=11, max_distinct=max_distinct).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v"])
+    assert set(got) == set(pdf.g)
     for g, sub in pdf.groupby("g"):
         for p in agg.QUANTILES:
             assert got[g][agg.qname(p)] == pytest.approx(sub["v"].quantile(p), rel=1e-12)
-    glob = agg.exact_quantiles(df, [], "v").first()
-    assert glob[agg.qname(0.5)] == pytest.approx(pdf["v"].quantile(0.5))
+    glob = agg.exact_quantiles(df, [], "v", max_distinct=max_distinct).first()
+    for p in agg.QUANTILES:
+        assert glob[agg.qname(p)] == pytest.approx(pdf["v"].quantile(p), rel=1e-12)
 
 
 def test_group_quantiles_fallback(spark):

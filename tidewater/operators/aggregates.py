@@ -30,20 +30,53 @@ def group_count_distinct(df: DataFrame, group: list[str], value: str, out: str =
     return df.where(keep).groupBy(*group).agg(F.countDistinct(value).alias(out))
 
 
+# Per-group distinct-value bound under which Spark's exact ``percentile`` (whose final merge holds one group's
+# value -> count map in one task) is used; groups above it take the rank scan.
+PERCENTILE_MAX_DISTINCT = 1_000_000
+
+
 def exact_quantiles(df: DataFrame, group: list[str], value: str, probs=QUANTILES,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, max_distinct: int = PERCENTILE_MAX_DISTINCT) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas/``quantile_cont``) per group, or globally with
     ``group=[]``; nulls are skipped. One output column per probability, named by ``qname``.
 
-    Equal values collapse first into (group, value, multiplicity) rows (a map-side-combined aggregate). A
-    skew-proof running count over those rows in value order gives each distinct value its rank range
-    ``[cum - c, cum)``; joined with one row of target ranks per group (``floor``/``ceil`` of ``(n-1)p``), each
-    target rank picks exactly one value. No group's values are ever gathered in one task.
+    Equal values collapse first into (group, value, multiplicity) rows (a map-side-combined aggregate), and the
+    number of distinct values of every group is counted. Groups with at most ``max_distinct`` distinct values use
+    Spark's exact ``percentile`` with the multiplicities as frequencies: its merge buffer is then bounded. Larger
+    groups go through ``_quantiles_by_rank``, which never gathers a group in one task. The split is decided per
+    group at run time, inside the plan.
     """
     base = df.where(F.col(value).isNotNull())
     for g in group:
         base = base.where(F.col(g).isNotNull())
-    vc = base.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_tw_c"))
+    key = list(group) if group else ["_tw_all"]
+    if not group:
+        base = base.withColumn("_tw_all", F.lit(0))
+    vc = base.groupBy(*key, value).agg(F.count(F.lit(1)).alias("_tw_c"))
+    sizes = vc.groupBy(*key).agg(F.count(F.lit(1)).alias("_tw_d"))
+    # the size check: one scalar (the largest per-group distinct count) comes back to the driver
+    largest = sizes.agg(F.max("_tw_d")).first()[0] or 0
+
+    def fast(rows: DataFrame) -> DataFrame:
+        pct = rows.groupBy(*key).agg(
+            F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs]), F.col("_tw_c")).alias("_tw_q"))
+        return pct.select(*key, *[F.col("_tw_q")[i].alias(qname(p)) for i, p in enumerate(probs)])
+
+    if largest <= max_distinct:
+        out = fast(vc)
+    else:
+        # one row per group (the global case: a single row, a proven bound)
+        flagged = vc.join(F.broadcast(sizes) if not group else sizes, key)
+        small = flagged.where(F.col("_tw_d") <= max_distinct).drop("_tw_d")
+        big = flagged.where(F.col("_tw_d") > max_distinct).drop("_tw_d")
+        out = fast(small).unionByName(_quantiles_by_rank(big, key, value, probs, num_partitions))
+    return out.drop("_tw_all") if not group else out
+
+
+def _quantiles_by_rank(vc: DataFrame, group: list[str], value: str, probs, num_partitions: int | None) -> DataFrame:
+    """Quantiles from (group, value, ``_tw_c`` multiplicity) rows without a per-group merge: a skew-proof running
+    count in value order gives each distinct value its rank range ``[cum - c, cum)``; joined with one row of target
+    ranks per group (``floor``/``ceil`` of ``(n-1)p``), each target rank picks exactly one value."""
     cum = running_sum_within(vc, group, [value], "_tw_c", "_tw_cum", num_partitions)
     counts = vc.groupBy(*group).agg(F.sum("_tw_c").alias("_tw_n")) if group else \
         vc.agg(F.sum("_tw_c").alias("_tw_n"))
