@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as se  # noqa: E402
-from oracle_check import digest  # noqa: E402
+from oracle_check import digest, duck_type_name  # noqa: E402
 from tidewater.tables import TABLES, table_path  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -49,7 +49,9 @@ def test_query_matches_oracle(spark, duck, name):
         return
     cur = duck.execute(SQL[name])
     ocols = [d[0] for d in cur.description]
+    otypes = {d[0]: str(d[1]) for d in cur.description}
     orows = cur.fetchall()
     assert sorted(cols) == sorted(ocols)
+    assert {f.name: duck_type_name(f.dataType) for f in df.schema.fields} == otypes
     assert len(rows) == len(orows)
     assert digest(cols, rows) == digest(ocols, orows)

@@ -87,7 +87,7 @@ def max_of_group_sums(spark, sf):
 
 @query("top_sum_group", """
 SELECT user_id, total FROM (
-  SELECT user_id, SUM(CAST(round(value * 100) AS BIGINT)) AS total, MIN(event_id) AS first_pos
+  SELECT user_id, CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total, MIN(event_id) AS first_pos
     FROM events GROUP BY user_id)
  ORDER BY total DESC, first_pos DESC LIMIT 1
 """)
@@ -117,20 +117,21 @@ def missing_values(spark, sf):
 
 
 @query("length_histogram", """
-SELECT length(text) AS key_length, COUNT(*) AS n_keys FROM documents GROUP BY length(text)
+SELECT CAST(length(text) AS INTEGER) AS key_length, COUNT(*) AS n_keys FROM documents GROUP BY length(text)
 """)
 def length_histogram(spark, sf):
     return op.length_histogram(t(spark, sf, "documents"), "text")
 
 
-@query("large_keys", "SELECT doc_id, length(text) AS key_length FROM documents WHERE length(text) > 5000")
+@query("large_keys", "SELECT doc_id, CAST(length(text) AS INTEGER) AS key_length FROM documents "
+                     "WHERE length(text) > 5000")
 def large_keys(spark, sf):
     return op.large_keys(t(spark, sf, "documents"), "text").select("doc_id", F.length("text").alias("key_length"))
 
 
 @query("json_group_concat", """
-SELECT l_orderkey, to_json(list({'l_linenumber': l_linenumber, 'l_partkey': l_partkey, 'l_returnflag': l_returnflag}
-                                ORDER BY l_linenumber, l_partkey, l_returnflag)) AS columns
+SELECT l_orderkey, CAST(to_json(list({'l_linenumber': l_linenumber, 'l_partkey': l_partkey, 'l_returnflag': l_returnflag}
+                                ORDER BY l_linenumber, l_partkey, l_returnflag)) AS VARCHAR) AS columns
   FROM lineitem GROUP BY l_orderkey
 """)
 def json_group_concat(spark, sf):

@@ -177,12 +177,12 @@ WITH cols AS (
     FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
    WHERE o.o_orderpriority <> '5-LOW')
 SELECT table_name,
-       to_json(list({'name': name, 'data_type': data_type,
+       CAST(to_json(list({'name': name, 'data_type': data_type,
                      'data_length': CASE WHEN data_type = 'varchar' THEN CAST(CAST(l_quantity AS INT) * 10 AS VARCHAR)
                                          WHEN data_type = 'text' THEN '4000' WHEN data_type = 'decimal' THEN '(12,2)'
                                          ELSE '' END,
                      'ordinal_position': ordinal_position, 'column_key': column_key}
-                    ORDER BY ordinal_position, name, data_type, l_quantity)) AS columns
+                    ORDER BY ordinal_position, name, data_type, l_quantity)) AS VARCHAR) AS columns
   FROM cols GROUP BY table_name
 """)
 def mariadb_schema_dump(spark, sf):

@@ -89,7 +89,7 @@ def lateral_unnest(spark, sf):
 @query("cross_product", """
 SELECT n_nationkey, hour, flag
   FROM nation
-  CROSS JOIN (SELECT unnest(range(0, 24)) AS hour)
+  CROSS JOIN (SELECT CAST(unnest(range(0, 24)) AS INTEGER) AS hour)
   CROSS JOIN (SELECT unnest([0, 1]) AS flag)
 """)
 def cross_product(spark, sf):
@@ -213,7 +213,7 @@ _RULE_VALUES = ", ".join(
 
 @query("alert_routing", f"""
 WITH alerts AS (SELECT event_id, event_type AS dag_id, 'task_' || CAST(user_id % 4 AS VARCHAR) AS task_id,
-                       hour(ts) AS hour FROM events),
+                       CAST(hour(ts) AS INTEGER) AS hour FROM events),
      rules(dag_id, task_id, hour_from, hour_to) AS (VALUES {_RULE_VALUES})
 SELECT a.event_id, a.dag_id, a.task_id, a.hour FROM alerts a
  WHERE EXISTS (SELECT 1 FROM rules r WHERE r.dag_id = a.dag_id AND (r.task_id = a.task_id OR a.task_id IN ('task_0'))

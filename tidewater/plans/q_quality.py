@@ -29,7 +29,7 @@ def _checks(spark, sf):
 
 _CHECKS_SQL = """
 SELECT 'orders_recent_not_empty' AS task_id, CAST(COUNT(*) FILTER (WHERE o_orderdate >= TIMESTAMP '2001-01-01') AS DOUBLE)
-       AS value, 0.0 AS threshold,
+       AS value, CAST(0.0 AS DOUBLE) AS threshold,
        COALESCE(COUNT(*) FILTER (WHERE o_orderdate >= TIMESTAMP '2001-01-01') > 0, FALSE) AS passed FROM orders
 UNION ALL
 SELECT 'orders_no_null_fields', CAST(v AS DOUBLE), 0.0, COALESCE(v < 0, FALSE)
@@ -58,7 +58,8 @@ def threshold_checks(spark, sf):
 
 @query("health_checks", """
 SELECT 'orders_all_finished' AS task_id, CAST(COUNT(*) FILTER (WHERE o_orderstatus <> 'F') AS DOUBLE) AS value,
-       0.0 AS threshold, COUNT(*) FILTER (WHERE o_orderstatus <> 'F') = 0 AS passed, 'exact' AS check_type FROM orders
+       CAST(0.0 AS DOUBLE) AS threshold, COUNT(*) FILTER (WHERE o_orderstatus <> 'F') = 0 AS passed,
+       'exact' AS check_type FROM orders
 UNION ALL
 SELECT 'max_lines_per_order', CAST(MAX(n) AS DOUBLE), 7.0, MAX(n) <= 7 AND MAX(n) >= 0, 'range'
   FROM (SELECT COUNT(*) AS n FROM lineitem GROUP BY l_orderkey)
