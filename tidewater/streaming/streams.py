@@ -88,7 +88,9 @@ def interval_ingest(stream: DataFrame, ts_col: str, out_path: str, checkpoint: s
     # directories per day and hour (a directory per 5-minute interval would mean 288 small-file directories a day);
     # one interval is then read by partition pruning plus a filter on the interval column. The file sink's metadata
     # log makes the output exactly-once across restarts.
-    out = out.repartition(F.col("date_"), F.col("hour"))
+    # plus a deterministic row-hash salt: a heavy hour is written by several tasks, at most 4 files per batch
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in stream.columns]), F.lit(4))
+    out = out.repartition(F.col("date_"), F.col("hour"), salt)
     w = out.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint) \
         .partitionBy("date_", "hour").outputMode("append")
     return _trigger(w, trigger).start()
