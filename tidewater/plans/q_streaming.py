@@ -50,7 +50,7 @@ def interval_ingest(spark, sf):
     q = st.interval_ingest(event_stream(spark, sf).select("event_id", "ts"), "ts", out, ck)
     q.awaitTermination()
     return spark.read.option("basePath", out) \
-        .schema("event_id BIGINT, ts TIMESTAMP_NTZ, interval STRING, date_ DATE, hour INT") \
+        .schema("event_id BIGINT, ts TIMESTAMP_NTZ, interval STRING, date_ DATE") \
         .parquet(out).select("event_id", "date_", "interval")
 
 

@@ -83,16 +83,15 @@ def interval_ingest(stream: DataFrame, ts_col: str, out_path: str, checkpoint: s
     """Append every message under ``date_=<day>/interval=<HHmm>`` of its interval start. No aggregation, so no
     state and no watermark are needed; an interval without messages creates no output."""
     start = F.window(F.col(ts_col), f"{minutes} minutes").start.cast("timestamp_ntz")
-    out = stream.withColumn("date_", F.to_date(start)).withColumn("hour", F.hour(start)) \
-        .withColumn("interval", F.date_format(start, "HHmm"))
-    # directories per day and hour (a directory per 5-minute interval would mean 288 small-file directories a day);
-    # one interval is then read by partition pruning plus a filter on the interval column. The file sink's metadata
-    # log makes the output exactly-once across restarts.
-    # plus a deterministic row-hash salt: a heavy hour is written by several tasks, at most 4 files per batch
+    out = stream.withColumn("date_", F.to_date(start)).withColumn("interval", F.date_format(start, "HHmm"))
+    # one dated directory per day with the interval as a column (a directory per 5-minute interval would mean 288
+    # small-file directories a day); one interval is read by partition pruning on the day plus a filter on the
+    # interval column. A deterministic row-hash salt lets a heavy day be written by several tasks (at most 4 files
+    # per day and batch). The file sink's metadata log makes the output exactly-once across restarts.
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in stream.columns]), F.lit(4))
-    out = out.repartition(F.col("date_"), F.col("hour"), salt)
+    out = out.repartition(F.col("date_"), salt)
     w = out.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint) \
-        .partitionBy("date_", "hour").outputMode("append")
+        .partitionBy("date_").outputMode("append")
     return _trigger(w, trigger).start()
 
 
