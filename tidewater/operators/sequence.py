@@ -171,6 +171,9 @@ def _scan(df: DataFrame, keys: list[str], order: Sequence, value: str | None, ou
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + _order_cols(order)
     ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols) \
         .withColumn(PID, F.spark_partition_id())
+    # The boundary pass must read the very same range exchange as the main pass (Spark reuses it, so the data is
+    # shuffled once and both passes see identical partition bounds). Projecting columns away here would let
+    # Catalyst push the projection below the exchange and plan a second, separately sampled one.
     bounds = ranged.mapInPandas(_boundaries(keys, value if want != "rownum" else None, weight),
                                 _boundary_schema(df, keys, value if want != "rownum" else None))
     carry = _carries(bounds, keys, value, want)
