@@ -168,6 +168,9 @@ def _carries(bounds: DataFrame, keys: list[str], value: str | None, want: str) -
 def _scan(df: DataFrame, keys: list[str], order: Sequence, value: str | None, out: str, want: str,
           num_partitions: int | None, out_type: T.DataType, weight: str | None = None) -> DataFrame:
     n = _partitions(df, num_partitions)
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # both passes must read one range exchange; two exchanges would sample their bounds independently
+        raise ValueError("ordered scans need spark.sql.exchange.reuse=true")
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + _order_cols(order)
     ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols) \
         .withColumn(PID, F.spark_partition_id())
