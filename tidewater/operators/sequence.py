@@ -145,16 +145,18 @@ def _carries(bounds: DataFrame, keys: list[str], value: str | None, want: str) -
         payload = F.struct(F.col("n_last_group").alias("v"))
         offer_keys, ask_keys, offer_kind, ask_kind = last, first, 1, 0
     ptype = bounds.select(payload.alias("p")).schema["p"].dataType
-    offer = F.struct(F.col(PID).alias(PID), *offer_keys, payload.alias("payload"), F.lit(offer_kind).alias("kind"))
+    # the ask row also carries the partition's row count, which the main pass checks against what it reads
+    offer = F.struct(F.col(PID).alias(PID), *offer_keys, payload.alias("payload"), F.lit(offer_kind).alias("kind"),
+                     F.lit(None).cast("bigint").alias("_tw_nrows"))
     ask = F.struct(F.col(PID).alias(PID), *ask_keys, F.lit(None).cast(ptype).alias("payload"),
-                   F.lit(ask_kind).alias("kind"))
+                   F.lit(ask_kind).alias("kind"), F.col("n_rows").alias("_tw_nrows"))
     rows = bounds.select(F.explode(F.array(offer, ask)).alias("r")).select("r.*")
     order = Window.partitionBy(*keys).orderBy(F.col(PID), F.col("kind"))
     if want == "lead":
         carry = F.first("payload", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
         got = rows.withColumn("c", carry)
         return got.where(F.col("kind") == ask_kind).select(
-            F.col(PID), F.col("c.v").alias("_tw_carry"), F.col("c").isNotNull().alias("_tw_has_carry"))
+            F.col(PID), F.col("c.v").alias("_tw_carry"), F.col("c").isNotNull().alias("_tw_has_carry"), "_tw_nrows")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     if want == "ffill":
         carry = F.last("payload", ignorenulls=True).over(before).getField("v")
@@ -162,7 +164,7 @@ def _carries(bounds: DataFrame, keys: list[str], value: str | None, want: str) -
         carry = F.sum(F.col("payload").getField("v")).over(before)
     got = rows.withColumn("c", carry)
     return got.where(F.col("kind") == ask_kind).select(
-        F.col(PID), F.col("c").alias("_tw_carry"), F.col("c").isNotNull().alias("_tw_has_carry"))
+        F.col(PID), F.col("c").alias("_tw_carry"), F.col("c").isNotNull().alias("_tw_has_carry"), "_tw_nrows")
 
 
 def _scan(df: DataFrame, keys: list[str], order: Sequence, value: str | None, out: str, want: str,
@@ -191,11 +193,14 @@ def _scan(df: DataFrame, keys: list[str], order: Sequence, value: str | None, ou
         held = None               # lead: last row of the previous batch, waiting for its successor
         started = False
         carry = has_carry = None
+        expected, seen = None, 0
         for b in batches:
             if b.empty:
                 continue
+            seen += len(b)
             if not started:
                 carry, has_carry = b["_tw_carry"].iloc[0], bool(b["_tw_has_carry"].iloc[0])
+                expected = b["_tw_nrows"].iloc[0]
                 started = True
                 if want in ("ffill", "rownum") and has_carry:
                     prev_keys = tuple(b[keys].iloc[0])
@@ -236,6 +241,9 @@ def _scan(df: DataFrame, keys: list[str], order: Sequence, value: str | None, ou
                 state = int(rn.iloc[-1])
             prev_keys = tuple(kb.iloc[-1])
             yield b
+        if started and (pd.isna(expected) or int(expected) != seen):
+            # the boundary pass saw a different partitioning: never emit results built on wrong carries
+            raise RuntimeError(f"ordered scan: partition has {seen} rows, boundary pass recorded {expected}")
         if want == "lead" and held is not None:
             h = held.copy()
             h[out] = carry if has_carry else None
