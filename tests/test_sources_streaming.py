@@ -81,6 +81,36 @@ def test_write_partitioned_dynamic_and_rollup(spark, tmp):
     assert len([d for d in os.listdir(f"{dst}/date_=2022-01-01") if d.startswith("hour=")]) == 1
 
 
+def test_listing_and_mtime_retention(spark, tmp):
+    for sub in ("a", "b"):
+        spark.range(3).coalesce(1).write.parquet(f"{tmp}/{sub}")
+    ls = files.list_files(spark, [f"{tmp}/a", f"{tmp}/b"], glob="*.parquet")
+    assert ls.count() == 2 and ls.where("length > 0").count() == 2
+    future = (dt.datetime.now() + dt.timedelta(days=10)).isoformat(sep=" ")
+    assert cat.retention_by_mtime(ls, future, 5).count() == 2
+    assert cat.retention_by_mtime(ls, future, 30).count() == 0
+
+
+def test_record_and_frame_hooks(spark):
+    from tidewater.operators import user as uf
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, s string")
+    rec = uf.map_records(df, lambda r: {"id": r["id"], "s": r["s"].upper()}, "id long, s string")
+    assert sorted(tuple(r) for r in rec.collect()) == [(1, "A"), (2, "B")]
+    assert uf.apply_transform(df, None) is df
+    assert uf.apply_filter(df, "id > 1").count() == 1
+    class M7(uf.Model):
+        version, model_type = 7, "xgboost"
+
+        def features(self, d):
+            return d.withColumn("score", F.col("id") * 2)
+
+    uf.register(M7())
+    out = uf.recommend(df, 7).select("score", "model_type", "model_version").orderBy("score").collect()
+    assert [tuple(r) for r in out] == [(2, "xgboost", 7), (4, "xgboost", 7)]
+    with pytest.raises(KeyError):
+        uf.recommend(df, 99)
+
+
 def test_compact(spark, tmp):
     spark.range(100).repartition(10).write.parquet(f"{tmp}/many")
     sinks.compact_files(spark, f"{tmp}/many", f"{tmp}/one", 1)

@@ -154,6 +154,14 @@ def retention_plan(keys: DataFrame, key_col: str, as_of: str | datetime, retenti
     return keys.where(marker | (is_dated & ~k.contains(folder_marker) & (d <= cutoff)))
 
 
+def retention_by_mtime(listing: DataFrame, as_of: str | datetime, retention_days: int,
+                       time_col: str = "modificationTime") -> DataFrame:
+    """Variant of the retention plan for undated names: files (a ``list_files`` listing) last modified on or before
+    ``as_of - retention_days``."""
+    cutoff = F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(retention_days))
+    return listing.where(F.col(time_col).cast("timestamp") <= cutoff)
+
+
 def retention_guard(all_prefixes: DataFrame, delete_prefixes: DataFrame, column: str = "prefix") -> DataFrame:
     """The deletion plan, released only if at least one prefix of the guarded table stays intact; otherwise empty.
     The gate is a left-semi join against a non-empty remainder (no driver round trip)."""

@@ -60,9 +60,11 @@ def read_by_suffix(spark: SparkSession, path: str, schema: str | T.StructType |
     raise ValueError(f"unsupported file type: {path}")
 
 
-def list_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
-    """Object listing as a DataFrame (path, length, modificationTime). Only metadata columns are selected, so the
-    binary content is never read; the listing itself is distributed by Spark's file index."""
+def list_files(spark: SparkSession, path: str | list[str], glob: str | None = None,
+               recursive: bool = True) -> DataFrame:
+    """Object listing as a DataFrame (path, length, modificationTime) under one prefix or a list of prefixes;
+    ``recursive=False`` lists one level (the delimiter form). Only metadata columns are selected, so the binary
+    content is never read; the listing itself is distributed by Spark's file index."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if glob:
         r = r.option("pathGlobFilter", glob)
