@@ -37,10 +37,10 @@ SELECT 'orders_no_null_fields', CAST(v AS DOUBLE), 0.0, COALESCE(v < 0, FALSE)
                     THEN -1 ELSE COUNT(*) FILTER (WHERE o_custkey IS NULL OR o_orderpriority IS NULL
                                                   OR o_totalprice IS NULL) END AS v FROM orders)
 UNION ALL
-SELECT 'orders_finished_share', v, 65.0, COALESCE(v >= 65, FALSE)
+SELECT 'orders_finished_share', round(v, 6), 65.0, COALESCE(v >= 65, FALSE)
   FROM (SELECT AVG(CASE WHEN o_orderstatus = 'F' THEN 100.0 ELSE 0.0 END) AS v FROM orders)
 UNION ALL
-SELECT 'events_click_to_view_ratio', v, 50.0, COALESCE(v >= 50, FALSE)
+SELECT 'events_click_to_view_ratio', round(v, 6), 50.0, COALESCE(v >= 50, FALSE)
   FROM (SELECT CASE WHEN COUNT(*) FILTER (WHERE event_type = 'view') = 0 THEN NULL
                     ELSE COUNT(*) FILTER (WHERE event_type = 'click') * 100.0 / COUNT(*) FILTER (WHERE event_type = 'view')
                END AS v FROM events)
