@@ -231,6 +231,11 @@ def test_point_lookup(spark):
     c = spark.createDataFrame([(1, "John", "Doe"), (2, "Jane", "Doe")], "id int, first string, last string")
     assert flt.point_lookup(c, "id", 1).first().first == "John"
     assert flt.point_lookup(c, "id", 3).count() == 0
+    assert flt.point_lookup_sql(c, "id", 2).first().first == "Jane"
+    assert flt.point_lookup_sql(c, "id", 3).count() == 0
+    ts = spark.createDataFrame([(1, dt.datetime(2020, 1, 1)), (2, dt.datetime(2020, 1, 2))], "id int, t timestamp_ntz")
+    assert [r.id for r in flt.date_range_sql(ts, "t", "2020-01-01", "2020-01-02").collect()] == [1]
+    assert [r.id for r in flt.date_range_filter(ts, "t", "2020-01-01", "2020-01-02").collect()] == [1]
 
 
 def test_columns_renames(spark):

@@ -20,6 +20,19 @@ def point_lookup(df: DataFrame, key: str, value) -> DataFrame:
     return df.where(F.col(key) == F.lit(value))
 
 
+def point_lookup_sql(df: DataFrame, key: str, value) -> DataFrame:
+    """The same lookup as SQL text with a bound named parameter (no string interpolation of the value)."""
+    return df.sparkSession.sql(f"SELECT * FROM {{src}} WHERE `{key}` = :id", args={"id": value}, src=df)
+
+
+def date_range_sql(df: DataFrame, column: str, start, end) -> DataFrame:
+    """``[start, end)`` as SQL text with bound ``:start_date`` / ``:end_date`` parameters."""
+    return df.sparkSession.sql(
+        f"SELECT * FROM {{src}} WHERE `{column}` >= CAST(:start_date AS TIMESTAMP_NTZ) "
+        f"AND `{column}` < CAST(:end_date AS TIMESTAMP_NTZ)",
+        args={"start_date": str(start), "end_date": str(end)}, src=df)
+
+
 def date_range_filter(df: DataFrame, column: str, start, end) -> DataFrame:
     """Half-open ``[start, end)`` on a date/time column (partition pruning applies on partition columns)."""
     c = F.col(column)

@@ -13,7 +13,8 @@ from tidewater.plans.registry import query
 
 @query("point_lookup", "SELECT * FROM customer WHERE c_custkey = 7")
 def point_lookup(spark, sf):
-    return op.point_lookup(t(spark, sf, "customer"), "c_custkey", 7)
+    """SQL text with a bound named parameter; the literal reaches the Parquet scan as a pushed filter."""
+    return op.point_lookup_sql(t(spark, sf, "customer"), "c_custkey", 7)
 
 
 @query("date_range_filter", """
@@ -22,7 +23,7 @@ SELECT o_orderkey, o_custkey, o_orderdate FROM orders
 """)
 def date_range_filter(spark, sf):
     o = t(spark, sf, "orders")
-    return op.date_range_filter(o, "o_orderdate", "1996-01-01", "1997-01-01").select(
+    return op.date_range_sql(o, "o_orderdate", "1996-01-01", "1997-01-01").select(
         "o_orderkey", "o_custkey", "o_orderdate")
 
 
