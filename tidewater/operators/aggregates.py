@@ -86,12 +86,14 @@ def _quantiles_by_rank(vc: DataFrame, group: list[str], value: str, probs, num_p
         tcols += [pos.alias(f"_tw_pos{i}"), F.floor(pos).cast("bigint").alias(f"_tw_lo{i}"),
                   F.ceil(pos).cast("bigint").alias(f"_tw_hi{i}")]
     targets = counts.select(*group, *tcols)
-    if group:
+    if group == ["_tw_all"]:
+        # the whole frame is one group: its targets are a single row, read as a scalar subquery (no join)
+        names = [c for c in targets.columns if c != "_tw_all"]
+        s = targets.select(F.struct(*names)).scalar()
+        j = cum.withColumns({n: s.getField(n) for n in names})
+    else:
         # one row per group; AQE broadcasts it when small and splits a hot group's partition otherwise
         j = cum.join(targets, group)
-    else:
-        # a single row: a proven size bound
-        j = cum.withColumn("_tw_one", F.lit(1)).join(F.broadcast(targets.withColumn("_tw_one", F.lit(1))), "_tw_one")
     start, end, v = F.col("_tw_cum") - F.col("_tw_c"), F.col("_tw_cum"), F.col(value)
     hit = lambda r: (start <= r) & (r < end)
     any_hit = None
@@ -117,15 +119,14 @@ def group_quantiles_fallback(df: DataFrame, group: str, value: str, distinct_of:
     """Groups with more than ``min_distinct`` distinct ``distinct_of`` values get their own quantiles of ``value``;
     the others get the global quantiles. One row per group with its distinct count and the quantile columns.
 
-    The global quantiles are a one-row aggregate; it is joined on a constant key, a broadcast with a proven
-    size bound (1 row), not a cartesian product.
+    The global quantiles are a one-row aggregate used as a scalar subquery (computed once, no join).
     """
     counts = group_count_distinct(df, [group], distinct_of, count_name)
     own = exact_quantiles(df.where(F.col(group).isNotNull()), [group], value, probs)
-    glob = exact_quantiles(df, [], value, probs).withColumn("_tw_one", F.lit(1))
-    g = glob.select("_tw_one", *[F.col(qname(p)).alias(f"g_{qname(p)}") for p in probs])
-    j = counts.join(own, group, "left").withColumn("_tw_one", F.lit(1)).join(F.broadcast(g), "_tw_one", "left")
-    cols = [F.when(F.col(count_name) > min_distinct, F.col(qname(p))).otherwise(F.col(f"g_{qname(p)}"))
+    glob = exact_quantiles(df, [], value, probs)
+    g = glob.select(F.struct(*[F.col(qname(p)) for p in probs])).scalar()
+    j = counts.join(own, group, "left")
+    cols = [F.when(F.col(count_name) > min_distinct, F.col(qname(p))).otherwise(g.getField(qname(p)))
             .alias(qname(p)) for p in probs]
     return j.select(group, count_name, *cols)
 
