@@ -276,8 +276,8 @@ def conversion_replay(spark, sf):
     same = dates.join(conv, conv.day == dates.run_date).withColumn("report_click", F.lit(True))
     back = dates.join(conv, conv.day == F.date_sub(dates.run_date, 17)).withColumn("report_click", F.lit(False))
     runs = same.unionByName(back).withColumn("rec", F.struct("run_date", "o_orderkey"))
-    cfg = spark.createDataFrame(flatten_config(EVENT_CONFIG), "product string, sub_type string, rate_plan string, "
-                                                              "event_id string")
+    cfg = F.broadcast(spark.createDataFrame(flatten_config(EVENT_CONFIG), "product string, sub_type string, "
+                                                                          "rate_plan string, event_id string"))
     req = api.request_table(runs, cfg, ["product", "sub_type", "rate_plan"], "report_click", "rec")
     return req.select("rec.run_date", "rec.o_orderkey", "step", "kind", "event_id")
 

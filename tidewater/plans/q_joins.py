@@ -172,8 +172,9 @@ def lookup_nested_config(spark, sf):
     o = t(spark, sf, "orders").select(
         "o_orderkey", F.col("o_orderstatus").alias("product"), F.col("o_orderpriority").alias("sub_type"),
         F.when(F.col("o_totalprice") > 100000, "premium").otherwise("standard").alias("rate_plan"))
-    cfg = spark.createDataFrame(op.flatten_config(EVENT_CONFIG), "product string, sub_type string, "
-                                                                  "rate_plan string, event_id string")
+    # a fixed literal config of a few rows: a proven size bound, so it is broadcast
+    cfg = F.broadcast(spark.createDataFrame(op.flatten_config(EVENT_CONFIG), "product string, sub_type string, "
+                                                                              "rate_plan string, event_id string"))
     return op.lookup_nested_config(o, cfg, ["product", "sub_type", "rate_plan"], "event_id", "event_id") \
         .select("o_orderkey", "event_id")
 
@@ -223,5 +224,6 @@ def alert_routing(spark, sf):
     alerts = t(spark, sf, "events").select(
         "event_id", F.col("event_type").alias("dag_id"),
         F.concat(F.lit("task_"), (F.col("user_id") % 4).cast("string")).alias("task_id"), F.hour("ts").alias("hour"))
-    rules = spark.createDataFrame(ALERT_RULES, "dag_id string, task_id string, hour_from int, hour_to int")
+    rules = F.broadcast(spark.createDataFrame(ALERT_RULES, "dag_id string, task_id string, hour_from int, "
+                                                           "hour_to int"))
     return op.alert_routing(alerts, rules, ["task_0"])

@@ -148,8 +148,8 @@ def reverse_etl_requests(spark, sf):
         "o_orderkey", F.col("o_orderstatus").alias("product"), F.col("o_orderpriority").alias("sub_type"),
         F.when(F.col("o_totalprice") > 100000, "premium").otherwise("standard").alias("rate_plan"),
         (F.col("o_orderpriority") == "1-URGENT").alias("report_click"))
-    cfg = spark.createDataFrame(flatten_config(EVENT_CONFIG), "product string, sub_type string, rate_plan string, "
-                                                              "event_id string")
+    cfg = F.broadcast(spark.createDataFrame(flatten_config(EVENT_CONFIG), "product string, sub_type string, "
+                                                                          "rate_plan string, event_id string"))
     return api.request_table(o, cfg, ["product", "sub_type", "rate_plan"], "report_click", "o_orderkey")
 
 
