@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.sources.files import read_by_suffix, timestamps_to_text
+from tidewater.sources.partitions import partition_values
 
 SUFFIXES = {"json": ".json.gz", "csv": ".csv", "parquet": ".parquet"}
 
@@ -62,11 +63,12 @@ def load_overwrite(spark: SparkSession, file_path: str, target: str, schema=None
 
 
 def existing_days(spark: SparkSession, out_path: str, day_col: str = "day") -> DataFrame | None:
-    """Days already present under a ``day=`` partitioned output (partition values only; no data files read)."""
-    try:
-        return spark.read.parquet(out_path).select(day_col).distinct()
-    except Exception:  # noqa: BLE001 - no output yet
+    """Days already present under a ``day=`` partitioned output, from the directory listing (no data file is
+    opened). One row per day partition."""
+    days = partition_values(spark, out_path, day_col)
+    if not days:
         return None
+    return spark.createDataFrame([(d,) for d in days], f"{day_col} string").select(F.col(day_col).cast("date"))
 
 
 def export_daily_incremental(df: DataFrame, ts_col: str, start: str | datetime, end: str | datetime, out_path: str,
@@ -83,7 +85,8 @@ def export_daily_incremental(df: DataFrame, ts_col: str, start: str | datetime,
         .withColumn(day_col, F.to_date(c))
     done = existing_days(spark, out_path, day_col)
     if done is not None:
-        sel = sel.join(done, day_col, "left_anti")
+        # one row per existing day partition: bounded by the number of days, so it is broadcast
+        sel = sel.join(F.broadcast(done), day_col, "left_anti")
     # cluster by day (plus a row-hash salt so a heavy day is still written by several tasks): a few files per day
     # instead of one file per day per input partition
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in sel.columns]), F.lit(files_per_day))

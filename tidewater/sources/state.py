@@ -11,15 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.sources.partitions import partition_values
+
 VERSION = "version"
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
-    try:
-        row = spark.read.parquet(path).agg(F.max(VERSION).alias("v")).first()
-    except Exception:  # noqa: BLE001 - no state yet
-        return None
-    return None if row is None or row["v"] is None else int(row["v"])
+    """The newest committed version, from the ``version=`` directory listing (no data file is read)."""
+    versions = partition_values(spark, path, VERSION)
+    return max(int(v) for v in versions) if versions else None
 
 
 def read_state(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
