@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import bitpack, exact_dedup, packing, token_count, url_filter
+from tidewater.llm import bitpack, decontam, exact_dedup, packing, pii, token_count, url_filter
 from tidewater.session import scratch_path
 from tidewater.tables import load
 
@@ -80,6 +80,53 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(load(spark, sf_dir, "pages"), URL_RULES).drop("n_candidates")
 
 
+@query("op2_decontamination", r"""
+with docs as (
+  select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') as w
+  from documents),
+items as (
+  select w as iw, min(item_id) as item
+  from (select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'),
+                                    lambda x: x <> '') as w
+        from benchmark)
+  where len(w) > 0 group by w),
+masks as (select * from (values ([0,1,2,4,6,7]), ([0,1,4,5,6,7])) m(mask)),
+item_seeds as (
+  select item, k, mask, array_to_string(list_transform(mask, lambda o: iw[k + o + 1]), ' ') as seed
+  from (select item, iw, mask, unnest(range(0, len(iw) - 7)) as k from items, masks)),
+doc_seeds as (
+  select doc_id, k, mask, array_to_string(list_transform(mask, lambda o: w[k + o + 1]), ' ') as seed
+  from (select doc_id, w, mask, unnest(range(0, len(w) - 7)) as k from docs, masks)),
+hits as (
+  select distinct doc_id, item, d.k - i.k as diagonal
+  from doc_seeds d join item_seeds i on d.seed = i.seed and d.mask = i.mask),
+same as (
+  select doc_id, item, len(iw) as n,
+         list_transform(range(greatest(0, -diagonal), least(len(iw), len(w) - diagonal)),
+                        lambda k: (iw[k + 1] = w[k + diagonal + 1])::int) as same
+  from hits join docs using (doc_id) join items using (item)),
+leaks as (
+  select doc_id, item, max(list_sum(same)) as n_matched
+  from same
+  where len(list_filter(range(1, len(same) - least(n, 13) + 2),
+                        lambda s: list_sum(same[s:s + least(n, 13) - 1]) >= case when n >= 13 then 11 else n end)) > 0
+  group by all),
+best as (
+  select doc_id, count(*) as n_items, max(n_matched) as n_matched from leaks group by doc_id)
+select d.doc_id, b.doc_id is not null as contaminated, coalesce(n_items, 0) as n_items,
+       (select min(item) from leaks l where l.doc_id = d.doc_id and l.n_matched = b.n_matched) as item_id,
+       coalesce(b.n_matched, 0)::int as n_matched
+from documents d left join best b on b.doc_id = d.doc_id
+""")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+@query("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_spans(load(spark, sf_dir, "documents")))
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_count.read_ranks(tokenizer_file("byte_bpe_50k.tiktoken"))
