@@ -12,8 +12,9 @@ import pyarrow.compute as pc
 SLICE_BYTES = 8 << 20
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """``batch`` in runs of rows with about ``most`` bytes of text each (one row at least); nulls become empty texts."""
+def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of at most ``rows`` rows with about ``most`` bytes of text each (one row at least); nulls
+    become empty texts."""
     at = batch.schema.get_field_index(text)
     column = pc.fill_null(batch.column(at).cast(pa.large_string()), "")
     batch = batch.set_column(at, text, column)
@@ -21,7 +22,7 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterato
     first = 0
     while first < batch.num_rows:
         before = size[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(size, before + most, "right")))
+        last = min(first + rows, max(first + 1, int(np.searchsorted(size, before + most, "right"))))
         yield batch.slice(first, last - first)
         first = last
 
@@ -70,3 +71,9 @@ def strings(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> pa.Array:
     step[ends] -= 1
     kept = raw[np.cumsum(step[:-1]).astype(bool)]
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(offs), pa.py_buffer(kept)])
+
+
+def ascending(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values

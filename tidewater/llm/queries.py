@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import bitpack, decontam, exact_dedup, packing, pii, token_count, url_filter
+from tidewater.llm import bitpack, decontam, exact_dedup, langid, packing, pii, quality, token_count, url_filter
 from tidewater.session import scratch_path
 from tidewater.tables import load
 
@@ -127,6 +128,18 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_spans(load(spark, sf_dir, "documents")))
 
 
+def held_out():
+    """A fifth of the documents, which language ID doesn't learn from; fixed by the contract."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.fit(docs.where(~held_out())))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_count.read_ranks(tokenizer_file("byte_bpe_50k.tiktoken"))
@@ -157,6 +170,14 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read_ids(manifest)
 
 
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graded ratings: 0 to 2, a point for good quality and one for not being toxic."""
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    return quality.grade(docs, quality.fit(docs, labels.select(
+        "doc_id", (F.col("quality") + 1 - F.col("toxic")).alias("grade"))))
+
+
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
