@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bitpack, decontam, exact_dedup, langid, packing, pii, quality, token_count, url_filter
+from tidewater.llm import (bitpack, decontam, exact_dedup, jaccard_join, langid, packing, pii, quality, token_count,
+                           url_filter)
 from tidewater.session import scratch_path
 from tidewater.tables import load
 
@@ -170,6 +171,33 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read_ids(manifest)
 
 
+@query("op8_jaccard_join", r"""
+with recursive words as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+         else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
+  from words),
+classes as (select list_sort(s) as s, min(doc_id) as rep from sets where len(s) > 0 group by 1),
+items as (select rep, len(s) as n, unnest(s) as g from classes),
+pairs as (
+  select a.rep as x, b.rep as y, any_value(a.n) as nx, any_value(b.n) as ny, count(*) as c
+  from items a join items b on a.g = b.g and a.rep < b.rep group by 1, 2),
+links as (select x, y from pairs where 100 * c >= 80 * (nx + ny - c)),
+edges as (select x, y from links union all select y, x from links),
+reach(x, y) as (
+  select x, y from edges union select r.x, e.y from reach r join edges e on r.y = e.x),
+least_of as (select x, least(x, min(y)) as component_id from reach group by x)
+select d.doc_id, len(d.s) as n_shingles,
+       case when len(d.s) = 0 then d.doc_id else coalesce(l.component_id, c.rep) end as component_id
+from sets d left join classes c on list_sort(d.s) = c.s left join least_of l on l.x = c.rep
+""")
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_components(load(spark, sf_dir, "documents"))
+
+
 @query("op9_quality")
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Graded ratings: 0 to 2, a point for good quality and one for not being toxic."""
