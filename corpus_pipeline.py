@@ -1,30 +1,65 @@
-"""Corpus pipeline: language ID, exact dedup, n-gram Jaccard join, benchmark decontamination, packing."""
+"""Corpus pipeline: language ID, exact dedup, n-gram Jaccard join, benchmark decontamination, packing.
+
+Every stage is (spark, docs, sf_dir) -> DataFrame and works on all rows that the one before it kept; all but the last
+return the columns of ``documents``. Null, empty and blank texts have no letter and go in the first stage; an empty
+table passes through all of them. Rows that share an id count as one document in the stages that decide by id (n-gram
+Jaccard join and decontamination).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import exact_dedup, packing
-from tidewater.llm._common import saved
+from tidewater.llm import decontam, exact_dedup, jaccard_join, langid, packing
+from tidewater.llm._common import broadcast_within, saved
 from tidewater.tables import load
 
+#: Most ids that are broadcast to drop documents; with more, Spark shuffles the join.
+MAX_BROADCAST = 1_000_000
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the documents whose ids are in ``gone`` (doc_id)."""
+    gone = saved(gone.select(F.col("doc_id").alias("gone_id")).distinct(), "pipeline-gone")
+    return docs.join(broadcast_within(gone, MAX_BROADCAST), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no identifiable language go: those without any letter."""
+    return langid.annotate(docs, langid.fit(docs)).where("lang_pred <> 'und'").select(*docs.columns)
+
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = exact_dedup.exact_dedup(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """Of equal texts the longest original stays, then the smallest id."""
+    return exact_dedup.kept_rows(docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by Jaccard similarity 0.8 of 5-word shingles, the smallest id stays."""
+    found = jaccard_join.join_components(docs)
+    return without(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap a benchmark item go."""
+    return without(docs, decontam.decontaminate(docs, load(spark, sf_dir, "benchmark")).where("contaminated"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document lies: bucket, shard, batch and place."""
     return packing.pack(docs)
 
 
-STAGES = [("exact dedup", dedup_stage), ("packing", packing_stage)]
+STAGES = [("language ID", language_stage), ("exact dedup", dedup_stage), ("n-gram Jaccard join", near_duplicate_stage),
+          ("benchmark decontamination", decontamination_stage), ("packing", packing_stage)]
+
+#: Language ID is a trained model; SQL can't express it. Tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
+    for k, (_, stage) in enumerate(STAGES):
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{k}")
     return docs

@@ -26,6 +26,41 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, WHITE + "+", "")
 
 
+def _hot_texts(rows: DataFrame, hot_rows: int, max_hot: int) -> DataFrame:
+    """(hot_key, salts): hashes of the texts with very many copies, ``max_hot`` rows at most."""
+    keys = rows.select(F.xxhash64("norm").alias("hot_key"))
+    threshold = max(hot_rows, keys.count() // max_hot)
+    hot = (keys.groupBy("hot_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > threshold)
+           .select("hot_key", F.least(F.ceil(F.col("n") / hot_rows), F.lit(MAX_SALTS)).cast("int").alias("salts")))
+    return saved(hot, "dedup-hot")
+
+
+def _salted(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` with the number of sub-groups of their text and their own."""
+    rows = rows.withColumn("hot_key", F.xxhash64("norm")).join(F.broadcast(hot), "hot_key", "left").drop("hot_key")
+    return rows.withColumn("salts", F.coalesce("salts", F.lit(1))).withColumn(
+        "salt", F.when(F.col("salts") > 1, F.pmod(F.xxhash64("id", "len"), F.col("salts"))).otherwise(0).cast("int"))
+
+
+def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = 1000,
+              max_hot: int = 50_000) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: those that ``exact_dedup`` calls ``kept``. The rows
+    themselves travel through the sort once; nothing is joined back to the texts."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"),
+                       normalised(text_of(text_col)).alias("norm"), F.length(text_of(text_col)).alias("len"))
+    hot = _hot_texts(rows, hot_rows, max_hot)
+    best_first = Window.partitionBy("norm", "salt").orderBy(F.desc("len"), F.asc_nulls_last("id"))
+    again = Window.partitionBy("norm").orderBy(F.desc("len"), F.asc_nulls_last("id"))
+    keys = _salted(rows.drop("row"), hot)
+    top = (keys.where("salts > 1").repartitionByRange("norm", "salt").withColumn("place", F.row_number().over(best_first))
+           .where("place = 1").repartitionByRange("norm").withColumn("place", F.row_number().over(again))
+           .where("place = 1").select(F.xxhash64("norm").alias("hot_key"), F.col("salt").alias("top_salt")))
+    top = saved(top, "dedup-top")  # a row per hot text
+    first = (_salted(rows, hot).repartitionByRange("norm", "salt").withColumn("place", F.row_number().over(best_first))
+             .where("place = 1").withColumn("hot_key", F.xxhash64("norm")).join(F.broadcast(top), "hot_key", "left"))
+    return first.where("top_salt is null or top_salt = salt").select("row.*")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = 1000,
                 max_hot: int = 50_000) -> DataFrame:
     """One row per row of ``docs``: its id, ``keep_id`` (id of the row of its group that stays), ``group_size``,
@@ -40,16 +75,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(id_col).alias("id"), normalised(text_of(text_col)).alias("norm"),
                        F.length(text_of(text_col)).alias("len"))
-    threshold = max(hot_rows, docs.count() // max_hot)
-    hot = (rows.groupBy(F.xxhash64("norm").alias("hot_key")).agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > threshold)
-           .select("hot_key", F.least(F.ceil(F.col("n") / hot_rows), F.lit(MAX_SALTS)).cast("int").alias("salts")))
-    hot = saved(hot, "dedup-hot")
-    rows = (rows.withColumn("hot_key", F.xxhash64("norm")).join(F.broadcast(hot), "hot_key", "left")
-            .withColumn("salts", F.coalesce("salts", F.lit(1)))
-            .select("id", "norm", "len", "salts",
-                    F.when(F.col("salts") > 1, F.pmod(F.xxhash64("id", "len"), F.col("salts"))).otherwise(0)
-                    .cast("int").alias("salt")))
+    rows = _salted(rows, _hot_texts(rows, hot_rows, max_hot)).select("id", "norm", "len", "salts", "salt")
     # The sort of the window is the external sort: its partitions are the sampled ranges, no further exchange is needed.
     best_first = Window.partitionBy("norm", "salt").orderBy(F.desc("len"), F.asc_nulls_last("id"))
     whole = best_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

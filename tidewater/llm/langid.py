@@ -152,6 +152,16 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", max_pe
     return Model(families, train_svm(x, family, len(families)), langs, by_lang)
 
 
+def answers(model: Model | None, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    letters = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
+    lang, score = ["und"] * len(letters), np.zeros(len(letters))
+    if model is not None:
+        lang, score = model.predict(features(texts))
+        lang = [one if ok else "und" for one, ok in zip(lang, letters, strict=True)]
+        score = np.where(letters, score, 0.0)
+    return pa.array(lang, pa.string()), pa.array(score)
+
+
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: its id, ``lang_pred`` and ``score`` (0 to 1).
 
@@ -162,15 +172,29 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", BYTES, ROWS):
-                letters = pc.match_substring_regex(part.column(1), r"\p{L}").to_numpy(zero_copy_only=False)
-                lang, score = ["und"] * len(letters), np.zeros(len(letters))
-                if shared.value is not None:
-                    lang, score = shared.value.predict(features(part.column(1)))
-                    lang = [one if ok else "und" for one, ok in zip(lang, letters, strict=True)]
-                    score = np.where(letters, score, 0.0)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score)],
+                yield pa.RecordBatch.from_arrays([part.column(0), *answers(shared.value, part.column(1))],
                                                  names=["id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def annotate(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns and those of ``identify``; columns of these names are replaced."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.drop("lang_pred", "score")
+    text_at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for part in slices(batch, text_col, BYTES, ROWS):
+                lang, score = answers(shared.value, part.column(text_at))
+                own = batch.slice(done, part.num_rows)  # the texts as they were, nulls too
+                done += part.num_rows
+                yield pa.RecordBatch.from_arrays([*own.columns, lang, score],
+                                                 names=[*own.schema.names, "lang_pred", "score"])
+
+    schema = docs.schema.add("lang_pred", "string").add("score", "double")
+    return docs.mapInArrow(run, schema)
