@@ -7,12 +7,15 @@ at all; every distance between them is 1 and no pivot could tell them apart.) Fr
 so neighbourhoods are small but for those of many near copies. Within a neighbourhood:
 
 * up to ``DENSE`` documents: all pairs are candidates;
-* more: its most central documents become pivots and the distance of every document to each of them is measured. The
-  pivots cut the neighbourhood into Voronoi regions; with r = 1 - t, a document is also replicated to the region of
-  another pivot when that one is at most 2 r further away than its nearest. Two documents within r of each other then
-  meet in the region of either's nearest pivot (triangle inequality). Regions are neighbourhoods again and are joined
-  the same way, without the pivots, which are done, and without what is one component already. A region that pivots
-  don't make smaller is joined by sliding windows over its documents in order of size.
+* more: its most central documents become pivots and the distance of every document to each of them is measured. With
+  r = 1 - t, documents within 1 - 2 r of a pivot are dealt to the Voronoi region of their nearest one; any document is
+  replicated to the regions of other pivots within 1 - r that are at most 2 r further away than its nearest. Two
+  documents within r of each other then meet in the region of either's nearest pivot (triangle inequality), or, if
+  neither is near a pivot, in the region of what is far from all. Regions are neighbourhoods again and are joined the
+  same way, without the pivots, which are done, and without what is one component already; after ``LEVELS`` of it by
+  sliding windows over the documents in order of size.
+
+Before sets are compared, a parity bitmap of each gives a lower bound of their difference.
 
 Candidates are measured exactly; the order of shingles, the choice of pivots and the regions affect the work only.
 Documents with equal sets are one class throughout.
@@ -38,7 +41,9 @@ PERCENT = 80
 #: Shingles in so many documents or more count as frequent; the most frequent MAX_FREQUENT of them are known to all
 #: tasks. Which they are affects the order of shingles, not the result.
 FREQUENT, MAX_FREQUENT = 64, 200_000
-DENSE, PIVOTS, LEVELS = 64, 4, 2
+DENSE, PIVOTS, LEVELS = 512, 4, 1
+#: Bits of the parity bitmap. It tells little of sets of more than LONG shingles; those count common shingles instead.
+BITMAP, LONG = 1024, 1000
 MAX_BROADCAST = 1_000_000
 #: Partners of a document that a group of pairs compares in one place; more are dealt to several.
 GROUP = 2000
@@ -94,24 +99,27 @@ def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def describe(docs: DataFrame, frequent, k: int, percent: int) -> DataFrame:
     """``docs`` (id, text) -> id, n (set size), k1, k2 (128 bits that stand for the set), rare (shingles that aren't
-    frequent), prefix (the first shingles in the global order)."""
+    frequent), bitmap (of each residue of the hashes, whether their number is odd), prefix (the first shingles in the
+    global order)."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = frequent.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", rows=5000):
                 flat, offs = shingle_sets(part.column(1), k)
                 at = np.minimum(np.searchsorted(known, flat), max(len(known) - 1, 0))
                 hot = known[at] == flat if len(known) else np.zeros(len(flat), bool)
                 key = np.zeros((len(offs) - 1, 2), np.int64)
                 rare, prefixes, size = [], [], []
+                bits = np.zeros((len(offs) - 1, BITMAP), np.uint8)
                 for i in range(len(offs) - 1):
                     own = slice(offs[i], offs[i + 1])
                     s, f = flat[own], hot[own]
                     digest = xxhash.xxh3_128_digest(s.tobytes())
                     key[i] = np.frombuffer(digest, np.int64)
                     n = len(s)
+                    bits[i] = np.bincount((s >> np.uint64(40)).astype(np.int64) % BITMAP, minlength=BITMAP) & 1
                     first = n - (percent * n + 99) // 100 + 1 if n else 0
                     calm = s[~f]
                     rare.append(len(calm))
@@ -123,12 +131,15 @@ def describe(docs: DataFrame, frequent, k: int, percent: int) -> DataFrame:
                     size.append(first)
                 ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
                 prefix = np.concatenate([np.zeros(0, np.uint64), *prefixes]).view(np.int64)
+                bitmap = np.packbits(bits, axis=1).view(np.int64)
+                width = np.arange(len(bits) + 1, dtype=np.int32) * bitmap.shape[1]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(np.diff(offs)), pa.array(key[:, 0]), pa.array(key[:, 1]),
-                     pa.array(rare, pa.int32()), pa.ListArray.from_arrays(ends, pa.array(prefix))],
-                    names=["id", "n", "k1", "k2", "rare", "prefix"])
+                     pa.array(rare, pa.int32()), pa.ListArray.from_arrays(width, pa.array(bitmap.ravel())),
+                     pa.ListArray.from_arrays(ends, pa.array(prefix))],
+                    names=["id", "n", "k1", "k2", "rare", "bitmap", "prefix"])
 
-    return docs.mapInArrow(run, f"id {kind}, n bigint, k1 bigint, k2 bigint, rare int, prefix array<bigint>")
+    return docs.mapInArrow(run, f"id {kind}, n bigint, k1 bigint, k2 bigint, rare int, bitmap array<bigint>, prefix array<bigint>")
 
 
 #: Rows of a neighbourhood in, candidates out. kind 0: a pair (a < b); 1: a row of a large neighbourhood, cls in a;
@@ -136,15 +147,16 @@ def describe(docs: DataFrame, frequent, k: int, percent: int) -> DataFrame:
 FOUND = "kind int, bucket bigint, a bigint, b bigint, na bigint, nb bigint, pos int, comp bigint"
 
 
-def scan(rows: DataFrame, percent: int, dense: int, low: int = 0, high: int = 0) -> DataFrame:
+def scan(rows: DataFrame, percent: int, dense: int, low: int = 0, high: int = 0, counted: bool = False) -> DataFrame:
     """Candidates of all neighbourhoods of ``rows`` (bucket, cls, n, pos, prio, comp). ``high`` = 0: all pairs of those
     with up to ``dense`` rows; pivot pairs and the rows of larger ones. Otherwise pairs whose places in the
-    neighbourhood, in order of size, differ by ``low`` to ``high`` - 1.
+    neighbourhood, in order of size, differ by ``low`` to ``high`` - 1. ``counted``: pairs of long sets are listed for
+    each neighbourhood they share, so that these can be counted.
 
     A task reads its neighbourhoods one after another, sorted by Spark, and keeps ``dense`` or ``high`` rows of one."""
     by = ["prio", "cls"] if not high else ["n", "cls"]
-    rows = (rows.select("bucket", "cls", "n", "pos", "comp", "prio").repartition("bucket")
-            .sortWithinPartitions("bucket", *by))
+    columns = [c for c in ("bucket", "cls", "n", "pos", "comp") if c in rows.columns]
+    rows = rows.select(*columns, "prio").repartition("bucket").sortWithinPartitions("bucket", *by)
 
     def table(kind, bucket, a, b, na, nb, pos=None, comp=None) -> pa.RecordBatch:
         zero = np.zeros(len(a), np.int64)
@@ -157,9 +169,10 @@ def scan(rows: DataFrame, percent: int, dense: int, low: int = 0, high: int = 0)
     def pairs(x: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
         na, nb = x["n"][i], x["n"][j]
         ok = (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (x["comp"][i] != x["comp"][j])
-        if high:  # all of the overlap lies behind the shared shingle, which is the first common one for some bucket
-            least = -(-percent * (na + nb) // (100 + percent))
-            ok &= 1 + np.minimum(na - x["pos"][i], nb - x["pos"][j]) - 1 >= least
+        # In the neighbourhood of their first common shingle, all that two documents share begins there.
+        least = -(-percent * (na + nb) // (100 + percent))
+        early = np.minimum(na - x["pos"][i], nb - x["pos"][j]) >= least
+        ok &= early | (np.minimum(na, nb) > LONG) if counted else early
         i, j = i[ok], j[ok]
         swap = x["cls"][i] > x["cls"][j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
@@ -169,7 +182,8 @@ def scan(rows: DataFrame, percent: int, dense: int, low: int = 0, high: int = 0)
         rest: dict[str, np.ndarray] | None = None  # rows of the neighbourhood that may go on in the next batch
         large = None  # bucket whose pivots (the rows in rest) are chosen already
         for batch in batches:
-            x = {c: batch.column(c).to_numpy() for c in ("bucket", "cls", "n", "pos", "comp")}
+            x = {c: batch.column(c).to_numpy().astype(np.int64) for c in columns}
+            x.setdefault("comp", x["cls"])  # at first each is a component of its own
             old = 0
             if rest is not None:
                 old = len(rest["bucket"])
@@ -301,36 +315,38 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, k))
     members = saved(describe(docs, frequent, k, percent), "join-members")
     classes = saved(members.where("n > 0").groupBy("k1", "k2", "n").agg(
-        F.min("id").alias("rep"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix"))
+        F.min("id").alias("rep"), F.first("rare").alias("rare"), F.first("bitmap").alias("bitmap"),
+        F.first("prefix").alias("prefix"))
         .withColumn("cls", F.monotonically_increasing_id()), "join-classes")
 
-    rows = classes.select(F.posexplode("prefix").alias("pos", "bucket"), "cls", "n", F.col("cls").alias("comp"),
-                          (F.col("rare") / F.col("n")).alias("prio"))
-    links = []
+    rows = classes.select(F.posexplode("prefix").alias("pos", "bucket"), "cls", F.col("n").cast("int").alias("n"),
+                          (1000 * F.col("rare") / F.col("n")).cast("int").alias("prio"))
+    bitmaps = classes.select("cls", "bitmap")
+    links = None
     known: list[DataFrame] = []  # sets read so far
     tried = None
     comps = None
     level, low, high = 0, 0, 0
     while True:
-        found = saved(scan(rows, percent, dense, low, high), "join-found")
-        pairs = candidates(found, percent, exhaustive=level == 0)
+        found = saved(scan(rows, percent, dense, low, high, counted=level == 0), "join-found")
+        pairs = candidates(found, bitmaps, percent, counted=level == 0)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = saved(pairs, "join-pairs")
-        new = saved(measure(pairs, read_sets(docs, classes, pairs, known, k)), "join-measured")
-        tried = new if tried is None else tried.unionByName(new)
-        links.append(new.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))))
-        everything = links[0]
-        for more in links[1:]:
-            everything = everything.unionByName(more)
-        comps = components(everything)
+        if tried is None or not pairs.isEmpty():
+            new = saved(measure(pairs, read_sets(docs, classes, pairs, known, k)), "join-measured")
+            tried = new if tried is None else tried.unionByName(new)
+            fresh = new.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common")))
+            links = fresh if links is None else links.unionByName(fresh)
+            if comps is None or not fresh.isEmpty():
+                comps = components(links)
         rows = saved(undecided(rows if high else rows_of(found), comps), "join-rows")
         if rows.isEmpty():
             break
         if not high and level < LEVELS:
             rows = saved(undecided(regions(rows, found, tried, percent), comps), "join-rows")
         else:  # pivots don't help any more: windows of growing width over what is left
-            low, high = (1, 65) if not high else (high, 8 * high)
+            low, high = (1, 65) if not high else (high, 16 * high)
         widest = rows.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
         if widest <= low:
             break
@@ -346,25 +362,40 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
-def candidates(found: DataFrame, percent: int, exhaustive: bool) -> DataFrame:
-    """Distinct pairs of a scan that may be links, and those with pivots.
+def candidates(found: DataFrame, bitmaps: DataFrame, percent: int, counted: bool) -> DataFrame:
+    """Distinct pairs of a scan that may be links, and those with pivots that may be within 1 - r.
 
-    The document whose first shingles end earlier in the global order shares with the other at most the c common ones
-    among them and all n - p behind them. c is counted where all pairs of a neighbourhood were listed; for larger ones
-    the documents' numbers of those are added."""
-    pivots = found.where("kind = 2").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    By their bitmaps: sets of na and nb members that differ in m or more have a distance of 2 m / (na + nb + m) or more.
+    Long sets by c, the neighbourhoods they share: the document whose first shingles end earlier in the global order
+    has in common with the other at most the c ones among them and all n - p behind them. c is counted where all pairs
+    of a neighbourhood were listed; for larger ones the documents' numbers of those are added."""
     pairs = found.where("kind = 0")
-    if exhaustive:
-        crowd = found.where("kind = 1").groupBy("a").agg(F.count(F.lit(1)).alias("crowds"))
+    if counted:
         pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("na").alias("na"),
                                             F.first("nb").alias("nb"))
+        crowd = found.where("kind = 1").groupBy("a").agg(F.count(F.lit(1)).alias("crowds"))
         pairs = (pairs.join(crowd.withColumnsRenamed({"a": "ca", "crowds": "xa"}), F.col("a") == F.col("ca"), "left")
                  .join(crowd.withColumnsRenamed({"a": "cb", "crowds": "xb"}), F.col("b") == F.col("cb"), "left"))
         c = F.col("c") + F.least(F.coalesce("xa", F.lit(0)), F.coalesce("xb", F.lit(0)))
-        behind = F.greatest(F.col("na"), F.col("nb"))
-        most = c + F.ceil(behind * percent / 100) - 1
-        pairs = pairs.where(most * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
-    return pairs.select("a", "b").union(pivots).distinct()
+        most = c + F.ceil(F.greatest("na", "nb") * percent / 100) - 1
+        pairs = pairs.where((F.least("na", "nb") <= LONG)
+                            | (most * (100 + percent) >= percent * (F.col("na") + F.col("nb"))))
+    swap = F.col("a") > F.col("b")
+    pivots = found.where("kind = 2").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(swap, F.col("nb")).otherwise(F.col("na"))
+        .alias("na"), F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb"), F.lit(True).alias("pivot"))
+    both = (pairs.select("a", "b", "na", "nb", F.lit(False).alias("pivot")).unionByName(pivots)
+            .groupBy("a", "b", "na", "nb").agg(F.max("pivot").alias("pivot")))
+    for side in ("a", "b"):
+        both = both.join(bitmaps.withColumnsRenamed({"cls": f"of_{side}", "bitmap": f"bits_{side}"}),
+                         F.col(side) == F.col(f"of_{side}"))
+    differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
+                         lambda x, y: x + y)
+    total = F.col("na") + F.col("nb")
+    differ = F.greatest(differ, F.abs(F.col("na") - F.col("nb")))
+    distance = 2 * differ / (total + differ)
+    most = F.when(F.col("pivot"), percent / 100).otherwise(1 - percent / 100)
+    return both.where(distance <= most + 1e-9).select("a", "b")
 
 
 def read_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, known: list[DataFrame], k: int) -> DataFrame:
@@ -381,31 +412,35 @@ def read_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, known: list
 
 
 def rows_of(found: DataFrame) -> DataFrame:
-    return found.where("kind = 1").select("bucket", F.col("a").alias("cls"), F.col("na").alias("n"), "pos", "comp")
+    return found.where("kind = 1").select("bucket", F.col("a").alias("cls"), F.col("na").cast("int").alias("n"), "pos", "comp")
 
 
 def regions(large: DataFrame, found: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """The Voronoi regions of large neighbourhoods as new neighbourhoods: each row in the region of its nearest pivot,
-    and of any other that is at most 2 r further away."""
-    pivots = found.where("kind = 2").select("bucket", F.col("a").alias("cls"), F.col("b").alias("pivot"))
+    """The regions of large neighbourhoods as new neighbourhoods. Distances to pivots that weren't measured are over
+    1 - r; they matter neither for being near nor for replication."""
+    r = 1 - percent / 100
+    to = found.where("kind = 2").select("bucket", F.col("a").alias("cls"), F.col("b").alias("pivot"))
     far = tried.select(F.col("a").alias("x"), F.col("b").alias("y"),
                        (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("d"))
-    pivots = pivots.withColumns({"x": F.least("cls", "pivot"), "y": F.greatest("cls", "pivot")}).join(far, ["x", "y"])
+    to = (to.withColumns({"x": F.least("cls", "pivot"), "y": F.greatest("cls", "pivot")}).join(far, ["x", "y"])
+          .groupBy("bucket", "cls").agg(F.array_sort(F.collect_set(F.struct("d", "pivot"))).alias("to")))
     done = found.where("kind = 2").select("bucket", F.col("b").alias("cls")).distinct()
-    near = pivots.groupBy("bucket", "cls").agg(F.collect_list(F.struct("d", "pivot")).alias("to"))
-    slack = 2 * (100 - percent) / 100 + 1e-9
-    near = near.withColumn("nearest", F.array_min(F.transform("to", lambda p: p["d"])))
-    near = near.select("bucket", "cls", F.explode(F.filter("to", lambda p: p["d"] <= F.col("nearest") + slack))
-                       .alias("p"))
-    return (large.join(near, ["bucket", "cls"]).join(done, ["bucket", "cls"], "left_anti")
-            .select(F.xxhash64("bucket", "p.pivot").alias("bucket"), "cls", "n", "pos", "comp",
-                    F.col("p.d").alias("prio")))
+    nearest = F.coalesce(F.col("to")[0]["d"], F.lit(1.0))
+    near = nearest <= 1 - 2 * r
+    others = F.filter(F.coalesce("to", F.array().cast("array<struct<d:double,pivot:bigint>>")),
+                      lambda p: (p["d"] <= F.least(F.lit(1 - r), nearest + 2 * r) + 1e-9))
+    rest = F.struct(F.lit(1.0).alias("d"), F.lit(-1).cast("bigint").alias("pivot"))  # far from all pivots
+    rows = large.join(to, ["bucket", "cls"], "left").join(done, ["bucket", "cls"], "left_anti")
+    return rows.select("bucket", "cls", "n", "pos", "comp", F.explode(
+        F.when(near, others).otherwise(F.concat(others, F.array(rest)))).alias("p")).select(
+        F.xxhash64("bucket", "p.pivot").alias("bucket"), "cls", "n", "pos", "comp",
+        (1000 * F.col("p.d")).cast("int").alias("prio"))
 
 
 def undecided(rows: DataFrame, comps: DataFrame) -> DataFrame:
     """Rows of the neighbourhoods that hold more than one component, with their components as known now."""
     if "prio" not in rows.columns:
-        rows = rows.withColumn("prio", F.lit(0.0))
+        rows = rows.withColumn("prio", F.lit(0))
     rows = rows.drop("comp").join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     open_ones = rows.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
     return rows.join(open_ones.select("bucket"), "bucket", "left_semi").select(

@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidewater.llm._arrow import slices, text_bytes
 
@@ -196,5 +197,5 @@ def annotate(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
                 yield pa.RecordBatch.from_arrays([*own.columns, lang, score],
                                                  names=[*own.schema.names, "lang_pred", "score"])
 
-    schema = docs.schema.add("lang_pred", "string").add("score", "double")
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return docs.mapInArrow(run, schema)
