@@ -9,22 +9,27 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text handled at once by a task; bounds its memory whatever the number of rows in a batch.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of at most ``rows`` rows with about ``most`` bytes of text each (one row at least); nulls
     become empty texts."""
     at = batch.schema.get_field_index(text)
-    column = pc.fill_null(batch.column(at).cast(pa.large_string()), "")
-    batch = batch.set_column(at, text, column)
-    size = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False)) if batch.num_rows else np.zeros(0, int)
+    column = batch.column(at)
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
     while first < batch.num_rows:
         before = size[first - 1] if first else 0
         last = min(first + rows, max(first + 1, int(np.searchsorted(size, before + most, "right"))))
-        yield batch.slice(first, last - first)
+        own = column.slice(first, last - first).cast(pa.large_string())
+        if own.null_count:
+            own = pa.array([x or "" for x in own.to_pylist()], pa.large_string())
+        raw, offs = text_bytes(own)  # an array of its own: some kernels mistake the offsets of a slice
+        own = pa.LargeStringArray.from_buffers(len(own), pa.py_buffer(offs), pa.py_buffer(raw))
+        yield batch.slice(first, last - first).set_column(at, text, own)
         first = last
+    pa.default_memory_pool().release_unused()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +74,7 @@ def strings(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> pa.Array:
     step = np.zeros(len(raw) + 1, np.int8)
     step[begins] += 1
     step[ends] -= 1
-    kept = raw[np.cumsum(step[:-1]).astype(bool)]
+    kept = raw[np.cumsum(step[:-1], dtype=np.int8).view(bool)]
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(offs), pa.py_buffer(kept)])
 
 

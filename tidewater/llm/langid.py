@@ -27,7 +27,7 @@ FAMILIES = {
 }
 TRI, BI = 12, 10  # bits of the feature tables
 WIDTH = (1 << TRI) + (1 << BI)
-ROWS, BYTES = 1000, 4 << 20
+ROWS, BYTES = 500, 2 << 20
 
 
 def family_of(lang: str) -> str:

@@ -21,7 +21,7 @@ from tidewater.llm._common import broadcast_within
 
 BITS = 18
 SIZE = 1 << BITS
-BYTES, ROWS = 8 << 20, 20_000
+BYTES, ROWS = 4 << 20, 20_000
 
 
 def hashed(values: pa.Array, salt: int) -> np.ndarray:
