@@ -333,19 +333,21 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = saved(pairs, "join-pairs")
+        merged = False
         if tried is None or not pairs.isEmpty():
             new = saved(measure(pairs, read_sets(docs, classes, pairs, known, k)), "join-measured")
             tried = new if tried is None else tried.unionByName(new)
             fresh = new.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common")))
             links = fresh if links is None else links.unionByName(fresh)
             if comps is None or not fresh.isEmpty():
-                comps = components(links)
-        rows = saved(undecided(rows if high else rows_of(found), comps), "join-rows")
-        if rows.isEmpty():
-            break
-        if not high and level < LEVELS:
-            rows = saved(undecided(regions(rows, found, tried, percent), comps), "join-rows")
-        else:  # pivots don't help any more: windows of growing width over what is left
+                comps, merged = components(links), True
+        if not high or merged:
+            rows = undecided(rows if high else rows_of(found), comps)
+            if rows.isEmpty():
+                break
+            if not high and level < LEVELS:
+                rows = undecided(regions(rows, found, tried, percent), comps)
+        if high or level == LEVELS:  # pivots are used up: windows of growing width over what is left
             low, high = (1, 65) if not high else (high, 16 * high)
         widest = rows.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
         if widest <= low:
@@ -442,6 +444,7 @@ def undecided(rows: DataFrame, comps: DataFrame) -> DataFrame:
     if "prio" not in rows.columns:
         rows = rows.withColumn("prio", F.lit(0))
     rows = rows.drop("comp").join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    rows = saved(rows, "join-rows")
     open_ones = rows.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-    return rows.join(open_ones.select("bucket"), "bucket", "left_semi").select(
-        "bucket", "cls", "n", "pos", "comp", "prio")
+    return saved(rows.join(open_ones.select("bucket"), "bucket", "left_semi").select(
+        "bucket", "cls", "n", "pos", "comp", "prio"), "join-rows")
