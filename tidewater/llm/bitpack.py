@@ -31,6 +31,8 @@ from tidewater.llm._common import saved, text_of
 
 MAGIC = b"TWBITPK1"
 BLOCK = 8192
+#: Text that a task encodes at once; more of it repeats in a larger slice.
+SLICE = 12 << 20
 FOOTER = "<QQQQ8s"
 HEAD = "<8sII"
 #: White space beyond ASCII; where a text has any, it is encoded in one piece (see encode_all).
@@ -123,6 +125,40 @@ class Reader:
         return found[first - one * self.block:last - one * self.block]
 
 
+def encode_pieces(tokenizer, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all pieces in a row and how many each has. Pieces that begin with white space and end otherwise are
+    encoded many at a time in one string: a cut is safe between them, and the ids' lengths in bytes tell where each
+    ends. (Each character of a byte-level token stands for a byte.) The others are encoded one by one."""
+    raw, offs = text_bytes(pieces)
+    length = np.diff(offs)
+    blank = white(raw)
+    joint = blank[offs[:-1]] & ~blank[offs[1:] - 1]
+    together = np.flatnonzero(joint)
+    texts = [raw[offs[run[0]]:offs[run[-1] + 1]] if len(run) == run[-1] - run[0] + 1 else
+             np.concatenate([raw[offs[i]:offs[i + 1]] for i in run])
+             for run in np.split(together, np.arange(2000, len(together), 2000)) if len(run)]
+    alone = np.flatnonzero(~joint)
+    texts += [raw[offs[i]:offs[i + 1]] for i in alone]
+    order = np.concatenate([together, alone])
+    found = tokenizer.encode_batch_fast([t.tobytes().decode() for t in texts], add_special_tokens=False)
+    ids = np.concatenate([np.array(e.ids, np.uint32) for e in found])
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    width[list(vocabulary.values())] = [len(t) for t in vocabulary]
+    ends = np.cumsum(width[ids])
+    last = np.searchsorted(ends, np.cumsum(length[order]))
+    if len(ids) and (ends[-1] != len(raw) or not np.array_equal(ends[last], np.cumsum(length[order]))):
+        raise ValueError("not a byte-level tokenizer")
+    n = np.diff(np.concatenate([[-1], last]))
+    size = np.zeros(len(length), np.int64)
+    size[order] = n
+    # Back to the order of the pieces.
+    start = np.zeros(len(length), np.int64)
+    start[order] = np.cumsum(n) - n
+    within = np.arange(len(ids)) - np.repeat(np.cumsum(size) - size, size)
+    return ids[np.repeat(start, size) + within], size
+
+
 def encode_all(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts in a row, and how many each text has; as if every text were encoded whole.
 
@@ -142,15 +178,13 @@ def encode_all(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     pieces = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(raw)).astype(np.int64)),
                                               pa.py_buffer(raw))
     coded = pieces.dictionary_encode()
-    found = [np.array(e.ids, np.uint32)
-             for e in tokenizer.encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)]
-    size = np.array([len(x) for x in found], np.int64)
+    ids, size = encode_pieces(tokenizer, coded.dictionary)
     start = np.concatenate([[0], np.cumsum(size)])
     code = coded.indices.to_numpy()
     n = size[code]
     ends = np.cumsum(n)
     within = np.arange(ends[-1]) - np.repeat(ends - n, n)
-    ids = np.concatenate(found)[np.repeat(start[code], n) + within]
+    ids = ids[np.repeat(start[code], n) + within]
     total = np.concatenate([[0], ends])
     first = np.searchsorted(begins, offs)
     return ids, total[first[1:]] - total[first[:-1]]
@@ -177,7 +211,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id
 
         writer, part = None, TaskContext.get().partitionId()
         for batch in batches:
-            for run in slices(batch, "text"):
+            for run in slices(batch, "text", SLICE):
                 if writer is None:
                     tokenizer = Tokenizer.from_file(tokenizer_path)
                     fs, at = pafs.FileSystem.from_uri(folder)

@@ -132,19 +132,24 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, near: int = NEAR, min_doc
     around = F.concat(F.slice(F.reverse(before), 1, near), F.slice(behind, 1, near))
     ok = (F.length("term") >= 3) & F.col("term").rlike(r"\p{L}")
     # A document is counted once for an entity and once for a pair, whatever the number of occurrences.
-    pairs = (spans.select("id", F.col("s.entity").alias("entity"), F.explode(F.array_distinct(around)).alias("term"))
-             .where(ok).distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-             .where(F.col("n_et") >= min_docs))
-    pairs = saved(pairs, "pii-pairs")
+    near_pairs = saved(spans.select("id", F.col("s.entity").alias("entity"), F.explode(F.array_distinct(around))
+                                    .alias("term")).where(ok).distinct(), "pii-near")
     entities = spans.select("id", F.col("s.entity").alias("entity")).distinct().groupBy("entity").agg(
         F.count(F.lit(1)).alias("n_e"))
+    # A term is in as many documents at least as it is near any entity in (m); those for which that alone is too much
+    # need no count over the corpus.
+    seen = near_pairs.select("id", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("m"))
+    few = F.col("n_et") * F.pow(F.lit(float(max(total, 1))) / F.col("n_e"), F.lit(1 - threshold)) * (1 + 1e-9)
+    pairs = saved(near_pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
+                  .where(F.col("n_et") >= min_docs).join(entities, "entity").join(seen, "term")
+                  .where(F.col("m") <= few).select("entity", "term", "n_et", "n_e"), "pii-pairs")
     wanted = saved(pairs.select("term").distinct(), "pii-candidates")
     terms = (docs.select(F.explode(F.array_distinct(words_of(F.col("text")))).alias("term"))
              .join(broadcast_within(wanted, MAX_BROADCAST), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
     n = F.lit(float(max(total, 1)))
     pmi = F.log2(n * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     ic = F.log2(n / F.col("n_e"))
-    return (pairs.join(terms, "term").join(entities, "entity")
+    return (pairs.join(terms, "term")
             .where((ic > 0) & (pmi >= ic * threshold)).select("term").distinct())
 
 
