@@ -26,7 +26,7 @@ def test_forward_fill_golden(spark):
 
 def test_forward_fill_strict_and_zero(spark):
     df = spark.createDataFrame([(0, None), (1, 1), (2, 2)], "pos int, v int")
-    with pytest.raises(Exception, match="first value must be present"):
+    with pytest.raises(Exception, match="begins without a value"):
         win.forward_fill(df.withColumn("g", F.lit(1)), ["g"], ["pos"], "v", strict=True).collect()
     z = spark.createDataFrame([(0, 5), (1, 0), (2, None)], "pos int, v int").withColumn("g", F.lit(1))
     got = win.forward_fill(z, ["g"], ["pos"], "v", treat_zero_as_missing=True).orderBy("pos").collect()
@@ -253,3 +253,45 @@ def test_conditional_update(spark):
     out = flt.conditional_update(df, "q", float("nan"), F.col("id") == 1).orderBy("id").collect()
     assert [r.q for r in out] == [0.0, 6.0]
     assert [r.q for r in flt.conditional_update(df, "q", 3.0).collect()] == [3.0, 3.0]
+
+
+def test_missing_number_beyond_doubles(spark):
+    n = 200_000_002
+    assert agg.missing_number_sorted(spark.range(1, n + 1).where("id <> 77777777").toDF("v"), "v").first()[0] == 77_777_777
+
+
+def test_alert_routing_hours_are_the_tasks_own(spark):
+    alerts = spark.createDataFrame([("d", "t1", 3), ("d", "t1", 9), ("d", "usual", 3), ("e", "usual", 3)],
+                                   "dag_id string, task_id string, hour int")
+    rules = spark.createDataFrame([("d", "t1", 8, 20)], "dag_id string, task_id string, hour_from int, hour_to int")
+    got = {(r.dag_id, r.task_id, r.hour) for r in jn.alert_routing(alerts, rules, ["usual"]).collect()}
+    assert got == {("d", "t1", 9), ("d", "usual", 3)}
+
+
+def test_conditional_update_keeps_the_type(spark):
+    from pyspark.sql import functions as F
+    from tidewater.operators import filters as fl
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(1, big), (2, 5)], "k int, v bigint")
+    out = fl.conditional_update(df, "v", float("nan"), F.col("k") == 2)
+    assert dict(out.dtypes)["v"] == "bigint" and sorted(tuple(r) for r in out.collect()) == [(1, big), (2, 0)]
+
+
+def test_notify_percent_and_unknown_names(spark):
+    from tidewater.operators import quality
+    res = spark.createDataFrame([("t", 5.0, 9.0, False)], "task_id string, value double, threshold double, passed boolean")
+    assert quality.notify_messages(res, "100% of {task_id} on {env}", env="x").first().message == "100% of t on x"
+    with pytest.raises(ValueError):
+        quality.notify_messages(res, "{nothing}")
+
+
+def test_pages_fail_loudly_and_empty_info(spark):
+    from pyspark.sql import functions as F
+    from tidewater.sources import api, files
+    bad = spark.createDataFrame([("x", '{"0": {"a": 1}')], "tag string, page string")
+    with pytest.raises(Exception):
+        api.normalize_paged_result(bad, "page", "a int", ["tag"]).collect()
+    row = spark.createDataFrame([(None, [])], "tstamp string, info array<struct<tstamp:string>>")
+    assert str(row.select(api.event_time()).first()[0]) == "2020-01-01 00:00:00"
+    ts = spark.sql("select timestamp_ntz '2024-01-01 00:00:00.123456' a, timestamp_ntz '2024-01-01 00:00:00' b")
+    assert tuple(files.timestamps_to_text(ts).first()) == ("2024-01-01 00:00:00.123456", "2024-01-01 00:00:00")

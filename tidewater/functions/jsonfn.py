@@ -64,7 +64,7 @@ def polygon_ring(coords_json) -> Column:
     """JSON text of ``[[x, y], ...]`` or one level deeper ``[[[x, y], ...]]`` -> one ring (array of points)."""
     flat = F.from_json(col(coords_json), RING)
     deep = F.from_json(col(coords_json), T.ArrayType(RING))
-    return F.coalesce(F.element_at(deep, 1), flat)
+    return F.coalesce(F.get(deep, F.lit(0)), flat)
 
 
 def polygon_wkt(ring) -> Column:

@@ -43,7 +43,7 @@ def preplace(c, seq: str, pre: str, overlapping: bool = False) -> Column:
     position, also inside an earlier match (they differ on e.g. ``aaa`` / ``aa``). Empty arguments are an error.
     """
     if not seq or not pre:
-        raise ValueError(f"missing mandatory args: {seq=}, {pre=}")
+        raise ValueError("a sequence to look for and a text to insert are both needed")
     if overlapping:
         import re
         return F.regexp_replace(col(c), f"(?={re.escape(seq)})", pre.replace("\\", "\\\\").replace("$", "\\$"))

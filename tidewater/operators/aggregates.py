@@ -167,8 +167,8 @@ def missing_number_sorted(df: DataFrame, value: str) -> DataFrame:
     """The one missing value of 1..n+1 (n = row count): 1 if absent, n+1 if the maximum is not n+1, else the
     arithmetic-series difference. One aggregate pass."""
     a = df.agg(F.min(value).alias("mn"), F.max(value).alias("mx"), F.count(value).alias("n"),
-               F.sum(value).alias("s"))
-    n = F.col("n")
+               F.sum(F.col(value).cast("decimal(19,0)")).alias("s"))
+    n = F.col("n").cast("decimal(19,0)")  # the products pass 2^53 long before the ids pass 2^63
     return a.select(F.when(F.col("mn") != 1, F.lit(1).cast("bigint"))
                     .when(F.col("mx") != n + 1, (n + 1).cast("bigint"))
                     .otherwise(((n + 1) * (n + 2) / 2 - F.col("s")).cast("bigint")).alias("missing"))

@@ -99,21 +99,22 @@ def override_config(base: DataFrame, overrides: DataFrame, key: str, value: str)
 
 
 def alert_routing(alerts: DataFrame, rules: DataFrame, default_tasks: list[str] | None = None) -> DataFrame:
-    """Alerts that are reported: the alert's dag has a rule row, its task is the rule's task or a default task, and
-    its hour is within the rule's ``[hour_from, hour_to]`` (a missing bound means the alert's own hour).
+    """Alerts that are reported. The dag must have a rule row. A task with rules of its own in that dag is reported in
+    the hours ``[hour_from, hour_to]`` of any of them (a missing bound sets no limit); a default task without a rule of
+    its own at any hour.
 
     alerts: (dag_id, task_id, hour, ...); rules: (dag_id, task_id, hour_from, hour_to).
     """
-    defaults = list(default_tasks or [])
-    a = alerts.alias("a")
-    r = rules.alias("r")
-    task_ok = (F.col("a.task_id") == F.col("r.task_id"))
-    if defaults:
-        task_ok = task_ok | F.col("a.task_id").isin(defaults)
-    hf = F.coalesce(F.col("r.hour_from"), F.col("a.hour"))
-    ht = F.coalesce(F.col("r.hour_to"), F.col("a.hour"))
-    j = a.join(r, (F.col("a.dag_id") == F.col("r.dag_id")) & task_ok & F.col("a.hour").between(hf, ht), "left_semi")
-    return j
+    a, r = alerts.alias("a"), rules.alias("r")
+    same_dag = F.col("a.dag_id") == F.col("r.dag_id")
+    same_task = same_dag & (F.col("a.task_id") == F.col("r.task_id"))
+    hours = F.col("a.hour").between(F.coalesce("r.hour_from", "a.hour"), F.coalesce("r.hour_to", "a.hour"))
+    own = a.join(r, same_task & hours, "left_semi")
+    if not default_tasks:
+        return own
+    default = a.where(F.col("a.task_id").isin(list(default_tasks)))
+    default = default.join(r, same_dag, "left_semi").alias("a").join(r, same_task, "left_anti")
+    return own.unionByName(default)
 
 
 def metadata_join(tables: DataFrame, columns: DataFrame, schema: str) -> DataFrame:

@@ -7,6 +7,8 @@ so adding checks on a table does not add scans of it.
 
 from __future__ import annotations
 
+import re
+
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -117,20 +119,15 @@ def funnel_ratio(df: DataFrame, group: list[str], event: str, shown: str, clicke
 def notify_messages(results: DataFrame, template: str, names: dict | None = None, **context) -> DataFrame:
     """Message text for every failed check: ``template`` is a format string with ``{task_id}``, ``{value}``,
     ``{threshold}`` and any extra ``context`` keys (e.g. environment, execution date)."""
+    columns = {key: F.col(key).cast("string") for key in ("task_id", "value", "threshold")}
+    columns |= {key: F.lit(str(value)) for key, value in context.items()}
+    pieces = re.split(r"\{(\w+)\}", template)  # text, name, text, name, ..., text
+    unknown = sorted(set(pieces[1::2]) - set(columns))
+    if unknown:
+        raise ValueError(f"the template asks for unknown names: {', '.join(unknown)}")
     failed = results.where(~F.col("passed"))
-    fmt, args = template, []
-    for key in ("task_id", "value", "threshold"):
-        fmt = fmt.replace("{" + key + "}", "%s")
-    # keep the positional order of placeholders as they appear in the template
-    import re
-    order = re.findall(r"\{(\w+)\}", template)
-    for key in order:
-        if key in ("task_id", "value", "threshold"):
-            args.append(F.col(key).cast("string"))
-        else:
-            fmt = fmt.replace("{" + key + "}", "%s")
-            args.append(F.lit(str(context.get(key, ""))))
-    return failed.select("task_id", F.format_string(fmt, *args).alias("message"))
+    parts = [F.coalesce(columns[p], F.lit("null")) if i % 2 else F.lit(p) for i, p in enumerate(pieces)]
+    return failed.select("task_id", F.concat(*parts).alias("message"))
 
 
 def any_null_count(df: DataFrame, columns: list[str]) -> Column:

@@ -31,7 +31,7 @@ def forward_fill(df: DataFrame, keys: list[str], order: Sequence, value: str, ou
     res = ffill_within(d, keys, order, src, "_tw_ff")
     if strict:
         res = res.withColumn("_tw_ff", F.when(F.col("_tw_ff").isNull(),
-                                              F.raise_error(F.lit("first value must be present !")))
+                                              F.raise_error(F.lit("forward fill: a group begins without a value")))
                              .otherwise(F.col("_tw_ff")))
     cols = [c for c in df.columns if c != out] + ["_tw_ff"]
     return res.select(*cols).withColumnRenamed("_tw_ff", out).select(*(df.columns if out in df.columns

@@ -142,10 +142,10 @@ def compare_file_schema(spark, sf):
 
 @query("partition_values", """
 SELECT c_custkey, '2022-01-01' AS date_, hour
-  FROM customer CROSS JOIN (SELECT CAST(unnest(range(0, 23)) AS INTEGER) AS hour)
+  FROM customer CROSS JOIN (SELECT CAST(unnest(range(0, 24)) AS INTEGER) AS hour)
 """)
 def partition_values(spark, sf):
-    return op.partition_values(t(spark, sf, "customer"), "c_custkey", "2022-01-01", range(0, 23)) \
+    return op.partition_values(t(spark, sf, "customer"), "c_custkey", "2022-01-01", range(0, 24)) \
         .select("c_custkey", "date_", "hour")
 
 

@@ -217,8 +217,10 @@ WITH alerts AS (SELECT event_id, event_type AS dag_id, 'task_' || CAST(user_id %
                        CAST(hour(ts) AS INTEGER) AS hour FROM events),
      rules(dag_id, task_id, hour_from, hour_to) AS (VALUES {_RULE_VALUES})
 SELECT a.event_id, a.dag_id, a.task_id, a.hour FROM alerts a
- WHERE EXISTS (SELECT 1 FROM rules r WHERE r.dag_id = a.dag_id AND (r.task_id = a.task_id OR a.task_id IN ('task_0'))
+ WHERE EXISTS (SELECT 1 FROM rules r WHERE r.dag_id = a.dag_id AND r.task_id = a.task_id
                   AND a.hour BETWEEN COALESCE(r.hour_from, a.hour) AND COALESCE(r.hour_to, a.hour))
+    OR (a.task_id IN ('task_0') AND EXISTS (SELECT 1 FROM rules r WHERE r.dag_id = a.dag_id)
+        AND NOT EXISTS (SELECT 1 FROM rules r WHERE r.dag_id = a.dag_id AND r.task_id = a.task_id))
 """)
 def alert_routing(spark, sf):
     alerts = t(spark, sf, "events").select(

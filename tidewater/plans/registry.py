@@ -25,7 +25,7 @@ def query(qid: str, sql: str | None = None):
 
 def _load_all() -> None:
     from tidewater.plans import (  # noqa: F401
-        q_workloads, q_filters, q_joins, q_aggregates, q_windows, q_sets, q_scalars, q_quality, q_catalog,
+        q_workloads, q_filters, q_joins, q_aggregates, q_windows, q_scalars, q_quality, q_catalog,
         q_sources, q_streaming, q_composites,
     )
 

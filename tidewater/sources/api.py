@@ -24,7 +24,7 @@ def normalize_paged_result(pages: DataFrame, page_col: str, row_schema: T.Struct
                            tag_cols: list[str]) -> DataFrame:
     """A landed page is a JSON object ``{index: row, ..., result_code: .., ...}``. Emit one row per non-status key,
     drop empty rows (null, ``{}``, ``[]``, ""), parse the row with ``row_schema`` and tag it with ``tag_cols``."""
-    m = F.from_json(F.col(page_col), T.MapType(T.StringType(), T.StringType()))
+    m = F.from_json(F.col(page_col), T.MapType(T.StringType(), T.StringType()), {"mode": "FAILFAST"})
     entries = pages.select(*tag_cols, F.explode(m).alias("_tw_key", "_tw_row"))
     rows = entries.where(~F.col("_tw_key").isin(*STATUS_KEYS) & F.col("_tw_row").isNotNull()
                          & ~F.trim(F.col("_tw_row")).isin("", "{}", "[]", "null"))
@@ -36,7 +36,7 @@ def normalize_paged_result(pages: DataFrame, page_col: str, row_schema: T.Struct
 def event_time(tstamp: str = "tstamp", info: str = "info", default: str = "2020-01-01 00:00:00",
                fmt: str = "yyyy-MM-dd HH:mm:ss") -> F.Column:
     """Event time of a landed row: its own ``tstamp``, else the first ``info[].tstamp``, else ``default``."""
-    raw = F.coalesce(F.col(tstamp), F.element_at(F.col(info), 1).getField("tstamp"), F.lit(default))
+    raw = F.coalesce(F.col(tstamp), F.get(F.col(info), F.lit(0)).getField("tstamp"), F.lit(default))
     return F.try_to_timestamp(raw, F.lit(fmt)).cast("timestamp_ntz")
 
 

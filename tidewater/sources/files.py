@@ -120,7 +120,9 @@ def timestamps_to_text(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd HH:mm:ss").alias(f.name))
+            whole = F.date_format(F.col(f.name), "yyyy-MM-dd HH:mm:ss")
+            part = F.date_format(F.col(f.name), "SSSSSS")
+            cols.append(F.when(part == "000000", whole).otherwise(F.concat_ws(".", whole, part)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
