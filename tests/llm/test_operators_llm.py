@@ -158,7 +158,7 @@ def test_language_id_held_out_accuracy(spark):
 def greedy(word, vocabulary):
     n = at = 0
     while at < len(word):
-        end = next((e for e in range(len(word), at, -1) if word[at:e] in vocabulary), None)
+        end = next((e for e in range(min(len(word), at + 8), at, -1) if word[at:e] in vocabulary), None)
         if end is None:
             return 1
         at, n = end, n + 1
