@@ -1,6 +1,8 @@
 """Property tests: the skew-proof ordered scans agree with a pandas reference on random data and random
 partition counts; forward fill never changes non-null values; chunks partition the input."""
 
+import datetime as dt
+
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -45,6 +47,32 @@ def test_ordered_scans_match_pandas(spark, rows, parts):
             assert g.ff == r.v          # forward fill leaves non-null values unchanged
 
 
+def test_ordered_scans_change_no_value(spark):
+    far, big, nan = dt.datetime(9999, 12, 31, 23, 59, 59, 999999), 9007199254740993, float("nan")
+    rows = [(i, "hot" if i % 5 else None, big + i if i % 3 else None, nan if i % 4 == 0 else (i / 2 if i % 4 == 1 else None),
+             far if i % 2 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, k string, b bigint, x double, t timestamp_ntz")
+    a = df
+    for col in ("b", "x", "t"):
+        a = lead_within(a, ["k"], ["id"], col, f"lead_{col}", num_partitions=4)
+        a = ffill_within(a, ["k"], ["id"], col, f"fill_{col}", num_partitions=4)
+    a = row_number_within(a, ["k"], ["id"], "n", num_partitions=4)
+    show = lambda v: "nan" if v != v else v
+    got = {r.id: r for r in a.collect()}
+    assert len(got) == len(rows)
+    for key in ("hot", None):
+        group = [r for r in rows if r[1] == key]
+        fill = [None] * 3
+        for i, r in enumerate(group):
+            g = got[r[0]]
+            following = group[i + 1][2:] if i + 1 < len(group) else (None,) * 3
+            fill = [v if v is not None else f for v, f in zip(r[2:], fill)]
+            assert [show(v) for v in (g.b, g.x, g.t)] == [show(v) for v in r[2:]]
+            assert [show(v) for v in (g.lead_b, g.lead_x, g.lead_t)] == [show(v) for v in following]
+            assert [show(v) for v in (g.fill_b, g.fill_x, g.fill_t)] == [show(v) for v in fill]
+            assert g.n == i + 1
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(n=st.integers(1, 40), size=st.integers(1, 7))
 def test_chunks_partition_the_input(spark, n, size):

@@ -8,8 +8,6 @@ a range-partitioned running count over pre-aggregated values (see ``sequence``)
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,21 +28,15 @@ def group_count_distinct(df: DataFrame, group: list[str], value: str, out: str =
     return df.where(keep).groupBy(*group).agg(F.countDistinct(value).alias(out))
 
 
-# Per-group distinct-value bound under which Spark's exact ``percentile`` (whose final merge holds one group's
-# value -> count map in one task) is used; groups above it take the rank scan.
-PERCENTILE_MAX_DISTINCT = 1_000_000
-
-
 def exact_quantiles(df: DataFrame, group: list[str], value: str, probs=QUANTILES,
-                    num_partitions: int | None = None, max_distinct: int = PERCENTILE_MAX_DISTINCT) -> DataFrame:
+                    num_partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas/``quantile_cont``) per group, or globally with
-    ``group=[]``; nulls are skipped. One output column per probability, named by ``qname``.
+    ``group=[]``; nulls are skipped, NaN is a value above all others. One output column per probability, named by
+    ``qname``.
 
-    Equal values collapse first into (group, value, multiplicity) rows (a map-side-combined aggregate), and the
-    number of distinct values of every group is counted. Groups with at most ``max_distinct`` distinct values use
-    Spark's exact ``percentile`` with the multiplicities as frequencies: its merge buffer is then bounded. Larger
-    groups go through ``_quantiles_by_rank``, which never gathers a group in one task. The split is decided per
-    group at run time, inside the plan.
+    Equal values collapse first into (group, value, multiplicity) rows (a map-side-combined aggregate), then
+    ``_quantiles_by_rank`` picks the target ranks. The plan is the same at every size, runs no job while it is being
+    built and never gathers a group in one task.
     """
     base = df.where(F.col(value).isNotNull())
     for g in group:
@@ -53,28 +45,7 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, probs=QUANTILES
     if not group:
         base = base.withColumn("_tw_all", F.lit(0))
     vc = base.groupBy(*key, value).agg(F.count(F.lit(1)).alias("_tw_c"))
-    sizes = vc.groupBy(*key).agg(F.count(F.lit(1)).alias("_tw_d"))
-    # The size check: one scalar comes back to the driver, the largest per-group distinct count as estimated by
-    # HyperLogLog sketches (merged map-side, so no shuffle of the values). It only chooses the path; both paths
-    # are exact, and with a 25 % margin over the sketch's error a group near the bound takes the rank scan.
-    est = base.groupBy(*key).agg(F.approx_count_distinct(value, 0.05).alias("_tw_e")).agg(F.max("_tw_e"))
-    largest = est.first()[0] or 0
-    if largest > 0.75 * max_distinct:
-        largest = sizes.agg(F.max("_tw_d")).first()[0] or 0
-
-    def fast(rows: DataFrame) -> DataFrame:
-        pct = rows.groupBy(*key).agg(
-            F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs]), F.col("_tw_c")).alias("_tw_q"))
-        return pct.select(*key, *[F.col("_tw_q")[i].alias(qname(p)) for i, p in enumerate(probs)])
-
-    if largest <= max_distinct:
-        out = fast(vc)
-    else:
-        # one row per group (the global case: a single row, a proven bound)
-        flagged = vc.join(F.broadcast(sizes) if not group else sizes, key)
-        small = flagged.where(F.col("_tw_d") <= max_distinct).drop("_tw_d")
-        big = flagged.where(F.col("_tw_d") > max_distinct).drop("_tw_d")
-        out = fast(small).unionByName(_quantiles_by_rank(big, key, value, probs, num_partitions))
+    out = _quantiles_by_rank(vc, key, value, probs, num_partitions)
     return out.drop("_tw_all") if not group else out
 
 
@@ -217,7 +188,3 @@ def failure_summary(df: DataFrame, record: str, failed: Column) -> DataFrame:
     a = df.agg(F.countDistinct(F.when(failed, F.col(record))).alias("failed"),
                F.countDistinct(record).alias("total"))
     return a.withColumn("summary", F.format_string("%d of %d", F.col("failed"), F.col("total")))
-
-
-def ceil_div(a: int, b: int) -> int:
-    return int(math.ceil(a / b))

@@ -131,15 +131,14 @@ def partition_values(df: DataFrame, id_col: str, date: str, hours: range | list
 
 
 def partition_rollup(spark: SparkSession, src_path: str, dst_path: str, day_col: str = "date_",
-                     hour_col: str = "hour", target_hour: int = 23, partition_cols: list[str] | None = None,
-                     files_per_partition: int = 4) -> None:
+                     hour_col: str = "hour", target_hour: int = 23, partition_cols: list[str] | None = None) -> None:
     """Move all hourly partitions of each day into hour ``target_hour``: read, set the hour, cluster by the partition
-    columns plus a deterministic row-hash salt (so a large day is written by ``files_per_partition`` tasks, not
-    one) and write to a new location (never over the input)."""
+    columns (AQE cuts a heavy day into several tasks) and write to a new location (never over the input). Only the
+    days that are read are replaced there; those rolled up earlier stay."""
     cols = partition_cols or [day_col, hour_col]
     df = spark.read.parquet(src_path).withColumn(hour_col, F.lit(target_hour))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    df.repartition(*[F.col(c) for c in cols], salt).write.mode("overwrite").partitionBy(*cols).parquet(dst_path)
+    df.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(*cols).parquet(dst_path)
 
 
 def retention_plan(keys: DataFrame, key_col: str, as_of: str | datetime, retention_days: int,

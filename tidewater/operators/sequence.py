@@ -2,8 +2,8 @@
 
 ``Window.partitionBy(k)`` sends every row of one key to one task, so a key holding a third of the data becomes one
 task over a third of the data. Here the rows are instead range-partitioned on ``(keys, order)``: the sampled range
-bounds split a hot key over many partitions, and each partition is scanned in order by an Arrow-batched pandas
-function. What crosses a partition boundary (the next row for ``lead``, the last non-null for forward fill, the row
+bounds split a hot key over many partitions, and each partition is scanned in order by a function on Arrow batches,
+which hands columns it doesn't use on as they are (no value changes on the way). What crosses a partition boundary (the next row for ``lead``, the last non-null for forward fill, the row
 count so far for numbering) is read from a boundary table with one row per partition, so its size is bounded by the
 partition count, never by the data; it is broadcast into the second scan. Both scans reuse one range exchange
 (Spark's exchange reuse), so the data is shuffled once.
@@ -13,7 +13,9 @@ from __future__ import annotations
 
 from typing import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,26 +43,31 @@ def _partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _same_keys(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-    """Row-wise null-safe equality of two aligned key frames."""
-    eq = pd.Series(True, index=a.index)
-    for c in a.columns:
-        x, y = a[c], b[c]
-        eq &= (x == y) | (x.isna() & y.isna())
-    return eq
+def _row(batch: pa.RecordBatch, columns: list[str], i: int) -> list[pa.Array]:
+    """Row ``i`` of some columns as arrays of one value."""
+    return [batch.column(c).slice(i, 1) for c in columns]
 
 
-def _group_starts(keys: pd.DataFrame, prev: tuple | None) -> pd.Series:
-    """True where a row starts a new group (compared with the previous row, the first with ``prev``)."""
-    shifted = keys.shift(1)
-    starts = ~_same_keys(keys, shifted)
-    if len(keys):
-        first = keys.iloc[0]
-        if prev is None:
-            starts.iloc[0] = True
-        else:
-            starts.iloc[0] = not all((pd.isna(f) and pd.isna(p)) or f == p for f, p in zip(first, prev))
-    return starts
+def _starts(batch: pa.RecordBatch, keys: list[str], prev: list[pa.Array] | None) -> np.ndarray:
+    """True where a row starts a new group (compared with the row before, the first with ``prev``). Nulls equal nulls
+    and NaN equals NaN."""
+    same = np.full(batch.num_rows, True)
+    for i, k in enumerate(keys):
+        col = batch.column(k)
+        x = pa.concat_arrays([prev[i] if prev else col.slice(0, 1), col])
+        before, now = x.slice(0, len(col)), x.slice(1)
+        eq = pc.or_(pc.fill_null(pc.equal(before, now), False), pc.and_(pc.is_null(before), pc.is_null(now)))
+        if pa.types.is_floating(col.type):
+            eq = pc.or_(eq, pc.fill_null(pc.and_(pc.is_nan(before), pc.is_nan(now)), False))
+        same &= eq.to_numpy(zero_copy_only=False)
+    if prev is None:
+        same[:1] = False
+    return ~same
+
+
+def _group_begin(starts: np.ndarray) -> np.ndarray:
+    """For each row the place of the last start up to it, -1 where the group goes on from before."""
+    return np.maximum.accumulate(np.where(starts, np.arange(len(starts)), -1))
 
 
 def _boundary_schema(df: DataFrame, keys: list[str], value: str | None) -> T.StructType:
@@ -78,49 +85,39 @@ def _boundary_schema(df: DataFrame, keys: list[str], value: str | None) -> T.Str
 
 
 def _boundaries(keys: list[str], value: str | None, weight: str | None = None):
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pid = None
-        first = last = None
-        first_value = None
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = value_type = None
         n_rows = n_last = 0
-        last_val, has_val = None, False
         for b in batches:
-            if b.empty:
+            if not b.num_rows:
                 continue
-            pid = int(b[PID].iloc[0])
-            kb = b[keys]
-            starts = _group_starts(kb, last)
             if first is None:
-                first = tuple(kb.iloc[0])
+                pid, first = _row(b, [PID], 0)[0], _row(b, keys, 0)
                 if value is not None:
-                    first_value = b[value].iloc[0]
+                    first_value, value_type = b.column(value).slice(0, 1), b.column(value).type
+                    last_value, has_value = pa.nulls(1, value_type), False
             # the last group of this batch, and whether it continues the running last group
-            gid = starts.cumsum()
-            last_gid = gid.iloc[-1]
-            tail = b[gid == last_gid]
-            continues = last_gid == 0
-            n_last = (n_last if continues else 0) + (int(tail[weight].sum()) if weight else len(tail))
+            begin = int(_group_begin(_starts(b, keys, last))[-1])
+            if begin >= 0:
+                n_last = 0
+                if value is not None:
+                    last_value, has_value = pa.nulls(1, value_type), False
+            begin = max(begin, 0)
+            n_last += pc.sum(b.column(weight).slice(begin)).as_py() if weight else b.num_rows - begin
             if value is not None:
-                vals = tail[value].dropna()
-                if len(vals):
-                    last_val, has_val = vals.iloc[-1], True
-                elif not continues:
-                    last_val, has_val = None, False
-            last = tuple(kb.iloc[-1])
-            n_rows += len(b)
-        if pid is None:
+                known = b.column(value).slice(begin).drop_null()
+                if len(known):
+                    last_value, has_value = known.slice(len(known) - 1), True
+            last = _row(b, keys, b.num_rows - 1)
+            n_rows += b.num_rows
+        if first is None:
             return
-        row = {PID: pid}
-        for k, f, l in zip(keys, first, last):
-            row[f"first_{k}"] = f
-            row[f"last_{k}"] = l
-        row["n_rows"] = n_rows
-        row["n_last_group"] = n_last
+        row = {PID: pid} | {f"first_{k}": x for k, x in zip(keys, first)} | {f"last_{k}": x for k, x in zip(keys, last)}
+        row |= {"n_rows": pa.array([n_rows], pa.int64()), "n_last_group": pa.array([n_last], pa.int64())}
         if value is not None:
-            row["first_value"] = first_value
-            row["last_group_last_value"] = last_val
-            row["last_group_has_value"] = has_val
-        yield pd.DataFrame([row])
+            row |= {"first_value": first_value, "last_group_last_value": last_value,
+                    "last_group_has_value": pa.array([has_value])}
+        yield pa.RecordBatch.from_arrays(list(row.values()), names=list(row))
 
     return fn
 
@@ -179,77 +176,70 @@ def _scan(df: DataFrame, keys: list[str], order: Sequence, value: str | None, ou
     # The boundary pass must read the very same range exchange as the main pass (Spark reuses it, so the data is
     # shuffled once and both passes see identical partition bounds). Projecting columns away here would let
     # Catalyst push the projection below the exchange and plan a second, separately sampled one.
-    bounds = ranged.mapInPandas(_boundaries(keys, value if want != "rownum" else None, weight),
-                                _boundary_schema(df, keys, value if want != "rownum" else None))
+    bounds = ranged.mapInArrow(_boundaries(keys, value if want != "rownum" else None, weight),
+                               _boundary_schema(df, keys, value if want != "rownum" else None))
     carry = _carries(bounds, keys, value, want)
     # one row per partition: a proven size bound, so the broadcast is safe at any data size
     joined = ranged.join(F.broadcast(carry), on=PID, how="left")
     out_schema = T.StructType(list(df.schema.fields) + [T.StructField(out, out_type)])
     data_cols = list(df.columns)
 
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        prev_keys = None          # keys of the last row seen
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prev = None               # keys of the last row seen
         state = None              # running last non-null (ffill) / running count (rownum)
         held = None               # lead: last row of the previous batch, waiting for its successor
-        started = False
-        carry = has_carry = None
-        expected, seen = None, 0
+        carry = expected = None
+        seen = 0
+
+        def with_out(b: pa.RecordBatch, found: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*b.columns, found], names=[*b.schema.names, out])
+
         for b in batches:
-            if b.empty:
+            if not b.num_rows:
                 continue
-            seen += len(b)
-            if not started:
-                carry, has_carry = b["_tw_carry"].iloc[0], bool(b["_tw_has_carry"].iloc[0])
-                expected = b["_tw_nrows"].iloc[0]
-                started = True
-                if want in ("ffill", "rownum") and has_carry:
-                    prev_keys = tuple(b[keys].iloc[0])
-                    state = carry
-                    if want == "rownum":
-                        state = int(carry)
-            b = b[data_cols].reset_index(drop=True)
+            if not seen:
+                carry, expected = b.column("_tw_carry").slice(0, 1), b.column("_tw_nrows")[0].as_py()
+                if want != "lead" and b.column("_tw_has_carry")[0].as_py():
+                    prev, state = _row(b, keys, 0), carry
+            seen += b.num_rows
+            b = b.select(data_cols)
+            n = b.num_rows
             if want == "lead":
                 if held is not None:
-                    b = pd.concat([held, b], ignore_index=True)
-                kb = b[keys]
-                nxt_same = _same_keys(kb, kb.shift(-1))
-                lead = b[value].shift(-1).where(nxt_same, None)
-                b[out] = lead
-                held = b.iloc[[-1]][data_cols]
-                yield b.iloc[:-1]
+                    b = pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(held.columns, b.columns)],
+                                                   names=data_cols)
+                last = b.num_rows - 1
+                if last:
+                    goes_on = pa.array(~_starts(b, keys, None)[1:])
+                    following = b.column(value).slice(1)
+                    yield with_out(b.slice(0, last), following.take(pc.if_else(
+                        goes_on, pa.array(np.arange(last)), pa.scalar(None, pa.int64()))))
+                held = b.slice(last)
                 continue
-            kb = b[keys]
-            starts = _group_starts(kb, prev_keys)
-            gid = starts.cumsum()
+            begin = _group_begin(_starts(b, keys, prev))
             if want == "ffill":
-                v = b[value]
-                filled = v.groupby(gid).ffill()
-                if state is not None and len(b) and not starts.iloc[0]:
-                    head = gid == 0
-                    filled = filled.where(~(head & filled.isna()), state)
-                b[out] = filled
-                tail = filled[gid == gid.iloc[-1]].dropna()
-                if len(tail):
-                    state = tail.iloc[-1]
-                elif starts.iloc[-1] or gid.iloc[-1] > 0:
-                    state = None
+                v = b.column(value)
+                # the value that flows in stands in front, at place 0; rows of the group that goes on may take it
+                chain = pa.concat_arrays([state if state is not None else pa.nulls(1, v.type), v])
+                at = np.arange(1, n + 1)
+                known = np.maximum.accumulate(np.where(v.is_valid().to_numpy(zero_copy_only=False), at, 0))
+                found = chain.take(pa.array(known, mask=known < begin + 1))
+                state = found.slice(n - 1)
             else:
-                rn = b[weight].groupby(gid).cumsum().astype("int64") if weight else b.groupby(gid).cumcount() + 1
-                if state is not None and not starts.iloc[0]:
-                    rn = rn + (gid == 0) * state
-                b[out] = rn
-                state = int(rn.iloc[-1])
-            prev_keys = tuple(kb.iloc[-1])
-            yield b
-        if started and (pd.isna(expected) or int(expected) != seen):
+                w = b.column(weight).to_numpy(zero_copy_only=False).astype(np.int64) if weight else np.ones(n, np.int64)
+                total = np.concatenate([[0], np.cumsum(w)])
+                before = state[0].as_py() if state is not None else 0
+                found = pa.array(total[1:] - np.where(begin < 0, -before, total[np.maximum(begin, 0)]), pa.int64())
+                state = found.slice(n - 1)
+            prev = _row(b, keys, n - 1)
+            yield with_out(b, found)
+        if seen and expected != seen:
             # the boundary pass saw a different partitioning: never emit results built on wrong carries
             raise RuntimeError(f"ordered scan: partition has {seen} rows, boundary pass recorded {expected}")
-        if want == "lead" and held is not None:
-            h = held.copy()
-            h[out] = carry if has_carry else None
-            yield h
+        if held is not None:
+            yield with_out(held, carry)
 
-    return joined.mapInPandas(fn, out_schema)
+    return joined.mapInArrow(fn, out_schema)
 
 
 def lead_within(df: DataFrame, keys: list[str], order: Sequence, value: str, out: str,

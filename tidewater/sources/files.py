@@ -13,8 +13,9 @@ JDBC_DRIVERS = {"mysql": "com.mysql.cj.jdbc.Driver", "postgres": "org.postgresql
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, header: bool = True,
-             infer_schema: bool = False) -> DataFrame:
-    r = spark.read.option("header", header)
+             infer_schema: bool = False, mode: str = "FAILFAST") -> DataFrame:
+    """CSV files. A malformed line fails the read; ``mode="PERMISSIVE"`` turns its fields into nulls instead."""
+    r = spark.read.option("header", header).option("mode", mode)
     if schema is not None:
         r = r.schema(schema)
     elif infer_schema:
@@ -34,9 +35,11 @@ def read_parquet(spark: SparkSession, path: str, schema: str | T.StructType | No
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Newline-delimited JSON, plain or gzip (by file suffix); one object per line."""
-    return spark.read.schema(schema).option("timestampNTZFormat", JSON_TS_FORMAT) \
+def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType,
+                    mode: str = "FAILFAST") -> DataFrame:
+    """Newline-delimited JSON, plain or gzip (by file suffix); one object per line. A malformed line fails the read;
+    ``mode="PERMISSIVE"`` turns its fields into nulls instead."""
+    return spark.read.schema(schema).option("mode", mode).option("timestampNTZFormat", JSON_TS_FORMAT) \
         .option("timestampFormat", JSON_TS_FORMAT).json(path)
 
 

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def partition_values(spark: SparkSession, path: str, column: str) -> list[str] | None:
+def partition_values(spark: SparkSession, path: str, column: str, committed: bool = False) -> list[str] | None:
     """The values of the ``column=value`` sub-directories directly under ``path``; None when ``path`` does not exist.
-    Values are returned as directory text (URL-escaped characters decoded)."""
+    Values are returned as directory text (URL-escaped characters decoded). With ``committed`` only those that hold a
+    success marker of their own."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -23,5 +24,7 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str] |
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(prefix):
+            if committed and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                continue
             out.append(jvm.java.net.URLDecoder.decode(name[len(prefix):], "UTF-8"))
     return out

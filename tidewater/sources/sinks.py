@@ -6,6 +6,7 @@ location so that a retried or re-run job overwrites its own output instead of du
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from typing import Callable
 
@@ -62,35 +63,42 @@ def load_overwrite(spark: SparkSession, file_path: str, target: str, schema=None
     return spark.read.parquet(target)
 
 
+#: Folder of the list of days that were written to the end; readers skip names that begin with ``_``.
+COMPLETE = "_complete_days"
+
+
 def existing_days(spark: SparkSession, out_path: str, day_col: str = "day") -> DataFrame | None:
-    """Days already present under a ``day=`` partitioned output, from the directory listing (no data file is
-    opened). One row per day partition."""
-    days = partition_values(spark, out_path, day_col)
-    if not days:
+    """Days written to the end under a ``day=`` partitioned output, one row each (no data file is opened)."""
+    listed = f"{out_path}/{COMPLETE}"
+    if not partition_values(spark, out_path, day_col) or partition_values(spark, listed, "run", committed=True) in (None, []):
         return None
-    return spark.createDataFrame([(d,) for d in days], f"{day_col} string").select(F.col(day_col).cast("date"))
+    return spark.read.parquet(f"{listed}/run=*").select(F.col(day_col).cast("date")).distinct()
 
 
 def export_daily_incremental(df: DataFrame, ts_col: str, start: str | datetime, end: str | datetime, out_path: str,
-                             day_col: str = "day", files_per_day: int = 2) -> None:
-    """Export ``[start, end)`` as one output partition per day, skipping days that were already written.
-
-    A single job: the range filter reaches the scan, days present in the output are removed by a left-anti join on
-    the (tiny) list of existing partition values, and the rest is appended with ``partitionBy(day)``. A start in
-    the middle of a day simply yields that day's remaining rows.
-    """
+                             day_col: str = "day") -> None:
+    """Export ``[start, end)`` as one output partition per day, skipping days that were already written. Only whole
+    days end up in the output: a last day that ``end`` cuts is left to the next run. A start in the middle of a day
+    yields that day's remaining rows.
+
+    A single job: the range filter reaches the scan, finished days are removed by a left-anti join on their (tiny) list
+    and the rest replaces its partitions. A day counts as finished once the whole write has ended, so what a job that
+    died has left of a day is overwritten by the next run."""
     spark = df.sparkSession
     c = F.col(ts_col)
-    sel = df.where((c >= F.lit(start).cast("timestamp_ntz")) & (c < F.lit(end).cast("timestamp_ntz"))) \
-        .withColumn(day_col, F.to_date(c))
+    last = F.date_trunc("day", F.lit(end).cast("timestamp_ntz")).cast("timestamp_ntz")
+    sel = df.where((c >= F.lit(start).cast("timestamp_ntz")) & (c < last)).withColumn(day_col, F.to_date(c))
     done = existing_days(spark, out_path, day_col)
     if done is not None:
-        # one row per existing day partition: bounded by the number of days, so it is broadcast
+        # one row per finished day: bounded by the number of days, so it is broadcast
         sel = sel.join(F.broadcast(done), day_col, "left_anti")
-    # cluster by day (plus a row-hash salt so a heavy day is still written by several tasks): a few files per day
-    # instead of one file per day per input partition
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in sel.columns]), F.lit(files_per_day))
-    sel.repartition(F.col(day_col), salt).write.mode("append").partitionBy(day_col).parquet(out_path)
+    # AQE cuts a heavy day into tasks of its advisory size and puts light days together
+    sel.hint("rebalance", day_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(day_col).parquet(out_path)
+    days = [(d,) for d in partition_values(spark, out_path, day_col) or []]
+    if days:
+        spark.createDataFrame(days, f"{day_col} string").coalesce(1).write \
+            .parquet(f"{out_path}/{COMPLETE}/run={uuid.uuid4().hex}")
 
 
 def compact_files(spark: SparkSession, src: str, dst: str, num_files: int = 1) -> None:
@@ -100,14 +108,10 @@ def compact_files(spark: SparkSession, src: str, dst: str, num_files: int = 1) -
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite",
-                      fmt: str = "parquet", dynamic: bool = True, files_per_partition: int = 4) -> None:
-    """Hive-style ``col=value`` directories. Rows are clustered by the partition columns plus a deterministic
-    row-hash salt, so each output partition gets at most ``files_per_partition`` files and a hot partition is still
-    written by several tasks. With ``dynamic`` overwrite only the partitions present in ``df`` are replaced
-    (re-running one day does not delete the others)."""
-    spark = df.sparkSession
-    if dynamic:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    df.repartition(*[F.col(c) for c in partition_cols], salt).write.mode(mode).partitionBy(*partition_cols) \
-        .format(fmt).save(path)
+                      fmt: str = "parquet", dynamic: bool = True) -> None:
+    """Hive-style ``col=value`` directories. Rows are clustered by the partition columns; AQE cuts a heavy partition
+    into tasks of its advisory size and puts light ones together. With ``dynamic`` overwrite only the partitions present
+    in ``df`` are replaced (re-running one day does not delete the others)."""
+    df.hint("rebalance", *partition_cols).write.mode(mode) \
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static") \
+        .partitionBy(*partition_cols).format(fmt).save(path)

@@ -1,9 +1,9 @@
 """Keyed state tables without a lakehouse format.
 
-The state lives under one path, partitioned by ``version``. An upsert reads the newest version, replaces the rows
-of updated keys (left-anti + union) and writes the result as the next version; readers always take the newest
-version, found from partition values alone. A failed or retried write never touches the version readers use, and
-any size of state works (not only small marker documents). Old versions are removed by the retention plan.
+The state lives under one path, a ``version=`` folder per version. An upsert reads the newest version, replaces the
+rows of updated keys (left-anti + union) and writes the result as the next version; readers always take the newest
+version that has its success marker. A failed or retried write never touches the version readers use, and any size of
+state works (not only small marker documents). Old versions stay until ``prune_versions``.
 """
 
 from __future__ import annotations
@@ -16,34 +16,63 @@ from tidewater.sources.partitions import partition_values
 VERSION = "version"
 
 
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    """The newest committed version, from the ``version=`` directory listing (no data file is read)."""
-    versions = partition_values(spark, path, VERSION)
-    return max(int(v) for v in versions) if versions else None
+def version_path(path: str, version: int) -> str:
+    return f"{path}/{VERSION}={version}"
 
 
-def read_state(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """The newest version of the state table; a missing table reads as empty (``None`` without a schema)."""
-    v = latest_version(spark, path)
+def latest_version(spark: SparkSession, path: str, below: int | None = None) -> int | None:
+    """The newest committed version (of those under ``below``, if given), from the ``version=`` directory listing
+    (no data file is read). A version whose writer died before its success marker doesn't count."""
+    found = [int(v) for v in partition_values(spark, path, VERSION, committed=True) or []]
+    return max((v for v in found if below is None or v < below), default=None)
+
+
+def read_state(spark: SparkSession, path: str, schema: str | None = None,
+               below: int | None = None) -> DataFrame | None:
+    """The newest version of the state table (of those under ``below``, if given), with the columns of that version;
+    a missing table reads as empty (``None`` without a schema)."""
+    v = latest_version(spark, path, below)
     if v is None:
         return spark.createDataFrame([], schema) if schema else None
-    return spark.read.parquet(path).where(F.col(VERSION) == v).drop(VERSION)
-
-
-def upsert_by_key(spark: SparkSession, path: str, updates: DataFrame, keys: list[str]) -> int:
-    """Insert or replace ``updates`` by key and write the next version; returns the new version number. Updates
-    are de-duplicated on the key first (the last row per key in ``updates`` order is not defined, so callers pass
-    one row per key)."""
-    v = latest_version(spark, path)
-    new = updates.dropDuplicates(keys)
-    if v is not None:
-        old = spark.read.parquet(path).where(F.col(VERSION) == v).drop(VERSION)
-        new = old.join(new.select(*keys), keys, "left_anti").unionByName(new, allowMissingColumns=True)
-    nv = 0 if v is None else v + 1
-    new.withColumn(VERSION, F.lit(nv)).write.mode("append").partitionBy(VERSION).parquet(path)
+    return spark.read.parquet(version_path(path, v))
+
+
+def upsert_by_key(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
+                  version: int | None = None) -> int:
+    """Insert or replace ``updates`` by key and write the next version; returns the new version number. Columns that
+    either side lacks become nulls. Several updates of one key fail the job: which one should win isn't defined.
+
+    With ``version`` that version is written, from the newest one below it, whatever was there before: a replay of the
+    same updates gives the same state."""
+    v = latest_version(spark, path, version)
+    old = None if v is None else spark.read.parquet(version_path(path, v))
+    row = F.struct(F.lit(1).alias("_tw_one"), *[c for c in updates.columns if c not in keys])
+    once = updates.groupBy(*keys).agg(F.first(row).alias("_tw_row"), F.count(F.lit(1)).alias("_tw_n"))
+    checked = F.when(F.col("_tw_n") == 1, F.col("_tw_row")).otherwise(
+        F.raise_error(F.lit("several updates of one key")))
+    new = once.select(*keys, checked.alias("_tw_row")).select(*keys, "_tw_row.*").select(*updates.columns)
+    if old is not None:
+        replaced = F.lit(True)
+        for k in keys:
+            replaced = replaced & F.col(f"o.{k}").eqNullSafe(F.col(f"u.{k}"))
+        kept = old.alias("o").join(updates.select(*keys).alias("u"), replaced, "left_anti")
+        new = kept.unionByName(new, allowMissingColumns=True)
+    nv = version if version is not None else 0 if v is None else v + 1
+    new.write.mode("overwrite").parquet(version_path(path, nv))
     return nv
 
 
+def prune_versions(spark: SparkSession, path: str, keep: int) -> list[int]:
+    """Delete all but the ``keep`` newest versions (one at least stays); returns the versions deleted."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = sorted(int(v) for v in partition_values(spark, path, VERSION, committed=True) or [])
+    gone = found[:-max(keep, 1)]
+    for v in gone:
+        p = jvm.org.apache.hadoop.fs.Path(version_path(path, v))
+        p.getFileSystem(conf).delete(p, True)
+    return gone
+
+
 def get_value(spark: SparkSession, path: str, key_col: str, key, value_col: str = "value"):
     """One key's value, or None when absent (a point lookup against the newest version)."""
     st = read_state(spark, path)

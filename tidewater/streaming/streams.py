@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewater.sources import api, state
+from tidewater.sources.partitions import partition_values
 
 
 def _trigger(w, trigger: dict | None):
@@ -107,14 +108,26 @@ def interval_counts(stream: DataFrame, ts_col: str, delay: str = "10 minutes", m
 def watermark_stream(stream: DataFrame, keys: list[str], ts_col: str, out_path: str, marks_path: str,
                      checkpoint: str, trigger: dict | None = None):
     """The delta pull per micro-batch: rows newer than the stored per-key mark are written (idempotently per
-    batch id), then the raised marks are saved as the next version of the mark table (data first, marks after)."""
+    batch), then the raised marks are saved (data first, marks after). Marks of batch N are version ``base + N`` of the
+    mark table and the batch reads the newest version below that, so a batch that is replayed after its marks were
+    saved still finds the marks it began with and writes the same rows again. ``base`` is kept in the checkpoint: a
+    new checkpoint goes on behind the versions and batches that are there."""
+    spark = stream.sparkSession
+    kept = f"{checkpoint}/marks_base"
+    if not partition_values(spark, kept, "base", committed=True):
+        newest = state.latest_version(spark, marks_path)
+        first = 0 if newest is None else newest + 1
+        spark.range(1).write.mode("overwrite").parquet(f"{kept}/base={first}")
+    base = min(int(v) for v in partition_values(spark, kept, "base", committed=True))
+
     def handler(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        marks = state.read_state(spark, marks_path)
+        spark, version = df.sparkSession, base + batch_id
+        df.persist()  # read for the rows and for the marks
+        marks = state.read_state(spark, marks_path, below=version)
         fresh, new_marks = api.incremental_watermark(df, marks, keys, ts_col)
-        fresh.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        if not new_marks.isEmpty():
-            state.upsert_by_key(spark, marks_path, new_marks, keys)
+        fresh.write.mode("overwrite").parquet(f"{out_path}/batch_id={version}")
+        state.upsert_by_key(spark, marks_path, new_marks, keys, version=version)
+        df.unpersist()
     return consume(stream, handler, checkpoint, trigger)
 
 
