@@ -241,6 +241,14 @@ def test_send_requests_with_fake_sender(spark):
     assert not out[(2, "click")].ok and out[(2, "click")].attempts == 3
     assert not out[(2, "event")].ok and out[(2, "event")].attempts == 0
     assert not out[(3, "event")].ok      # no config path
+    # one row per Arrow batch: a record's steps come in different batches
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        again = {(r.rec, r.kind): r for r in api.send_requests(reqs, "rec", sender).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    assert {k: (r.ok, r.attempts) for k, r in again.items()} == {k: (r.ok, r.attempts) for k, r in out.items()}
 
 
 def test_stream_consume_idempotent_restart(spark, tmp):

@@ -84,15 +84,16 @@ def send_requests(requests: DataFrame, id_col: str, sender: Callable[[dict], int
                                                            T.StructField("attempts", T.IntegerType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows come in order of record and step, so one record is looked at at a time, across batches as well
+        current, blocked = None, False
         for b in batches:
-            b = b.sort_values([id_col, "step"], kind="stable")
             out = []
-            blocked = set()
             for rec in b.to_dict("records"):
-                rid = rec[id_col]
-                if rid in blocked or (rec["kind"] == "event" and rec.get("event_id") is None):
+                if rec[id_col] != current:
+                    current, blocked = rec[id_col], False
+                if blocked or (rec["kind"] == "event" and rec.get("event_id") is None):
                     out.append({**rec, "status": None, "ok": False, "attempts": 0})
-                    blocked.add(rid)
+                    blocked = True
                     continue
                 status, n = None, 0
                 for n in range(1, tries + 1):
@@ -105,8 +106,7 @@ def send_requests(requests: DataFrame, id_col: str, sender: Callable[[dict], int
                     if backoff_s:
                         time.sleep(backoff_s * (2 ** (n - 1)))
                 ok = status is not None and 200 <= status < 300
-                if not ok:
-                    blocked.add(rid)
+                blocked = not ok
                 out.append({**rec, "status": status, "ok": ok, "attempts": n})
             yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
 
