@@ -45,6 +45,8 @@ DENSE, PIVOTS, LEVELS = 512, 4, 1
 #: Bits of the parity bitmap. It tells little of sets of more than LONG shingles; those count common shingles instead.
 BITMAP, LONG = 1024, 1000
 MAX_BROADCAST = 1_000_000
+#: Pairs of rows that a scan lists in one piece, about.
+AT_ONCE = 1 << 17
 #: Partners of a document that a group of pairs compares in one place; more are dealt to several.
 GROUP = 2000
 
@@ -201,14 +203,13 @@ def scan(rows: DataFrame, percent: int, dense: int, low: int = 0, high: int = 0,
                 tail = max(int(start[-1]), len(reach) - high + 1)
                 rest = {c: v[tail:] for c, v in x.items()}
                 continue
-            for k in np.flatnonzero(size > dense):
+            big = size > dense
+            big[0] |= large is not None  # goes on with any number of rows, after the pivots in rest
+            for k in np.flatnonzero(big):
                 own = np.arange(start[k], edge[k + 1])
-                known = k == 0 and large is not None and x["bucket"][start[k]] == large
-                pivot, new = own[:PIVOTS], own[PIVOTS:] if known else own
-                if not known:
-                    yield table(1, x["bucket"][own], x["cls"][own], x["cls"][own], x["n"][own], x["n"][own],
-                                x["pos"][own], x["comp"][own])
-                elif len(new):
+                known = k == 0 and large is not None
+                pivot, new = (own[:old], own[old:]) if known else (own[:PIVOTS], own)
+                if len(new):
                     yield table(1, x["bucket"][new], x["cls"][new], x["cls"][new], x["n"][new], x["n"][new],
                                 x["pos"][new], x["comp"][new])
                 for q in pivot:
@@ -216,13 +217,13 @@ def scan(rows: DataFrame, percent: int, dense: int, low: int = 0, high: int = 0,
                     yield table(2, x["bucket"][other], x["cls"][other], np.full(len(other), x["cls"][q]),
                                 x["n"][other], np.full(len(other), x["n"][q]))
             complete = np.arange(len(start)) < len(start) - 1
-            for s in np.unique(size[complete & (size <= dense) & (size > 1)]):
-                first = start[complete & (size == s)]
-                if large is not None and x["bucket"][first[0]] == large and start[0] == first[0]:
-                    first = first[1:]  # nothing but the pivots was left of it
+            for s in np.unique(size[complete & ~big & (size > 1)]):
+                first = start[complete & ~big & (size == s)]
                 i, j = np.triu_indices(s, 1)
-                yield pairs(x, (first[:, None] + i).ravel(), (first[:, None] + j).ravel())
-            if size[-1] > dense or large is not None and x["bucket"][start[-1]] == large:
+                some = max(1, AT_ONCE // len(i))
+                for f in (first[at:at + some, None] for at in range(0, len(first), some)):
+                    yield pairs(x, (f + i).ravel(), (f + j).ravel())
+            if big[-1]:
                 large, keep = int(x["bucket"][start[-1]]), slice(start[-1], start[-1] + PIVOTS)
             else:
                 large, keep = None, slice(start[-1], None)
