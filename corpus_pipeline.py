@@ -2,8 +2,8 @@
 
 Every stage is (spark, docs, sf_dir) -> DataFrame and works on all rows that the one before it kept; all but the last
 return the columns of ``documents``. Null, empty and blank texts have no letter and go in the first stage; an empty
-table passes through all of them. Rows that share an id count as one document in the stages that decide by id (n-gram
-Jaccard join and decontamination).
+table passes through all of them. Every row is a document of its own, rows with a null or a shared id too: the stages
+that drop some (n-gram Jaccard join and decontamination) give each row a key, and ids only decide which copy stays.
 """
 
 from __future__ import annotations
@@ -15,14 +15,20 @@ from tidewater.llm import decontam, exact_dedup, jaccard_join, langid, packing
 from tidewater.llm._common import broadcast_within, saved
 from tidewater.tables import load
 
-#: Most ids that are broadcast to drop documents; with more, Spark shuffles the join.
+#: Most row keys that are broadcast; with more, Spark shuffles the join.
 MAX_BROADCAST = 1_000_000
+ROW = "pipeline_row"
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the documents whose ids are in ``gone`` (doc_id)."""
-    gone = saved(gone.select(F.col("doc_id").alias("gone_id")).distinct(), "pipeline-gone")
-    return docs.join(broadcast_within(gone, MAX_BROADCAST), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of its own in each row, written once, so that it is the same for all who read it."""
+    return saved(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` (from keyed) without those whose keys are in ``gone``, and without the key."""
+    gone = saved(gone.select(ROW), "pipeline-gone")
+    return rows.join(broadcast_within(gone, MAX_BROADCAST), ROW, "left_anti").drop(ROW)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,14 +42,24 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by Jaccard similarity 0.8 of 5-word shingles, the smallest id stays."""
-    found = jaccard_join.join_components(docs)
-    return without(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """Of documents linked by Jaccard similarity 0.8 of 5-word shingles, the smallest id stays; a null id only where
+    there is no other, and one row where several have the smallest."""
+    rows = keyed(docs)
+    linked = saved(jaccard_join.join_components(rows, id_col=ROW).where(F.col(ROW) != F.col("component_id"))
+                   .select(ROW, "component_id"), "pipeline-linked")
+    firsts = linked.select("component_id").distinct()  # a component's first row isn't linked with an earlier one
+    members = saved(linked.unionByName(firsts.withColumn(ROW, F.col("component_id"))), "pipeline-members")
+    members = rows.select(ROW, "doc_id").join(broadcast_within(members, MAX_BROADCAST), ROW)
+    best = saved(members.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("best"))
+        .select(F.col(f"best.{ROW}").alias(ROW)), "pipeline-best")
+    return without(rows, members.join(broadcast_within(best, MAX_BROADCAST), ROW, "left_anti"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap a benchmark item go."""
-    return without(docs, decontam.decontaminate(docs, load(spark, sf_dir, "benchmark")).where("contaminated"))
+    rows = keyed(docs)
+    return without(rows, decontam.decontaminate(rows, load(spark, sf_dir, "benchmark"), id_col=ROW).where("contaminated"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

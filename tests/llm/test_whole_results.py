@@ -1,11 +1,14 @@
 """Cases in which an operator once did less than its whole job."""
 
 import itertools
+import random
 
 import pytest
 
+import corpus_pipeline
 from tidewater.llm import jaccard_join
 
+SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string"
 
 
@@ -29,3 +32,20 @@ def test_jaccard_join_of_a_neighbourhood_over_batch_borders(spark, batch, dense,
     finally:
         spark.conf.set(name, before)
     assert [r.component_id for r in got] == comp
+
+
+def test_pipeline_stages_drop_rows_and_not_ids(spark):
+    rng = random.Random(1)
+    text = lambda: [f"w{rng.randrange(10**6)}" for _ in range(40)]
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("size(split(text, ' ')) > 15").first().text
+    near, other = text(), text()
+    docs = [(3, near), (None, near[:-1] + ["x"]), (None, text()), (3, text()), (None, text()), (2, near + ["y"]),
+            (None, other), (None, other + ["z"]), (8, near[1:]), (7, text()), (7, text() + item.split()), (None, item.split())]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], SCHEMA)
+    left = corpus_pipeline.near_duplicate_stage(spark, df, SF)
+    want = [docs[k] for k in (2, 3, 4, 5, 9, 10, 11)]
+    got = [(r.doc_id, r.text.split()) for r in left.collect()]
+    assert left.columns == df.columns and len(got) == len(want) + 1
+    assert all(d in got for d in want) and sum(t[:9] == other[:9] for _, t in got) == 1
+    got = [(r.doc_id, r.text.split()) for r in corpus_pipeline.decontamination_stage(spark, df, SF).collect()]
+    assert sorted(got, key=repr) == sorted(docs[:10], key=repr)
