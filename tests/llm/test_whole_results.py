@@ -3,10 +3,11 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidewater.llm import jaccard_join
+from tidewater.llm import jaccard_join, langid
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string"
@@ -49,3 +50,26 @@ def test_pipeline_stages_drop_rows_and_not_ids(spark):
     assert all(d in got for d in want) and sum(t[:9] == other[:9] for _, t in got) == 1
     got = [(r.doc_id, r.text.split()) for r in corpus_pipeline.decontamination_stage(spark, df, SF).collect()]
     assert sorted(got, key=repr) == sorted(docs[:10], key=repr)
+
+
+def test_languages_of_a_family_are_told_apart_pair_by_pair(spark):
+    rng = random.Random(3)
+    syllables = {"da": "af ej hv", "no": "av ei hv", "sv": "av ej ck", "fr": "eau oi que"}
+    make = lambda lang, n: " ".join("".join(rng.choice(syllables[lang].split()) for _ in range(3)) for _ in range(n))
+    train = {lang: [make(lang, 30) for _ in range(40)] for lang in syllables}
+    table = lambda langs: spark.createDataFrame([(t, lang) for lang in langs for t in train[lang]], "text string, lang string")
+    model = langid.fit(table(syllables))
+    assert model.langs["germanic"] == ["da", "no", "sv"] and model.by_lang["germanic"].shape[1] == 3
+    assert model.by_lang["romance"].shape[1] == 0
+    for k, pair in enumerate(itertools.combinations(("da", "no", "sv"), 2)):  # no row of a third language has a say
+        alone = langid.fit(table(pair)).by_lang["germanic"]
+        assert np.allclose(model.by_lang["germanic"][:, [k]], alone, atol=1e-4)
+    docs = spark.createDataFrame([(i, make(lang, 20)) for i, lang in enumerate([*syllables] * 9)], SCHEMA)
+    got = langid.identify(docs, model).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in got] == [*syllables] * 9 and all(0 <= r.score <= 1 for r in got)
+
+
+def test_votes_decide_and_margins_break_ties():
+    best, score = langid.vote(np.array([[.1, .1, 9], [-.1, .2, -.4], [.4, -.2, .1]]), 3)  # 0:1, 0:2, 1:2
+    assert best.tolist() == [0, 2, 0] and (score >= 0).all() and (score <= 1).all()
+    assert langid.vote(np.zeros((2, 0)), 1)[1].tolist() == [1, 1]

@@ -1,7 +1,8 @@
 """Language identification by hierarchical discrimination.
 
-First the language family, then the language within it: each step has one linear support vector machine per class (one
-versus the rest), so the machines that separate closely related languages are trained on their family alone. Features
+First the language family, by one linear support vector machine per family (one versus the rest), then the language
+within it, by one machine for each pair of its languages (one versus one), trained on the rows of those two alone, and a
+vote. Features
 are hashed byte bigrams and trigrams of the whole lower-cased text. Only the text is ever looked at for a prediction.
 """
 
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -58,13 +60,14 @@ def features(texts: pa.Array) -> np.ndarray:
     return out / np.maximum(norm, 1e-9)
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, classes: int, ridge: float = 1e-4, steps: int = 250) -> np.ndarray:
-    """One-versus-rest linear machines with squared hinge loss, by accelerated gradient steps: (WIDTH + 1, classes)."""
-    signs = np.where(y[:, None] == np.arange(classes), 1, -1).astype(np.float32)
+def train_svm(x: np.ndarray, signs: np.ndarray, ridge: float = 1e-4, steps: int = 250) -> np.ndarray:
+    """Linear machines with squared hinge loss, by accelerated gradient steps: (WIDTH + 1, machines). ``signs`` (rows,
+    machines) are 1 or -1, the side of each row."""
+    signs = signs.astype(np.float32)
     # Classes weigh alike within each machine, whatever their share of the sample.
     weight = np.where(signs > 0, 0.5 / np.maximum((signs > 0).sum(0), 1), 0.5 / np.maximum((signs < 0).sum(0), 1))
     weight = weight.astype(np.float32)
-    w = np.zeros((x.shape[1] + 1, classes), np.float32)
+    w = np.zeros((x.shape[1] + 1, signs.shape[1]), np.float32)
     ahead, rate, t = w.copy(), 0.15, 1.0
     for _ in range(steps):
         slack = np.maximum(0, 1 - signs * (x @ ahead[:-1] + ahead[-1]))
@@ -77,6 +80,40 @@ def train_svm(x: np.ndarray, y: np.ndarray, classes: int, ridge: float = 1e-4, s
     return w
 
 
+def train_rest(x: np.ndarray, y: np.ndarray, classes: int) -> np.ndarray:
+    """One machine per class against the rest."""
+    return train_svm(x, np.where(y[:, None] == np.arange(classes), 1, -1))
+
+
+def train_pairs(x: np.ndarray, y: np.ndarray, classes: int) -> np.ndarray:
+    """One machine for each pair of classes, in the order of ``combinations``: positive for the first of the two."""
+    machines = [np.zeros((x.shape[1] + 1, 0), np.float32)]
+    for a, b in combinations(range(classes), 2):
+        rows = np.flatnonzero((y == a) | (y == b))
+        machines.append(train_svm(x[rows], np.where(y[rows, None] == a, 1, -1)))
+    return np.hstack(machines)
+
+
+def vote(margins: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The class with the most votes of the pairs' machines, ties by summed margins and then by order, and its score:
+    the mean of its shares (0 to 1) in its pairs, 1 where there is no other class."""
+    votes, sums, score = (np.zeros((len(margins), classes)) for _ in range(3))
+    for k, (a, b) in enumerate(combinations(range(classes), 2)):
+        m = margins[:, k].astype(float)
+        votes[:, a] += m >= 0
+        votes[:, b] += m < 0
+        sums[:, a] += m
+        sums[:, b] -= m
+        share = (1 + np.tanh(4 * m)) / 2
+        score[:, a] += share
+        score[:, b] += 1 - share
+    sums[votes < votes.max(axis=1, keepdims=True)] = -np.inf
+    best = sums.argmax(axis=1)
+    if classes < 2:
+        return best, np.ones(len(margins))
+    return best, score[np.arange(len(margins)), best] / (classes - 1)
+
+
 def shares(margins: np.ndarray) -> np.ndarray:
     """The machines' margins as shares that add up to 1."""
     e = np.exp(4 * (margins - margins.max(axis=1, keepdims=True)))
@@ -85,23 +122,22 @@ def shares(margins: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """``steps``: the family step, then one per family; each has its classes and machines."""
+    """The families with a machine each, and the languages of each family with a machine for each pair."""
     families: list[str]
     by_family: np.ndarray
     langs: dict[str, list[str]]
     by_lang: dict[str, np.ndarray]
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
-        """The language of each row and its score: share of the family times share of the language within it."""
+        """The language of each row and its score: share of the family times score of the language within it."""
         step = shares(x @ self.by_family[:-1] + self.by_family[-1])
         family = step.argmax(axis=1)
         out, score = np.empty(len(x), object), step[np.arange(len(x)), family].astype(float)
         for k, name in enumerate(self.families):
             rows = np.flatnonzero(family == k)
-            within = shares(x[rows] @ self.by_lang[name][:-1] + self.by_lang[name][-1])
-            best = within.argmax(axis=1)
+            best, within = vote(x[rows] @ self.by_lang[name][:-1] + self.by_lang[name][-1], len(self.langs[name]))
             out[rows] = np.array(self.langs[name], object)[best]
-            score[rows] *= within[np.arange(len(rows)), best]
+            score[rows] *= within
         return out.tolist(), score
 
 
@@ -148,9 +184,9 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", max_pe
     by_lang = {}
     for k, name in enumerate(families):
         rows_of = family == k
-        by_lang[name] = train_svm(x[rows_of], np.array([langs[name].index(one) for one in lang[rows_of]]),
-                                  len(langs[name]))
-    return Model(families, train_svm(x, family, len(families)), langs, by_lang)
+        by_lang[name] = train_pairs(x[rows_of], np.array([langs[name].index(one) for one in lang[rows_of]]),
+                                    len(langs[name]))
+    return Model(families, train_rest(x, family, len(families)), langs, by_lang)
 
 
 def answers(model: Model | None, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
