@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, exact_dedup, jaccard_join, langid, packing
+from tidewater.llm import decontam, exact_dedup, jaccard_join, langid, packing, token_count
 from tidewater.llm._common import broadcast_within, saved
 from tidewater.tables import load
 
@@ -64,7 +64,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each document lies: bucket, shard, batch and place."""
-    return packing.pack(docs)
+    return packing.pack_tokens(docs, token_count.vocabulary())
 
 
 STAGES = [("language ID", language_stage), ("exact dedup", dedup_stage), ("n-gram Jaccard join", near_duplicate_stage),

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidewater.llm import jaccard_join, langid
+from tidewater.llm import jaccard_join, langid, packing, queries, token_count
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string"
@@ -73,3 +73,25 @@ def test_votes_decide_and_margins_break_ties():
     best, score = langid.vote(np.array([[.1, .1, 9], [-.1, .2, -.4], [.4, -.2, .1]]), 3)  # 0:1, 0:2, 1:2
     assert best.tolist() == [0, 2, 0] and (score >= 0).all() and (score <= 1).all()
     assert langid.vote(np.zeros((2, 0)), 1)[1].tolist() == [1, 1]
+
+
+def test_packing_goes_by_tokens_and_not_by_words(spark):
+    texts = ["漢字" * 3000, "https://example.org/a?b=c," * 400, "aGVsbG8gd29ybGQ=" * 500, "a few words", None, ""] * 3
+    docs = spark.createDataFrame([(i or None, t) for i, t in enumerate(texts)], SCHEMA)
+    vocabulary = token_count.vocabulary()
+    counts = [r.n_tokens for r in token_count.count_tokens(docs, vocabulary).collect()]
+    assert min(counts[:3]) > 1000
+    got = packing.pack_tokens(docs, vocabulary, budget=6000, buckets=4).collect()
+    assert sorted(r.n_tokens for r in got) == sorted(counts)
+    batches = {}
+    for r in got:
+        batches.setdefault((r.bucket, r.shard, r.batch), []).append(r)
+    assert all(len(b) == 1 or sum(r.n_tokens for r in b) <= len(b) * b[0].bucket_len <= 6000 for b in batches.values())
+    assert packing.pack_tokens(docs.limit(0), vocabulary).count() == 0
+
+
+def test_queries_pack_by_tokens(spark):
+    want = sorted(r.n_tokens for r in queries.op5_token_counts(spark, SF).collect())
+    assert sorted(r.n_tokens for r in queries.op10_packing(spark, SF).collect()) == want
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert sorted(r.n_tokens for r in corpus_pipeline.packing_stage(spark, docs, SF).collect()) == want

@@ -12,7 +12,8 @@ from bisect import bisect_left
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm._common import WORD, text_of
+from tidewater.llm import token_count
+from tidewater.llm._common import WORD, saved, text_of
 
 
 def word_count(text: Column) -> Column:
@@ -105,3 +106,11 @@ def pack(docs: DataFrame, budget: int = 16_384, buckets: int = 16, id_col: str =
             .select(F.col("id").alias(id_col), "n_tokens", "bucket", "bucket_len", "shard",
                     F.floor(F.col("nth") / F.col("fits")).alias("batch"),
                     (F.col("nth") % F.col("fits")).cast("int").alias("place")))
+
+
+def pack_tokens(docs: DataFrame, vocabulary: list[bytes], budget: int = 16_384, buckets: int = 16,
+                id_col: str = "doc_id", text_col: str = "text", shard_rows: int = 65_536) -> DataFrame:
+    """``pack`` with the tokens of ``token_count.count_tokens`` as lengths: the greedy longest-match pieces of the words
+    of a text. They are counted once, for each row by itself, whether ids are null or shared."""
+    counted = saved(token_count.count_tokens(docs, vocabulary, id_col, text_col), "packing-tokens")
+    return pack(counted, budget, buckets, id_col, length=F.col("n_tokens"), shard_rows=shard_rows)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import (bitpack, decontam, exact_dedup, jaccard_join, langid, packing, pii, quality, token_count,
                            url_filter)
+from tidewater.llm.token_count import tokenizer_file
 from tidewater.session import scratch_path
 from tidewater.tables import load
 
@@ -25,12 +26,6 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def tokenizer_file(name: str) -> str:
-    """Path of a public vocabulary file; read where it is installed, never copied."""
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
 #: Fixed values of the contract, then pattern rules of our own.
 URL_RULES = [
     url_filter.prefix_rule("org", "/", "allow"),
@@ -143,8 +138,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = token_count.read_ranks(tokenizer_file("byte_bpe_50k.tiktoken"))
-    return token_count.count_tokens(load(spark, sf_dir, "documents"), vocabulary)
+    return token_count.count_tokens(load(spark, sf_dir, "documents"), token_count.vocabulary())
 
 
 @query("op6_exact_dedup", r"""
@@ -208,7 +202,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(load(spark, sf_dir, "documents"))
+    return packing.pack_tokens(load(spark, sf_dir, "documents"), token_count.vocabulary())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

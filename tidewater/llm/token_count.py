@@ -21,6 +21,17 @@ from pyspark.sql import functions as F
 from tidewater.llm._arrow import slices, strings, text_bytes, words
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public vocabulary file; read where it is installed, never copied."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def vocabulary() -> list[bytes]:
+    """The pieces that token counts and lengths go by."""
+    return read_ranks(tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
 def read_ranks(path: str) -> list[bytes]:
     """The pieces of a vocabulary file with one base64 piece and its rank per line."""
     with open(path, "rb") as f:
