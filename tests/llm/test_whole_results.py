@@ -2,12 +2,13 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidewater.llm import jaccard_join, langid, packing, queries, token_count
+from tidewater.llm import jaccard_join, langid, packing, pii, queries, token_count
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string"
@@ -95,3 +96,31 @@ def test_queries_pack_by_tokens(spark):
     assert sorted(r.n_tokens for r in queries.op10_packing(spark, SF).collect()) == want
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert sorted(r.n_tokens for r in corpus_pipeline.packing_stage(spark, docs, SF).collect()) == want
+
+
+def spans_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    return {r.doc_id: r.spans.split(",") for r in pii.digest(pii.find_spans(docs)).collect()}
+
+
+def test_terms_in_a_text_that_grows_in_lower_case(spark):
+    texts = ["İstanbul: Zorblax and ZORBLAX, İzmir, zorblax", "İstanbul wrote from ann@x.org in İ"]
+    texts += ["istanbul from ann@x.org here", "ISTANBUL from ann@x.org there", "call İSTANBUL"]
+    texts += [f"istanbul {i} from ann@x.org" for i in range(8)]
+    texts += [f"the zorblax wrote from bob@x.org in the year {i}" for i in range(5)]
+    texts += [f"the weather in the year {i} was fine" for i in range(100)]
+    got = spans_of(spark, texts)
+    for k, term in ((0, "zorblax"), *((k, "istanbul") for k in range(13))):
+        low = texts[k].replace("İ", "i").lower()
+        assert {f"term:{m.start()}:{m.end()}" for m in re.finditer(term, low)} <= set(got[k]), k
+
+
+@pytest.mark.parametrize("gap", [" " * 500, " -- " * 400, "\n" * 399 + " "])
+def test_near_words_behind_a_long_gap(spark, gap):
+    long = "x" * 450
+    texts = [f"qorvex {k}{gap}bob@x.org{gap}{long}{k} zorblax a b c d e f g h i j k farther" for k in range(5)]
+    texts += [f"the weather in the year {i} was fine" for i in range(40)]
+    got = spans_of(spark, texts)
+    for k in range(5):
+        want = {f"term:{texts[k].index(t)}:{texts[k].index(t) + len(t)}" for t in ("qorvex", "zorblax")}
+        assert want <= set(got[k]) and f"term:{texts[k].index('farther')}:{len(texts[k])}" not in got[k]

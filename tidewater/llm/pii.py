@@ -106,8 +106,30 @@ def with_base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return text.select("id", "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
 
 
+def lowered(text: Column) -> Column:
+    """The text in lower case, character by character: only U+0130 would become two, and is an i here."""
+    return F.lower(F.translate(text, "\u0130", "i"))
+
+
 def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), NOT_TERM), "")
+    return F.array_remove(F.split(lowered(text), NOT_TERM), "")
+
+
+def words_near(text: str, place: str, near: int) -> Column:
+    """The ``near`` words before and behind the span ``place`` (start, end) of the column ``text``, or as many as there
+    are. Some characters usually hold them; where they don't, a pattern takes them from the whole side, the one before
+    the span in reverse."""
+    reach = 40 * near
+    word = r"[\p{L}\p{N}]"
+    first = rf"\A(?:[^\p{{L}}\p{{N}}]*+{word}++){{0,{near}}}"
+    before = F.expr(f"substring({text}, greatest(1, {place}.start + 1 - {reach}), least({place}.start, {reach}))")
+    behind = F.expr(f"substring({text}, {place}.end + 1, {reach})")
+    far = F.reverse(F.regexp_extract(F.reverse(F.expr(f"substring({text}, 1, {place}.start)")), first, 0))
+    on = F.regexp_extract(F.expr(f"substring({text}, {place}.end + 1)"), first, 0)
+    # One word more than wanted: none of the wanted is cut off by the reach.
+    before = F.when((F.col(f"{place}.start") <= reach) | (F.size(words_of(before)) > near), before).otherwise(far)
+    behind = F.when((F.length(behind) < reach) | (F.size(words_of(behind)) > near), behind).otherwise(on)
+    return F.concat(F.slice(F.reverse(words_of(before)), 1, near), F.slice(words_of(behind), 1, near))
 
 
 def disclosing_terms(docs: DataFrame, base: DataFrame, near: int = NEAR, min_docs: int = MIN_DOCS,
@@ -126,10 +148,7 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, near: int = NEAR, min_doc
 
     spans = (base.where(" or ".join(f"size({k}) > 0" for k in KINDS))
              .select("id", "text", F.explode(F.concat(*map(entities_of, KINDS))).alias("s")))
-    reach = 40 * near  # characters that surely hold ``near`` words of usual length
-    before = words_of(F.expr(f"substring(text, greatest(1, s.start + 1 - {reach}), least(s.start, {reach}))"))
-    behind = words_of(F.expr(f"substring(text, s.end + 1, {reach})"))
-    around = F.concat(F.slice(F.reverse(before), 1, near), F.slice(behind, 1, near))
+    around = words_near("text", "s", near)
     ok = (F.length("term") >= 3) & F.col("term").rlike(r"\p{L}")
     # A document is counted once for an entity and once for a pair, whatever the number of occurrences.
     near_pairs = saved(spans.select("id", F.col("s.entity").alias("entity"), F.explode(F.array_distinct(around))
@@ -170,8 +189,7 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     holds = saved(holds, "pii-holds")
     out = base.join(broadcast_within(holds, MAX_BROADCAST // 10), F.col("id").eqNullSafe(F.col("held_id")), "left")
     pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join("held", "|"), F.lit(r")(?![\p{L}\p{N}])"))
-    lowered = F.when(F.length(F.lower("text")) == F.length("text"), F.lower("text")).otherwise(F.col("text"))
-    spans = F.when(F.col("held").isNotNull(), matches(lowered, pattern)).otherwise(F.array().cast(EMPTY))
+    spans = F.when(F.col("held").isNotNull(), matches(lowered(F.col("text")), pattern)).otherwise(F.array().cast(EMPTY))
     return out.select("id", "text", *KINDS, spans.cast(EMPTY).alias("term"))
 
 
