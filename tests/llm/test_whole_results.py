@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidewater.llm import jaccard_join, langid, packing, pii, queries, token_count
+from tidewater.llm import decontam, jaccard_join, langid, packing, pii, queries, token_count
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string"
@@ -124,3 +124,14 @@ def test_near_words_behind_a_long_gap(spark, gap):
     for k in range(5):
         want = {f"term:{texts[k].index(t)}:{texts[k].index(t) + len(t)}" for t in ("qorvex", "zorblax")}
         assert want <= set(got[k]) and f"term:{texts[k].index('farther')}:{len(texts[k])}" not in got[k]
+
+
+def test_decontamination_with_null_and_shared_item_ids(spark):
+    one, two, three, four = ([f"{c}{k}" for k in range(n)] for c, n in (("a", 20), ("b", 18), ("c", 16), ("d", 5)))
+    bench = spark.createDataFrame([(None, " ".join(one)), (4, " ".join(two)), (4, " ".join(three)), (None, " ".join(four))],
+                                  "item_id bigint, text string")
+    texts = [one, two + three, three, one + two, four, ["z"] * 30, three + four]
+    docs = spark.createDataFrame([(i, " ".join(["x", *t, "y"])) for i, t in enumerate(texts)], SCHEMA)
+    got = [tuple(r)[1:] for r in decontam.decontaminate(docs, bench).orderBy("doc_id").collect()]
+    assert got == [(True, 1, None, 20), (True, 2, 4, 18), (True, 1, 4, 16), (True, 2, None, 20), (True, 1, None, 5),
+                   (False, 0, None, 0), (True, 2, 4, 16)]

@@ -60,14 +60,16 @@ def seeds_of(rows: DataFrame, whole_lengths: list[int]) -> DataFrame:
 
 
 def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, ih): items with tokens; those with the same tokens are one, under their smallest id."""
-    rows = benchmark.select(F.col(id_col).alias("item"), token_hashes(text_of(text_col)).alias("ih"))
-    return saved(rows.where(F.size("ih") > 0).groupBy("ih").agg(F.min("item").alias("item")), "decontam-items")
+    """(item, item_id, ih): items with tokens under a number of their own; those with the same tokens are one, with
+    their smallest id, or null if none of them has one."""
+    rows = benchmark.select(F.col(id_col).alias("item_id"), token_hashes(text_of(text_col)).alias("ih"))
+    items = rows.where(F.size("ih") > 0).groupBy("ih").agg(F.min("item_id").alias("item_id"))
+    return saved(items.select(F.monotonically_increasing_id().alias("item"), "item_id", "ih"), "decontam-items")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Verified overlaps: (id, item, diagonal, n_matched), the item's token k lying on the document's token
+    """Verified overlaps: (key, item, item_id, diagonal, n_matched), the item's token k lying on the document's token
     k + diagonal, with the tokens that agree over the whole overlap."""
     rows = docs.select(F.col(id_col).alias("key"), text_of(text_col).alias("text"))
     items = benchmark_items(benchmark, item_col, item_text_col)
@@ -88,14 +90,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     first, last = F.greatest(F.lit(0), -d), F.least(F.size(ih), F.size(h) - d)
     same = F.when(last > first, F.transform(F.sequence(first, last - 1), lambda k: F.when(
         F.get(ih, k) == F.get(h, k + d), 1).otherwise(0))).otherwise(F.array().cast("array<int>"))
-    found = found.select("key", "item", "diagonal", F.size("ih").alias("n"), same.alias("same"))
+    found = found.select("key", "item", "item_id", "diagonal", F.size("ih").alias("n"), same.alias("same"))
     window = F.least(F.col("n"), F.lit(WINDOW))
     needed = F.when(F.col("n") >= WINDOW, WINDOW - SUBSTITUTIONS).otherwise(F.col("n"))
     total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
     leak = F.when(F.size("same") >= window, F.exists(
         F.sequence(F.lit(1), F.size("same") - window + 1),
         lambda s: total(F.slice("same", s, window)) >= needed)).otherwise(False)
-    return found.where(leak).select("key", "item", "diagonal", total(F.col("same")).alias("n_matched"))
+    return found.where(leak).select("key", "item", "item_id", "diagonal", total(F.col("same")).alias("n_matched"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -103,13 +105,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per row of ``docs``: its id, ``contaminated``, ``n_items`` (distinct items found in it), ``item_id``
     (the item with the most agreeing tokens, ties to the smallest) and ``n_matched`` (those tokens; 0 without any).
 
-    Null and empty texts and items have no tokens and match nothing; items with equal tokens count as one; rows that
-    share an id (nulls too) are judged together. Empty tables give empty or clean results; other columns are not read.
+    Null and empty texts and items have no tokens and match nothing; items with equal tokens count as one, those that
+    share an id but not their tokens each; an item with a null id counts like others, and ``item_id`` is null where it
+    has more agreeing tokens than any with an id. Rows that share an id (nulls too) are judged together. Empty tables give empty or clean results; other columns are not read.
     """
     per_doc = (overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col)
-               .groupBy("key", "item").agg(F.max("n_matched").alias("n_matched"))
+               .groupBy("key", "item", "item_id").agg(F.max("n_matched").alias("n_matched"))
                .groupBy("key").agg(F.count(F.lit(1)).alias("n_items"),
-                                   F.max(F.struct("n_matched", -F.col("item"))).alias("best")))
+                                   F.max(F.struct("n_matched", -F.col("item_id"))).alias("best")))
     per_doc = per_doc.select(F.col("key").alias("hit_key"), "n_items", F.col("best.n_matched").alias("n_matched"),
                              (-F.col("best")["col2"]).alias("item_id"))
     ids = docs.select(F.col(id_col).alias("key"))
