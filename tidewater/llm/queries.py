@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import (bitpack, decontam, exact_dedup, jaccard_join, langid, packing, pii, quality, token_count,
-                           url_filter)
+from tidewater.llm import (bitpack, decontam, exact_dedup, fill_middle, jaccard_join, langid, packing, pii, quality,
+                           token_count, url_filter)
 from tidewater.llm.token_count import tokenizer_file
 from tidewater.session import scratch_path
 from tidewater.tables import load
@@ -205,6 +205,34 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_tokens(load(spark, sf_dir, "documents"), token_count.vocabulary())
 
 
+@query("op12_fill_middle", r"""
+with drawn as (
+  select doc_id, coalesce(text, '') as txt, sha256('1:' || coalesce(doc_id::varchar, '')) as h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u
+  from documents),
+numbers as (
+  select doc_id, txt, u, len(u) as n, ('0x' || h[1:8])::bigint % (len(u) + 1) as x,
+         ('0x' || h[9:16])::bigint % (len(u) + 1) as y, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4
+  from drawn),
+formed as (
+  select doc_id, txt, n,
+         case when txt = '' or contains(txt, '<P>') or contains(txt, '<S>') or contains(txt, '<M>') or h3 % 100 >= 90
+              then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form,
+         array_to_string(u[1:least(x, y)], '') as pre,
+         array_to_string(u[least(x, y) + 1:greatest(x, y)], '') as mid,
+         array_to_string(u[greatest(x, y) + 1:], '') as suf
+  from numbers)
+select doc_id, n, form, case when form <> 'plain' then length(pre) end as prefix_chars,
+       case when form <> 'plain' then length(mid) end as middle_chars,
+       sha256(case form when 'plain' then txt when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+       sha256(txt) as restored_sha256
+from formed
+""")
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(fill_middle.fill_middle(load(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
