@@ -4,10 +4,11 @@ texts, ties, repeated rows and clashing column names."""
 import hashlib
 import random
 import re
+from collections import Counter
 
-from pyspark.sql import functions as F
+import numpy as np
 
-from tidewater.llm import fill_middle
+from tidewater.llm import fill_middle, phrases
 
 #: An id column, the text, and columns whose names the operators use inside.
 SCHEMA = "doc_id bigint, text string, lang string, id bigint, n bigint, h1 string, form string, txt string, row bigint"
@@ -53,3 +54,75 @@ def test_fill_middle(spark):
     assert rows(fill_middle.digest(fill_middle.fill_middle(named, "key", "body"))) == want
     alone = fill_middle.fill_middle(docs, plain_percent=0, spm_percent=100)
     assert {r.form for r in alone.where("output is not null and prefix_chars is not null").collect()} == {"spm"}
+
+
+def brute_phrases(docs, most, threshold, top):
+    """Contract in plain Python over (lang, text)."""
+    f, total = Counter(), Counter()
+    for lang, text in docs:
+        lang = lang or "und"
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\n-\r]", low):
+            w = re.findall("[^ \t]+", piece)
+            total[lang] += len(w)
+            f.update((lang, tuple(w[i:i + k])) for k in range(1, most + 1) for i in range(len(w) - k + 1))
+    often = {g: n for g, n in f.items() if n >= threshold}
+    out = []
+    for (lang, w), a in often.items():
+        if len(w) < 2 or any(o == lang and len(v) > len(w) and m >= a and any(
+                v[i:i + len(w)] == w for i in range(len(v))) for (o, v), m in often.items()):
+            continue
+        score, k = min((1000 * a * total[lang] // (f[lang, w[:k]] * f[lang, w[k:]]), k) for k in range(1, len(w)))
+        out.append((lang, " ".join(w), a, f[lang, w[:k]], f[lang, w[k:]], total[lang], score))
+    ranked = []
+    for lang in total:
+        own = sorted((r for r in out if r[0] == lang), key=lambda r: (-r[6], -r[2], r[1].encode()))[:top]
+        ranked += [(lang, i + 1, *r[1:]) for i, r in enumerate(own)]
+    return sorted(ranked, key=repr)
+
+
+def phrase_docs():
+    rng = random.Random(3)
+    vocab = ["the", "of", "Été", "x" * 300, "a", "b", "漢", "\u00a0z", "Zed"]
+    docs = []
+    for i in range(160):
+        words = rng.choices(vocab, [9, 8, 3, 1, 5, 5, 2, 1, 1], k=rng.choice([0, 1, 3, 20, 60]))
+        text = "".join(w + rng.choice([" ", "  ", "\t", ". ", "\n", " ", " "]) for w in words)
+        docs.append((rng.choice(["en", None, "fr"]), rng.choice([text, text, None if i % 9 == 0 else text])))
+    return docs + [("en", "the of A the of a")] * 40 + [("de", ""), ("de", None), ("fr", "b " * 5000), ("it", "a b!")]
+
+
+def test_phrases(spark):
+    docs = phrase_docs()
+    df = table(spark, [(i % 3, t, lang) for i, (lang, t) in enumerate(docs)]).repartition(5)
+    want = brute_phrases(docs, 5, 8, 50)
+    assert len(want) > 60 and {r[0] for r in want} >= {"en", "fr", "und"}
+    assert rows(phrases.mine_phrases(df, threshold=8, top=50)) == want
+    # a bitmap that lets nearly all through, and slices of a few texts: nothing changes
+    assert rows(phrases.mine_phrases(df, threshold=8, top=50, n_bits=1 << 12)) == want
+    assert rows(phrases.mine_phrases(df, most=3, threshold=30)) == brute_phrases(docs, 3, 30, 2000)
+    assert phrases.mine_phrases(df.limit(0)).count() == 0
+    assert phrases.mine_phrases(df, threshold=10**6).count() == 0
+
+
+def test_summaries_keep_what_is_frequent():
+    rng = np.random.default_rng(5)
+    for slack in (1, 2, 4):
+        items = np.minimum(rng.zipf(1.3, 200_000), 60_000).astype(np.uint64)
+        truth = np.bincount(items.astype(int))
+        held = phrases.Summary(100, slack, wait=500)
+        for part in np.array_split(items, 97):
+            v, c = np.unique(part, return_counts=True)
+            held.add((v << np.uint64(32)) | c.astype(np.uint64))
+        left = set(held.survivors().tolist())
+        assert held.mass == len(items) and 0 < held.taken < 100
+        assert set(np.flatnonzero(truth >= 100)) <= left and len(left) < len(np.flatnonzero(truth)) / 2
+        assert len(held.held) <= slack * held.mass / 100 + 1
+
+
+def test_packed_counts_come_back():
+    values = np.array([0, 1, 7, 2**31, 2**32 - 1], np.uint32)
+    counts = np.array([1, 2**31 + 5, 3, 1, 9])
+    got = phrases._unpacked(phrases._packed(values, counts), 5)
+    assert (got >> np.uint64(32)).tolist() == values.tolist()
+    assert (got & np.uint64(0xFFFFFFFF)).tolist() == [1, 2**31, 3, 1, 9]

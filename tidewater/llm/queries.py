@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import (bitpack, decontam, exact_dedup, fill_middle, jaccard_join, langid, packing, pii, quality,
-                           token_count, url_filter)
+from tidewater.llm import (bitpack, decontam, exact_dedup, fill_middle, jaccard_join, langid, packing, phrases, pii,
+                           quality, token_count, url_filter)
 from tidewater.llm.token_count import tokenizer_file
 from tidewater.session import scratch_path
 from tidewater.tables import load
@@ -205,6 +205,47 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_tokens(load(spark, sf_dir, "documents"), token_count.vocabulary())
 
 
+@query("op11_phrases", r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+worded as (
+  select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+places as (select lang, w, unnest(range(1, len(w) + 1)) as i from worded),
+grams as (
+  select lang, array_to_string(w[i:i + k - 1], ' ') as phrase, k
+  from places, (select unnest([1, 2, 3, 4, 5]) as k) where i + k - 1 <= len(w)),
+f as (select lang, phrase, any_value(k) as k, count(*)::hugeint as f from grams group by lang, phrase
+      having count(*) >= 100),
+total as (select lang, sum(len(w))::hugeint as n from worded group by lang),
+longer as (
+  select lang, f, string_split(phrase, ' ') as w, k, unnest(range(2, k)) as size from f where k >= 3),
+inside as (
+  select lang, array_to_string(w[o:o + size - 1], ' ') as phrase, max(f) as around
+  from (select *, unnest(range(1, k - size + 2)) as o from longer) group by 1, 2),
+kept as (
+  select f.lang, f.phrase, f.f as a, f.k from f left join inside i on i.lang = f.lang and i.phrase = f.phrase
+  where f.k >= 2 and coalesce(100 * i.around < 100 * f.f, true)),
+cuts as (
+  select lang, phrase, a, string_split(phrase, ' ') as w, k as size, unnest(range(1, k)) as k from kept),
+scored as (
+  select c.lang, c.phrase, c.a, c.k, x.f as l, y.f as r, t.n, (1000 * c.a * t.n) // (x.f * y.f) as score
+  from cuts c join total t on t.lang = c.lang
+  join f x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:c.k], ' ')
+  join f y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+best as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best)
+select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from ranked where rank <= 2000
+""")
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(load(spark, sf_dir, "documents"))
+
+
 @query("op12_fill_middle", r"""
 with drawn as (
   select doc_id, coalesce(text, '') as txt, sha256('1:' || coalesce(doc_id::varchar, '')) as h,
