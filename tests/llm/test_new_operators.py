@@ -8,7 +8,7 @@ from collections import Counter
 
 import numpy as np
 
-from tidewater.llm import fill_middle, phrases
+from tidewater.llm import fill_middle, phrases, suffix_dedup
 
 #: An id column, the text, and columns whose names the operators use inside.
 SCHEMA = "doc_id bigint, text string, lang string, id bigint, n bigint, h1 string, form string, txt string, row bigint"
@@ -126,3 +126,84 @@ def test_packed_counts_come_back():
     got = phrases._unpacked(phrases._packed(values, counts), 5)
     assert (got >> np.uint64(32)).tolist() == values.tolist()
     assert (got & np.uint64(0xFFFFFFFF)).tolist() == [1, 2**31, 3, 1, 9]
+
+
+def brute_repeats(docs, length):
+    """(id, bytes, removed, spans, hash of the rest) over (id, text) in the order of ids, nulls last, then as given."""
+    seen, out = set(), []
+    for i, text in sorted(docs, key=lambda d: (d[0] is None, d[0] or 0)):
+        b = (text or "").encode()
+        gone = bytearray(len(b))
+        for k in range(len(b) - length + 1):
+            if b[k:k + length] in seen:
+                gone[k:k + length] = b"x" * length
+            seen.add(b[k:k + length])
+        spans = len(re.findall(b"x+", bytes(gone)))
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out.append((i, len(b), gone.count(b"x"), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def passage_docs():
+    rng = random.Random(8)
+
+    def prose(n):
+        return " ".join("".join(rng.choices("abcdeé漢", k=rng.randint(1, 7))) for _ in range(n))
+
+    line, passage = prose(16), prose(60)
+    docs = [None, "", "short", "a" * 99, "a" * 100, "a" * 101, "a" * 5000, "ab" * 700, prose(30) * 3, line, passage,
+            passage[7:-9], "x" + passage, prose(2000), "é" * 120, "\0" * 250, (prose(9) + "\n") * 20, line * 2]
+    for _ in range(60):
+        own = prose(rng.choice([5, 20, 60]))
+        docs += [own, rng.choice([own, own + " ", own[:len(own) // 2] + "Q" + own[len(own) // 2:], own + line + prose(9),
+                                  prose(7) + passage + own])]
+    docs += [docs[13]] * 4 + [docs[13][:5000] + "edit" + docs[13][5000:]]
+    return docs
+
+
+def test_removed_repeats(spark):
+    texts = passage_docs()
+    docs = list(enumerate(texts))
+    df = table(spark, [(i, t, "en") for i, t in docs]).repartition(7)
+    for length, sizes in ((100, {}), (100, {"hot_runs": 5, "bucket": 3000}), (31, {"n_bits": 1 << 12}),
+                          (100, {"hot_runs": 2, "max_hot": 100_000})):
+        got = rows(suffix_dedup.digest(suffix_dedup.remove_repeats(df, length=length, **sizes)))
+        assert got == brute_repeats(docs, length)
+    out = suffix_dedup.remove_repeats(df).collect()
+    whole = {i: (t or "").encode() for i, t in docs}
+    for r in out:  # the spans say what is gone
+        b = whole[r.doc_id]
+        assert bytes(r.kept) == b"".join(b[x:y] for x, y in zip([0] + [s.end for s in r.spans],
+                                                                [s.begin for s in r.spans] + [len(b)]))
+    assert suffix_dedup.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_repeats_of_rows_without_ids_of_their_own(spark):
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=40)) for _ in range(30)]
+    texts += texts[:20] + [texts[0]] * 30
+    docs = [(None if i % 3 == 0 else 4 if i % 3 == 1 else i, t) for i, t in enumerate(texts)]
+    got = rows(suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, [(i, t, "en") for i, t in docs]).coalesce(1))))
+    assert got == brute_repeats(docs, 100)
+
+
+def test_merged_transforms_equal_one_sort():
+    rng = random.Random(4)
+    for shard in (20, 90, 10**6):
+        strings = [bytes(rng.choices(b"ab\0\xc3", k=rng.choice([0, 1, 5, 30, 60]))) for _ in range(40)]
+        for depth in (1, 2, 7, 24):
+            string, offset, block = suffix_dedup.repeats(strings, depth, shard)
+            got, want = {}, {}
+            for s, o, b in zip(string.tolist(), offset.tolist(), block.tolist()):
+                got.setdefault(b, set()).add((s, o))
+            for s, x in enumerate(strings):
+                for o in range(len(x) - depth + 1):
+                    want.setdefault(x[o:o + depth], set()).add((s, o))
+            assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
+            assert [want and strings[min(got[b])[0]] is not None for b in got] == [True] * len(got)
+    # one transform of all strings is the merge of its shards to the end
+    strings = [b"banana", b"", b"ananas", b"nab", b"banana"]
+    bwt, places = suffix_dedup.transform(strings)
+    text = b"\xff".join(strings) + b"\xff"
+    suffix = [(text[p:].split(b"\xff")[0], text[:p].count(b"\xff")) for p in places.tolist()]
+    assert suffix == sorted(suffix) and [0 if p == 0 or text[p - 1] == 255 else text[p - 1] + 1 for p in places.tolist()] == bwt.tolist()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import (bitpack, decontam, exact_dedup, fill_middle, jaccard_join, langid, packing, phrases, pii,
-                           quality, token_count, url_filter)
+                           quality, suffix_dedup, token_count, url_filter)
 from tidewater.llm.token_count import tokenizer_file
 from tidewater.session import scratch_path
 from tidewater.tables import load
@@ -274,6 +274,33 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digest(fill_middle.fill_middle(load(spark, sf_dir, "documents")))
 
 
+@query("op13_suffix_dedup", r"""
+with docs as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+windows as (
+  select doc_id, i, substr(h, 2 * i + 1, 200) as w
+  from (select doc_id, h, unnest(range(0, length(h) // 2 - 99)) as i from docs)),
+firsts as (select w, min((doc_id, i)) as first from windows group by w having count(*) > 1),
+covered as (
+  select doc_id, i from windows join firsts using (w) where (doc_id, i) > first),
+edged as (
+  select *, i > lag(i) over (partition by doc_id order by i) + 100 as edge from covered),
+numbered as (
+  select *, sum(coalesce(edge, true)::int) over (partition by doc_id order by i) as run from edged),
+spans as (select doc_id, run, min(i) as b, max(i) + 100 as e from numbered group by all),
+gaps as (
+  select doc_id, b, e, coalesce(lag(e) over (partition by doc_id order by b), 0) as before from spans),
+cut as (
+  select g.doc_id, string_agg(substr(h, 2 * before + 1, 2 * (b - before)), '' order by b) as front,
+         max(e) as last, sum(e - b) as gone, count(*) as n
+  from gaps g join docs d on d.doc_id = g.doc_id group by g.doc_id)
+select d.doc_id, length(h) // 2 as n_bytes, coalesce(gone, 0)::bigint as n_removed, coalesce(n, 0)::bigint as n_spans,
+       sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from docs d left join cut c on c.doc_id = d.doc_id
+""")
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(load(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
