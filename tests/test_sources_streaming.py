@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import catalog as cat
 from tidewater.sources import api, files, sinks, state
+from tidewater.sources.ledger import Ledger, Ranges
 from tidewater.streaming import streams as st
 
 
@@ -77,6 +78,91 @@ def test_daily_incremental_leaves_cut_days_and_mends_torn_ones(spark, tmp):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(48))
 
 
+def hourly(spark, days=4):
+    rows = [(i, dt.datetime(2021, 1, 1) + dt.timedelta(hours=i)) for i in range(24 * days)]
+    return spark.createDataFrame(rows, "id int, ts timestamp_ntz")
+
+
+def ids(spark, path):
+    return sorted(r.id for r in spark.read.parquet(path).select("id").collect())
+
+
+def test_range_algebra_against_sets_of_hours():
+    import random
+    rng = random.Random(1)
+    t0 = dt.datetime(2021, 1, 1)
+
+    def draw():
+        parts = [(a, a + rng.randint(0, 9)) for a in (rng.randrange(60) for _ in range(rng.randint(0, 5)))]
+        r = Ranges((t0 + dt.timedelta(hours=a), t0 + dt.timedelta(hours=b)) for a, b in parts)
+        return r, {h for a, b in parts for h in range(a, b)}
+
+    def hours(r):
+        assert all(a < b for a, b in r.parts) and all(x[1] < y[0] for x, y in zip(r.parts, r.parts[1:]))
+        return {h for a, b in r.parts for h in range(int((a - t0).total_seconds()) // 3600, int((b - t0).total_seconds()) // 3600)}
+
+    for _ in range(400):
+        (a, x), (b, y) = draw(), draw()
+        assert hours(a | b) == x | y and hours(a & b) == x & y and hours(a - b) == x - y
+        assert {h // 24 for h in x} == {h // 24 for h in hours(a.whole_days())} and len(hours(a.whole_days())) % 24 == 0
+
+
+def test_export_that_began_at_noon_gets_its_morning(spark, tmp):
+    df, out = hourly(spark), f"{tmp}/noon"
+    sinks.export_daily_incremental(df, "ts", "2021-01-01 12:00:00", "2021-01-03", out)
+    assert ids(spark, out) == list(range(12, 48))
+    got = sinks.export_daily_incremental(df, "ts", "2021-01-01", "2021-01-04", out)
+    assert got == Ranges([(dt.datetime(2021, 1, 1), dt.datetime(2021, 1, 1, 12)),
+                          (dt.datetime(2021, 1, 3), dt.datetime(2021, 1, 4))])
+    assert ids(spark, out) == list(range(72))
+    assert not sinks.export_daily_incremental(df, "ts", "2021-01-01 05:00:00", "2021-01-04", out)
+    assert [tuple(r) for r in Ledger(spark, out).frame().collect()] == [(dt.datetime(2021, 1, 1), dt.datetime(2021, 1, 4))]
+
+
+def test_what_a_dead_export_left_is_not_taken_for_whole(spark, tmp):
+    df, out = hourly(spark), f"{tmp}/dead"
+    df.where("id < 5").write.parquet(f"{out}/day=2021-01-01")
+    df.where("id = 30").write.parquet(f"{out}/day=2021-01-02")
+    sinks.export_daily_incremental(df, "ts", "2021-01-03", "2021-01-04", out)
+    sinks.export_daily_incremental(df.where("id < 24 or id >= 48"), "ts", "2021-01-01", "2021-01-04", out)
+    assert ids(spark, out) == [*range(24), *range(48, 72)]      # the second day has no rows, and its stray file goes
+
+
+def test_export_that_dies_half_way_is_mended_by_any_later_run(spark, tmp, monkeypatch):
+    df, out = hourly(spark), f"{tmp}/half"
+    sinks.export_daily_incremental(df, "ts", "2021-01-01 12:00:00", "2021-01-02", out)
+    monkeypatch.setattr(Ledger, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        sinks.export_daily_incremental(df.where("id % 5 = 0"), "ts", "2021-01-01", "2021-01-03", out)
+    monkeypatch.undo()
+    assert Ledger(spark, out).state()[0] == Ranges()
+    sinks.export_daily_incremental(df, "ts", "2021-01-03", "2021-01-04", out)
+    # the first day is as it had been; the second was never finished and nobody has asked for it since
+    assert [i for i in ids(spark, out) if i < 24 or i >= 48] == [*range(12, 24), *range(48, 72)]
+    sinks.export_daily_incremental(df, "ts", "2021-01-01", "2021-01-05", out)
+    assert ids(spark, out) == list(range(96))
+
+
+def test_ledger_folds_and_skips_torn_records(spark, tmp):
+    ledger = Ledger(spark, f"{tmp}/folds")
+    t0, hour = dt.datetime(2021, 1, 1), dt.timedelta(hours=1)
+    for i in range(40):
+        part = Ranges([(t0 + 2 * i * hour, t0 + (2 * i + 1) * hour)])
+        ledger.commit(ledger.intend(part), part)
+    want = Ranges((t0 + 2 * i * hour, t0 + (2 * i + 1) * hour) for i in range(40))
+    open_run = ledger.intend(Ranges([(t0, t0 + 4 * hour)]))
+    assert len(ledger._records()) < 30
+    lost = Ranges([(t0, t0 + hour), (t0 + 2 * hour, t0 + 3 * hour)])
+    assert ledger.state() == (want - lost, lost)
+    ledger.fold()
+    assert ledger.state() == (want - lost, lost) and len(ledger._records()) == 1
+    with open(f"{tmp}/folds/_coverage/{9999:010d}.json", "w") as f:
+        f.write('{"kind": "comm')
+    assert ledger.state() == (want - lost, lost)
+    ledger.commit(open_run, lost)                               # its intent went into the snapshot: it says nothing
+    assert ledger.state() == (want - lost, lost)
+
+
 def test_hot_day_is_written_by_many_tasks(spark, tmp):
     df = spark.range(0, 400_000, 1, 8).select(
         F.when(F.col("id") % 10 == 0, "2021-01-02").otherwise("2021-01-01").alias("day"), "id",

@@ -14,6 +14,7 @@ from tidewater.plans.q_joins import EVENT_CONFIG
 from tidewater.plans.registry import query
 from tidewater.session import scratch_path
 from tidewater.sources import api, files, sinks, state
+from tidewater.sources.ledger import Ledger, Ranges
 from tidewater.tables import SCHEMAS, table_path
 
 
@@ -85,6 +86,38 @@ def export_daily_incremental(spark, sf):
     return spark.read.parquet(out).select("o_orderkey", "o_orderdate", F.col("day").cast("date"))
 
 
+_ASKED = [("2024-01-09 10:30:00", "2024-01-20"), ("2024-01-01", "2024-01-15 17:00:00"), ("2024-01-12", "2024-03-01")]
+
+
+@query("export_overlapping_runs", f"""
+WITH asked(b, e) AS (VALUES {', '.join(f"(TIMESTAMP '{b}', date_trunc('day', TIMESTAMP '{e}'))" for b, e in _ASKED)}),
+     days AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n, MIN(event_id) AS first_id, MAX(event_id) AS last_id
+                FROM events WHERE EXISTS (SELECT 1 FROM asked WHERE ts >= b AND ts < e) GROUP BY 1),
+     points AS (SELECT b, e, MAX(e) OVER (ORDER BY b, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+                  FROM asked),
+     islands AS (SELECT b, e, SUM(CASE WHEN before >= b THEN 0 ELSE 1 END) OVER (ORDER BY b, e) AS i FROM points),
+     held AS (SELECT i, MIN(b) AS b, MAX(e) AS e FROM islands GROUP BY i)
+SELECT day, n, first_id, last_id, b AS covered_from, e AS covered_to
+  FROM days JOIN held ON day >= CAST(b AS DATE) AND day < e
+""")
+def export_overlapping_runs(spark, sf):
+    """Three overlapping exports of all events, one beginning and one ending within a day; per day what the output
+    holds, and the covered stretch of the ledger that the day lies in."""
+    out = scratch_path(spark, "overlapping")
+    e = t(spark, sf, "events").select("event_id", "ts")
+    for start, end in _ASKED:
+        sinks.export_daily_incremental(e, "ts", start, end, out)
+    stretch = F.lit(None)
+    for begin, end in Ledger(spark, out).state()[0].parts:
+        own = F.struct(F.lit(begin).cast("timestamp_ntz").alias("b"), F.lit(end).cast("timestamp_ntz").alias("e"))
+        stretch = F.when(Ranges([(begin, end)]).holds(F.col("last_ts")), own).otherwise(stretch)
+    days = spark.read.parquet(out).groupBy("day").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"),
+        F.max("ts").alias("last_ts"))
+    return days.withColumn("s", stretch).select(F.col("day").cast("date"), "n", "first_id", "last_id",
+                                                F.col("s.b").alias("covered_from"), F.col("s.e").alias("covered_to"))
+
+
 @query("compact_files", "SELECT * FROM orders")
 def compact_files(spark, sf):
     src, dst = scratch_path(spark, "many"), scratch_path(spark, "compact")

@@ -28,3 +28,17 @@ def partition_values(spark: SparkSession, path: str, column: str, committed: boo
                 continue
             out.append(jvm.java.net.URLDecoder.decode(name[len(prefix):], "UTF-8"))
     return out
+
+
+def file_names(spark: SparkSession, path: str) -> list[str] | None:
+    """The names of the files directly under ``path``; None when ``path`` does not exist."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()] if fs.exists(p) else None
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and all below it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -6,7 +6,6 @@ location so that a retried or re-run job overwrites its own output instead of du
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 from typing import Callable
 
@@ -14,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.sources.files import read_by_suffix, timestamps_to_text
-from tidewater.sources.partitions import partition_values
+from tidewater.sources.ledger import DAY, Ledger, Ranges, as_time
+from tidewater.sources.partitions import delete, file_names, partition_values
 
 SUFFIXES = {"json": ".json.gz", "csv": ".csv", "parquet": ".parquet"}
 
@@ -63,42 +63,36 @@ def load_overwrite(spark: SparkSession, file_path: str, target: str, schema=None
     return spark.read.parquet(target)
 
 
-#: Folder of the list of days that were written to the end; readers skip names that begin with ``_``.
-COMPLETE = "_complete_days"
-
-
-def existing_days(spark: SparkSession, out_path: str, day_col: str = "day") -> DataFrame | None:
-    """Days written to the end under a ``day=`` partitioned output, one row each (no data file is opened)."""
-    listed = f"{out_path}/{COMPLETE}"
-    if not partition_values(spark, out_path, day_col) or partition_values(spark, listed, "run", committed=True) in (None, []):
-        return None
-    return spark.read.parquet(f"{listed}/run=*").select(F.col(day_col).cast("date")).distinct()
-
-
 def export_daily_incremental(df: DataFrame, ts_col: str, start: str | datetime, end: str | datetime, out_path: str,
-                             day_col: str = "day") -> None:
-    """Export ``[start, end)`` as one output partition per day, skipping days that were already written. Only whole
-    days end up in the output: a last day that ``end`` cuts is left to the next run. A start in the middle of a day
-    yields that day's remaining rows.
-
-    A single job: the range filter reaches the scan, finished days are removed by a left-anti join on their (tiny) list
-    and the rest replaces its partitions. A day counts as finished once the whole write has ended, so what a job that
-    died has left of a day is overwritten by the next run."""
-    spark = df.sparkSession
-    c = F.col(ts_col)
-    last = F.date_trunc("day", F.lit(end).cast("timestamp_ntz")).cast("timestamp_ntz")
-    sel = df.where((c >= F.lit(start).cast("timestamp_ntz")) & (c < last)).withColumn(day_col, F.to_date(c))
-    done = existing_days(spark, out_path, day_col)
-    if done is not None:
-        # one row per finished day: bounded by the number of days, so it is broadcast
-        sel = sel.join(F.broadcast(done), day_col, "left_anti")
+                             day_col: str = "day") -> Ranges:
+    """Export ``[start, end)`` as one output partition per day, reading only what the output doesn't hold yet; returns
+    what was asked for and missing. A last day that ``end`` cuts is left to the next run.
+
+    Which stretches of time the output holds is kept in a ledger (``ledger.py``), not guessed from the folders. A day
+    that is touched is written anew with all that it should hold: what is missing, and what it held before. The ledger
+    notes the days before the first file changes and what they hold after the last, so a job that dies on the way
+    leaves days that count as missing; the next run, whatever it asks for, mends what they had held. Files of unknown
+    origin in a day that is touched go."""
+    spark, c = df.sparkSession, F.col(ts_col)
+    last = datetime.combine(as_time(end).date(), datetime.min.time())
+    ledger = Ledger(spark, out_path)
+    covered, owed = ledger.state()
+    missing = Ranges([(as_time(start), last)]) - covered
+    if not (missing or owed):
+        return missing
+    touched = (missing | owed).whole_days()
+    held = (covered & touched) | missing | owed
+    old = {d: set(file_names(spark, f"{out_path}/{day_col}={d}") or ()) for d in partition_values(spark, out_path, day_col)
+           or [] if Ranges([(as_time(d), as_time(d) + DAY)]) & touched}
+    run = ledger.intend(touched)
     # AQE cuts a heavy day into tasks of its advisory size and puts light days together
-    sel.hint("rebalance", day_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(day_col).parquet(out_path)
-    days = [(d,) for d in partition_values(spark, out_path, day_col) or []]
-    if days:
-        spark.createDataFrame(days, f"{day_col} string").coalesce(1).write \
-            .parquet(f"{out_path}/{COMPLETE}/run={uuid.uuid4().hex}")
+    df.where(held.holds(c)).withColumn(day_col, F.to_date(c)).hint("rebalance", day_col) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(out_path)
+    for d, names in old.items():  # a day without rows keeps the files that were there
+        if names and set(file_names(spark, f"{out_path}/{day_col}={d}") or ()) == names:
+            delete(spark, f"{out_path}/{day_col}={d}")
+    ledger.commit(run, held)
+    return missing
 
 
 def compact_files(spark: SparkSession, src: str, dst: str, num_files: int = 1) -> None:
