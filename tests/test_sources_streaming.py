@@ -416,6 +416,89 @@ def test_ttl_state_and_batch(spark, tmp):
     assert got == {"k": "v1", "j": "x", "n": None}
 
 
+def plain_cache(ops, auto_renew):
+    """(met, value, expiry) of each (key, value, op, ts, ttl), one after the other."""
+    held, out = {}, []
+    for key, value, op, ts, ttl_s in ops:
+        now = held.get(key, (None, None))
+        if now[1] is not None and now[1] <= ts:
+            now = (None, None)
+        met = now[0]
+        if op == "set" and value is not None:
+            now = (value, ts + dt.timedelta(seconds=ttl_s) if ttl_s else None)
+        elif op == "get" and auto_renew and met is not None and ttl_s and ttl_s > 0:
+            now = (met, ts + dt.timedelta(seconds=ttl_s))
+        held[key] = now
+        out.append((met, *now))
+    return out
+
+
+def test_cache_scan_against_one_operation_after_the_other(spark):
+    import random
+    from tidewater.operators import ttl
+    t0, schema = dt.datetime(2021, 1, 1), "key string, value string, op string, ts timestamp_ntz, ttl int, n int"
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for seed, batch in ((1, 10_000), (2, 7), (3, 1)):
+        rng = random.Random(seed)
+        ops, at = [], t0
+        for i in range(900):  # one key has over half of the operations, another none that stores
+            at += dt.timedelta(seconds=rng.choice([0, 1, 2, 5, 30]))
+            key = rng.choice(["hot"] * 6 + ["a", "b", None, "gets"])
+            op = rng.choice(["set", "get", "get", "get", "look"]) if key != "gets" else rng.choice(["get", "look"])
+            ops.append((key, rng.choice([f"v{i}", f"v{i}", None]) if op == "set" else None, op, at,
+                        rng.choice([None, 0, 3, 10, 40, 40])))
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            for renew in (True, False):
+                df = spark.createDataFrame([(*o, i) for i, o in enumerate(ops)], schema).repartition(3)
+                got = ttl.replay(df, ties=("n",), auto_renew=renew, num_partitions=9).orderBy("n").collect()
+                assert [(r.met_value, r.left_value, r.left_until) for r in got] == plain_cache(ops, renew)
+                assert [r.op for r in got] == [o[2] for o in ops]
+                as_of = ops[600][3] + dt.timedelta(milliseconds=500)
+                last = {}
+                for o, (_, value, until) in zip(ops, plain_cache(ops, renew)):
+                    if o[3] <= as_of:
+                        last[o[0]] = (value, until)
+                want = {k: v for k, v in last.items() if v[0] is not None and (v[1] is None or v[1] > as_of)}
+                assert {r.key: (r.value, r.expires) for r in ttl.lookup(df, str(as_of), ties=("n",), auto_renew=renew)
+                        .collect()} == want
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    assert ttl.lookup(df.limit(0), "2021-01-01").count() == 0
+
+
+def test_expired_values_stay_gone(spark):
+    t0 = dt.datetime(2021, 1, 1)
+    schema = "key string, value string, op string, ts timestamp_ntz, ttl int"
+    ops = [("k", "v", "set", t0, 10), ("k", None, "get", t0 + dt.timedelta(seconds=100), 10)]
+    as_of = (t0 + dt.timedelta(seconds=105)).isoformat(sep=" ")
+    assert st.ttl_lookup_batch(spark.createDataFrame(ops, schema), as_of, auto_renew=True).count() == 0
+
+
+def test_cache_stream_orders_operations_expires_by_timer_and_ignores_late_ones(spark, tmp):
+    t0, schema = dt.datetime(2021, 1, 1), "key string, value string, op string, ts timestamp_ntz, ttl int"
+    src, out, ck = f"{tmp}/cache-src", f"{tmp}/cache-out", f"{tmp}/cache-ck"
+
+    def step(ops):
+        rows = [(k, v, op, t0 + dt.timedelta(seconds=s), ttl_s) for k, v, op, s, ttl_s in ops]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        q = st.consume(st.ttl_state(spark.readStream.schema(schema).parquet(src), auto_renew=True, delay="20 seconds"),
+                       st.idempotent_batch_writer(out), ck, output_mode="update")
+        q.awaitTermination()
+        snap = spark.read.parquet(out).groupBy("key").agg(F.max_by(F.struct("value", "expires"), "batch_id").alias("s"))
+        return {r.key: (r.s.value, r.s.expires and (r.s.expires - t0).total_seconds()) for r in snap.collect()}
+
+    # the older set of k and its renewal come after the younger ones, within the delay
+    assert step([("k", "new", "set", 10, 30), ("j", "x", "set", 0, 15)]) == {"k": ("new", 40), "j": ("x", 15)}
+    assert step([("k", "old", "set", 5, 90), ("k", None, "get", 20, 30)])["k"] == ("new", 50)
+    # time goes on: j's timer fires though nothing of j comes; k is renewed just in time
+    got = step([("k", None, "get", 49, 30), ("m", "y", "set", 60, None)])
+    assert got == {"k": ("new", 79), "j": (None, None), "m": ("y", None)}
+    # older than the watermark: ignored
+    assert step([("k", "late", "set", 30, 500)])["k"] == ("new", 79)
+    assert step([("z", "z", "set", 500, 1)])["k"] == (None, None)
+
+
 def test_interval_counts_watermark(spark, tmp):
     src = f"{tmp}/ev"
     t0 = dt.datetime(2021, 1, 1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewater.operators import ttl
 from tidewater.plans.common import t
 from tidewater.plans.registry import query
 from tidewater.session import scratch_path
@@ -54,48 +55,77 @@ def interval_ingest(spark, sf):
         .parquet(out).select("event_id", "date_", "interval")
 
 
-# cache operations from events: a view stores the offer (ttl 2 days), a click reads it, a purchase stores an
-# empty value (never stored)
+# cache operations from all events: a view stores the offer (ttl 2 days), a click reads and renews it, a purchase
+# stores an empty value (never stored), other events only look
 def cache_ops(spark, sf):
-    e = t(spark, sf, "events").where(F.col("event_type").isin("view", "click", "purchase"))
-    return e.select(F.col("user_id").cast("string").alias("key"),
-                    F.when(F.col("event_type") == "view", F.get_json_object("props", "$.k")).alias("value"),
-                    F.when(F.col("event_type") == "click", "get").otherwise("set").alias("op"),
-                    "ts", F.lit(172800).alias("ttl"), "event_id")
-
-
-_TTL_AS_OF = "2024-01-30 00:00:00"
-
-
-@query("keyed_ttl_lookup", f"""
-WITH ops AS (SELECT CAST(user_id AS VARCHAR) AS key,
-                    CASE WHEN event_type = 'view' THEN json_extract_string(props, '$.k') END AS value,
-                    CASE WHEN event_type = 'click' THEN 'get' ELSE 'set' END AS op, ts, 172800 AS ttl
-               FROM events WHERE event_type IN ('view', 'click', 'purchase')),
-     s AS (SELECT key, arg_max(value, ts) AS value, MAX(ts) AS set_ts FROM ops
-            WHERE op = 'set' AND value IS NOT NULL GROUP BY key),
-     g AS (SELECT key, MAX(ts) AS touch_ts FROM ops GROUP BY key)
-SELECT s.key, s.value, greatest(s.set_ts, g.touch_ts) + INTERVAL 172800 SECOND AS expires
-  FROM s JOIN g ON s.key = g.key
- WHERE greatest(s.set_ts, g.touch_ts) + INTERVAL 172800 SECOND > TIMESTAMP '{_TTL_AS_OF}'
-""")
+    kind = F.col("event_type")
+    return t(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("key"),
+        F.when(kind == "view", F.get_json_object("props", "$.k")).alias("value"),
+        F.when(kind.isin("view", "purchase"), "set").when(kind == "click", "get").otherwise("look").alias("op"),
+        "ts", F.lit(172800).alias("ttl"), "event_id")
+
+
+_TTL_AS_OF = "2024-01-30 12:00:00"
+
+#: One operation after the other, by recursion.
+_TTL_RUN = """
+WITH RECURSIVE ops AS (
+  SELECT CAST(user_id AS VARCHAR) AS key, event_id, ts, CASE WHEN event_type = 'view' THEN json_extract_string(props, '$.k') END AS value,
+         CASE WHEN event_type IN ('view', 'purchase') THEN 'set' WHEN event_type = 'click' THEN 'get' ELSE 'look' END AS op,
+         ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i
+    FROM events WHERE ts <= TIMESTAMP '{till}'),
+run AS (
+  SELECT key, event_id, i, CASE WHEN op = 'set' THEN value END AS value,
+         CASE WHEN op = 'set' AND value IS NOT NULL THEN ts + INTERVAL 172800 SECOND END AS expires,
+         CAST(NULL AS VARCHAR) AS met FROM ops WHERE i = 1
+  UNION ALL
+  SELECT o.key, o.event_id, o.i,
+         CASE WHEN o.op = 'set' AND o.value IS NOT NULL THEN o.value WHEN r.expires > o.ts THEN r.value END,
+         CASE WHEN o.op = 'set' AND o.value IS NOT NULL THEN o.ts + INTERVAL 172800 SECOND
+              WHEN r.expires > o.ts THEN CASE WHEN o.op = 'get' THEN o.ts + INTERVAL 172800 SECOND ELSE r.expires END END,
+         CASE WHEN r.expires > o.ts THEN r.value END
+    FROM run r JOIN ops o ON o.key IS NOT DISTINCT FROM r.key AND o.i = r.i + 1)
+"""
+_TTL_LOOKUP = _TTL_RUN.format(till=_TTL_AS_OF) + f"""
+SELECT key, value, expires FROM run r
+ WHERE i = (SELECT MAX(i) FROM run x WHERE x.key IS NOT DISTINCT FROM r.key) AND expires > TIMESTAMP '{_TTL_AS_OF}'
+"""
+
+
+@query("keyed_ttl_lookup", _TTL_LOOKUP)
 def keyed_ttl_lookup(spark, sf):
-    """Batch form: last cached offer per user still alive at the as-of time, with renew on read."""
-    return st.ttl_lookup_batch(cache_ops(spark, sf), _TTL_AS_OF, auto_renew=True)
+    """Batch form: the cached offer per user still alive at the as-of time, with renew on read."""
+    return st.ttl_lookup_batch(cache_ops(spark, sf), _TTL_AS_OF, auto_renew=True, ties=("event_id",))
+
+
+@query("keyed_ttl_replay", _TTL_RUN.format(till="9999-01-01") + """
+SELECT event_id, key, met AS met_value, value AS left_value, expires AS left_until FROM run
+""")
+def keyed_ttl_replay(spark, sf):
+    """Every operation with what it met in the cache and what it left there."""
+    done = ttl.replay(cache_ops(spark, sf), ties=("event_id",), auto_renew=True)
+    return done.select("event_id", "key", "met_value", "left_value", "left_until")
 
 
-@query("keyed_ttl_state")
+@query("keyed_ttl_state", _TTL_LOOKUP)
 def keyed_ttl_state(spark, sf):
-    """Stream form of the same cache: keyed state with TTL via ``applyInPandasWithState``, fed by a file stream of
-    the operations; returns the state snapshot after the last batch."""
+    """Stream form of the same cache, fed by four files of a week or so each, with event-time timers: what it holds at
+    the as-of time."""
     src_path = scratch_path(spark, "cache-ops")
-    cache_ops(spark, sf).drop("event_id").write.mode("overwrite").parquet(src_path)
-    ops = spark.readStream.schema("key STRING, value STRING, op STRING, ts TIMESTAMP_NTZ, ttl INT") \
-        .option("maxFilesPerTrigger", 4).parquet(src_path)
+    ops = cache_ops(spark, sf).where(F.col("ts") <= F.lit(_TTL_AS_OF).cast("timestamp_ntz")).drop("event_id")
+    weeks = ["2024-01-09", "2024-01-17", "2024-01-24", "9999-01-01"]
+    for begin, end in zip(["0001-01-01", *weeks], weeks):  # files come in this order, rows within a file in any
+        own = (F.col("ts") >= F.lit(begin).cast("timestamp_ntz")) & (F.col("ts") < F.lit(end).cast("timestamp_ntz"))
+        ops.where(own).write.mode("append").parquet(src_path)
+    stream = spark.readStream.schema("key STRING, value STRING, op STRING, ts TIMESTAMP_NTZ, ttl INT") \
+        .option("maxFilesPerTrigger", 2).parquet(src_path)
     out, ck = scratch_path(spark, "ttl-out"), scratch_path(spark, "ttl-ck")
-    q = st.consume(st.ttl_state(ops, auto_renew=True), st.idempotent_batch_writer(out), ck, output_mode="update")
+    q = st.consume(st.ttl_state(stream, auto_renew=True, delay="10 days"), st.idempotent_batch_writer(out), ck,
+                   output_mode="update")
     q.awaitTermination()
     snap = spark.read.parquet(out)
     # the newest row per key is the state after the final batch
     latest = snap.groupBy("key").agg(F.max_by(F.struct("value", "expires"), F.col("batch_id")).alias("s"))
-    return latest.select("key", "s.value", "s.expires")
+    return latest.select("key", "s.value", "s.expires") \
+        .where(F.col("expires") > F.lit(_TTL_AS_OF).cast("timestamp_ntz"))

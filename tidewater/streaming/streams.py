@@ -7,11 +7,12 @@
 - ``interval_ingest``: each message lands in the output of its 5-minute interval (a partition per interval, so an
   empty interval writes nothing); ``interval_counts`` is the watermarked windowed aggregate of the same stream.
 - ``watermark_stream``: the per-key high-water-mark delta pull, run per micro-batch.
-- ``ttl_state``: last value per key with a time-to-live and optional renew-on-read, as arbitrary keyed state.
+- ``ttl_state``: last value per key with a time-to-live and optional renew-on-read, as keyed state with timers.
 """
 
 from __future__ import annotations
 
+import json
 from typing import Callable, Iterator
 
 import pandas as pd
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidewater.operators import ttl
 from tidewater.sources import api, state
 from tidewater.sources.partitions import partition_values
 
@@ -133,52 +135,71 @@ def watermark_stream(stream: DataFrame, keys: list[str], ts_col: str, out_path:
 
 TTL_OUT = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
                         T.StructField("expires", T.TimestampNTZType())])
-TTL_STATE = T.StructType([T.StructField("value", T.StringType()), T.StructField("expires", T.TimestampNTZType())])
+#: A key's value and expiry as of ``done``, and the operations after that, as JSON.
+TTL_STATE = "value string, expires timestamp_ntz, done timestamp_ntz, pending string"
+
+
+def _ttl_step(value, expires, ts, op, new, ttl, auto_renew: bool):
+    """One operation on (value, expires); no expiry is NaT."""
+    if value is not None and not pd.isna(expires) and expires <= ts:
+        value, expires = None, pd.NaT
+    if op == "set" and new is not None:
+        return new, ts + pd.Timedelta(seconds=ttl) if ttl else pd.NaT
+    if op == "get" and auto_renew and value is not None and ttl > 0:
+        return value, ts + pd.Timedelta(seconds=ttl)
+    return value, expires
 
 
 def _ttl_update(auto_renew: bool):
     def fn(key, pdfs: Iterator[pd.DataFrame], st: GroupState) -> Iterator[pd.DataFrame]:
-        value, expires = (None, None)
-        if st.exists:
-            value, expires = st.get
+        gone = pd.DataFrame({"key": [key[0]], "value": [None], "expires": [pd.NaT]})
+        if st.hasTimedOut:
+            st.remove()
+            yield gone
+            return
+        value, expires, done, pending = st.get if st.exists else (None, None, None, "[]")
+        ops = [(pd.Timestamp(t), op, new, ttl) for t, op, new, ttl in json.loads(pending)]
         for pdf in pdfs:
-            for r in pdf.sort_values("ts", kind="stable").itertuples(index=False):
-                ttl = pd.Timedelta(seconds=int(r.ttl))
-                if expires is not None and r.ts >= expires:
-                    value, expires = None, None          # expired before this operation
-                if r.op == "set" and r.value is not None:
-                    value, expires = r.value, r.ts + ttl  # null is never stored
-                elif r.op == "get" and auto_renew and value is not None:
-                    expires = r.ts + ttl
-        if value is None:
+            ops += [(r.ts, r.op, None if pd.isna(r.value) else r.value, 0 if pd.isna(r.ttl) else int(r.ttl))
+                    for r in pdf.itertuples(index=False)]
+        ops = sorted((x for x in ops if pd.isna(done) or x[0] > done), key=lambda x: x[0])
+        mark = pd.Timestamp(st.getCurrentWatermarkMs(), unit="ms")
+        settled = [x for x in ops if x[0] <= mark]  # nothing older can come any more
+        for x in settled:
+            value, expires = _ttl_step(value, expires, *x, auto_renew)
+        ops = ops[len(settled):]
+        now, until = value, expires
+        for x in ops:
+            now, until = _ttl_step(now, until, *x, auto_renew)
+        until = pd.NaT if pd.isna(until) else until
+        if now is not None and until <= mark:
+            now, until = None, pd.NaT
+        if now is None and not ops:
             if st.exists:
                 st.remove()
-            yield pd.DataFrame({"key": [key[0]], "value": [None], "expires": [pd.NaT]})
-        else:
-            st.update((value, expires))
-            yield pd.DataFrame({"key": [key[0]], "value": [value], "expires": [expires]})
+            yield gone
+            return
+        st.update((value, None if pd.isna(expires) else expires, settled[-1][0] if settled else done,
+                   json.dumps([(t.isoformat(), *x) for t, *x in ops])))
+        ends = [x[0] for x in ops] + [t for t in (until, expires) if not pd.isna(t)]
+        if now is None or not pd.isna(until):  # when the watermark is there, all is settled and the value has run out
+            st.setTimeoutTimestamp(max(int(max(ends).timestamp() * 1000) + 1, st.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"key": [key[0]], "value": [now], "expires": [until]})
     return fn
 
 
-def ttl_state(ops: DataFrame, auto_renew: bool = False) -> DataFrame:
-    """Keyed cache state from an operation stream (key, value, op 'set'|'get', ts, ttl seconds): per key the current
-    value and its expiry, updated each micro-batch (output mode ``update``)."""
-    return ops.groupBy("key").applyInPandasWithState(
-        _ttl_update(auto_renew), TTL_OUT, TTL_STATE, "update", GroupStateTimeout.NoTimeout)
-
-
-def ttl_lookup_batch(ops: DataFrame, as_of: str, auto_renew: bool = False) -> DataFrame:
-    """Batch form: per key the last stored value (latest ``set`` with a value) if it has not expired at ``as_of``.
-    Expiry = (latest ``set``, or with ``auto_renew`` the latest operation) + ttl. Two map-side-combined aggregates."""
-    sets = ops.where((F.col("op") == "set") & F.col("value").isNotNull())
-    last = sets.groupBy("key").agg(F.max_by(F.struct("value", "ttl"), F.col("ts")).alias("s"),
-                                   F.max("ts").alias("set_ts"))
-    if auto_renew:
-        touched = ops.groupBy("key").agg(F.max("ts").alias("touch_ts"))
-        last = last.join(touched, "key")
-        base = F.greatest("set_ts", "touch_ts")
-    else:
-        base = F.col("set_ts")
-    exp = base + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("s.ttl").cast("decimal(18,6)"))
-    return last.select("key", F.col("s.value").alias("value"), exp.alias("expires")) \
-        .where(F.col("expires") > F.lit(as_of).cast("timestamp_ntz"))
+def ttl_state(ops: DataFrame, auto_renew: bool = False, delay: str = "10 minutes") -> DataFrame:
+    """Keyed cache state from an operation stream (key, value, op, ts, ttl as in ``operators.ttl``): per key the current
+    value and its expiry, updated each micro-batch (output mode ``update``).
+
+    Operations may come out of order by up to ``delay`` of event time: what is younger than the watermark is kept and
+    run in order each time, older ones are settled, and one that comes later still is ignored. A value that runs out is
+    reported as gone by an event-time timer, and its state goes."""
+    timed = ops.withColumn("_tw_et", F.col("ts").cast("timestamp")).withWatermark("_tw_et", delay)
+    return timed.groupBy("key").applyInPandasWithState(
+        _ttl_update(auto_renew), TTL_OUT, TTL_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+
+
+def ttl_lookup_batch(ops: DataFrame, as_of: str, auto_renew: bool = False, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Batch form: what each key holds at ``as_of`` (``operators.ttl.lookup``)."""
+    return ttl.lookup(ops, as_of, ties=ties, auto_renew=auto_renew)
