@@ -194,6 +194,57 @@ def test_state_keeps_new_columns_and_skips_torn_versions(spark, tmp):
     assert state.read_state(spark, path).count() == 3
 
 
+def bucket_files(path, version):
+    root = f"{path}/version={version}"
+    return {d for d in os.listdir(root) if d.startswith("_tw_bucket=") and os.listdir(f"{root}/{d}")}
+
+
+def test_upsert_writes_the_buckets_of_its_keys_only(spark, tmp):
+    path = f"{tmp}/buckets"
+    everyone = spark.range(5000).select("id", F.lit("old").alias("value"))
+    state.upsert_by_key(spark, path, everyone, ["id"], buckets=64)
+    assert len(bucket_files(path, 0)) == 64
+    few = [i for i in range(5000) if i % 640 == 7]              # a few keys, in as many buckets at most
+    state.upsert_by_key(spark, path, spark.createDataFrame([(i, "new") for i in few], "id long, value string"), ["id"])
+    assert 0 < len(bucket_files(path, 1)) <= len(few)
+    want = {i: "new" if i in few else "old" for i in range(5000)}
+    assert dict(map(tuple, state.read_state(spark, path).collect())) == want
+    assert [state.get_value(spark, path, "id", i) for i in (7, 8, 5001)] == ["new", "old", None]
+    assert dict(map(tuple, state.read_state(spark, path, below=1).collect())) == dict.fromkeys(range(5000), "old")
+    # a replay of the same version writes the same state again; what a dead writer left doesn't show
+    again = spark.createDataFrame([(i, "new") for i in few], "id long, value string")
+    assert state.upsert_by_key(spark, path, again, ["id"], version=1) == 1
+    os.remove(f"{path}/version=1/_SUCCESS")
+    assert dict(map(tuple, state.read_state(spark, path).collect())) == dict.fromkeys(range(5000), "old")
+    assert state.upsert_by_key(spark, path, again, ["id"]) == 1
+    assert state.prune_versions(spark, path, 1) == [0]
+    assert dict(map(tuple, state.read_state(spark, path).collect())) == want
+    kept = bucket_files(path, 0)                                # those that version 1 still uses
+    assert len(kept) == 64 - len(bucket_files(path, 1)) and not kept & bucket_files(path, 1)
+    assert state.upsert_by_key(spark, path, again.limit(0), ["id"]) == 2
+    assert dict(map(tuple, state.read_state(spark, path).collect())) == want
+
+
+def test_buckets_double_and_types_widen(spark, tmp):
+    path = f"{tmp}/grows"
+    state.upsert_by_key(spark, path, spark.range(100).select("id", F.col("id").cast("int").alias("v")), ["id"], buckets=2)
+    state.upsert_by_key(spark, path, spark.range(100, 110).select("id", F.col("id").cast("int").alias("v")), ["id"],
+                        max_rows=10)
+    assert state.manifest(spark, path, 1)["n"] == 16 and len(bucket_files(path, 1)) == 16
+    state.upsert_by_key(spark, path, spark.createDataFrame([(3, 10**12, "x")], "id long, v long, more string"), ["id"])
+    back = state.read_state(spark, path)
+    assert back.schema["v"].dataType.simpleString() == "bigint" and back.count() == 110
+    assert {tuple(r) for r in back.where("id in (3, 4)").collect()} == {(3, 10**12, "x"), (4, 4, None)}
+
+
+def test_state_of_one_table_goes_on_in_buckets(spark, tmp):
+    path = f"{tmp}/flat"
+    spark.createDataFrame([(1, "a"), (2, "b")], "id long, value string").write.parquet(f"{path}/version=0")
+    assert state.get_value(spark, path, "id", 2) == "b"
+    state.upsert_by_key(spark, path, spark.createDataFrame([(2, "c")], "id long, value string"), ["id"], buckets=4)
+    assert dict(map(tuple, state.read_state(spark, path).collect())) == {1: "a", 2: "c"}
+
+
 def test_watermark_replay_after_marks_were_saved(spark, tmp, monkeypatch):
     schema = "k string, ts timestamp_ntz"
     src, out, marks, ck = (f"{tmp}/replay-{x}" for x in ("src", "out", "marks", "ck"))

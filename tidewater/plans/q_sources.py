@@ -203,6 +203,28 @@ def upsert_by_key(spark, sf):
     return state.read_state(spark, path)
 
 
+@query("upsert_few_keys", """
+WITH late AS (SELECT o_custkey AS key, MAX(o_orderkey) AS value FROM orders GROUP BY 1),
+     v0 AS (SELECT o_orderkey AS key, o_custkey AS value, CAST(NULL AS VARCHAR) AS note FROM orders),
+     one AS (SELECT o_orderkey AS key, -o_custkey AS value, o_orderstatus AS note FROM orders
+              WHERE o_orderkey IN (SELECT value FROM late)),
+     v1 AS (SELECT * FROM v0 WHERE key NOT IN (SELECT key FROM one) UNION ALL SELECT * FROM one)
+SELECT * FROM v1
+""")
+def upsert_few_keys(spark, sf):
+    """The orders as state, then each customer's last order replaced (with a column that the first version lacks) and the
+    same update replayed as the same version."""
+    path = scratch_path(spark, "few-keys")
+    o = t(spark, sf, "orders")
+    state.upsert_by_key(spark, path, o.select(F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("value")), ["key"])
+    late = o.groupBy("o_custkey").agg(F.max_by(F.struct("o_orderkey", "o_orderstatus"), "o_orderkey").alias("x"))
+    few = late.select(F.col("x.o_orderkey").alias("key"), (-F.col("o_custkey")).alias("value"),
+                      F.col("x.o_orderstatus").alias("note"))
+    for _ in range(2):
+        state.upsert_by_key(spark, path, few, ["key"], version=1)
+    return state.read_state(spark, path)
+
+
 @query("incremental_watermark", """
 WITH rows AS (SELECT CAST(user_id AS VARCHAR) AS campaignid, event_type AS api_action, event_id, ts FROM events),
      marks AS (SELECT CAST(user_id AS VARCHAR) AS campaignid, event_type AS api_action, MAX(ts) AS last_ts FROM events

@@ -18,7 +18,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.sources.partitions import file_names
+from tidewater.sources.partitions import delete, file_names, read_text, write_text
 
 FOLD = 64
 DAY = timedelta(days=1)
@@ -96,20 +96,12 @@ class Ledger:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, f"{path}/{self.FOLDER}"
-        self.jvm = spark.sparkContext._jvm
-        self.folder = self.jvm.org.apache.hadoop.fs.Path(self.path)
-        self.fs = self.folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _records(self) -> list[tuple[int, dict]]:
         out = []
         for name in sorted(n for n in file_names(self.spark, self.path) or [] if n.endswith(".json")):
-            stream = self.fs.open(self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}"))
             try:
-                text = self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            finally:
-                stream.close()
-            try:
-                out.append((int(name.split(".")[0]), json.loads(text)))
+                out.append((int(name.split(".")[0]), json.loads(read_text(self.spark, f"{self.path}/{name}"))))
             except ValueError:  # its writer died within it: it says nothing
                 out.append((int(name.split(".")[0]), {"kind": "torn"}))
         return out
@@ -117,11 +109,7 @@ class Ledger:
     def _append(self, record: dict) -> int:
         """Write the next record; two writers can't create the same one."""
         place = max((n for n, _ in self._records()), default=0) + 1
-        out = self.fs.create(self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{place:010d}.json"), False)
-        try:
-            out.write(bytearray(json.dumps(record), "utf-8"))
-        finally:
-            out.close()
+        write_text(self.spark, f"{self.path}/{place:010d}.json", json.dumps(record), overwrite=False)
         return place
 
     def state(self) -> tuple[Ranges, Ranges]:
@@ -156,7 +144,7 @@ class Ledger:
         place = self._append({"kind": "snapshot", "ranges": _texts(covered), "owed": _texts(owed)})
         for n, _ in self._records():
             if n < place:
-                self.fs.delete(self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n:010d}.json"), False)
+                delete(self.spark, f"{self.path}/{n:010d}.json")
 
     def frame(self) -> DataFrame:
         """(begin, end): what is covered, a row for each stretch."""

@@ -42,3 +42,27 @@ def delete(spark: SparkSession, path: str) -> None:
     """Delete ``path`` and all below it."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """What a small file holds; None when it does not exist."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """Write a small file; without ``overwrite`` an existing one fails the call."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, overwrite)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
