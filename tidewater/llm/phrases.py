@@ -205,12 +205,13 @@ def frequent_bitmap(docs: DataFrame, most: int, threshold: int, n_bits: int = BI
     return whole, bits
 
 
-def _count_exactly(most: int, bitmap, bits: int, n_bits: int):
-    """Pass 2 in a task: (lang, phrase, words, n) of each slice's marked n-grams, and its words in all (phrase null)."""
-    def batch_of(lang: pa.Array, phrase: pa.Array, n: int, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([lang, phrase, pa.array(np.full(len(counts), n, np.int32)),
-                                           pa.array(counts.astype(np.int64))], names=["lang", "phrase", "words", "n"])
+COUNTS = "lang string, phrase string, words int, n long"
+PACKS = "part int, lang array<string>, phrase array<string>, words array<int>, n array<long>"
+
 
+def _count_exactly(most: int, bitmap, bits: int, n_bits: int):
+    """Pass 2 in a task: (lang, phrase, words, n) of each slice's marked n-grams, and its words in all (phrase null),
+    packed by hash partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = bitmap.value
         for batch in batches:
@@ -219,15 +220,18 @@ def _count_exactly(most: int, bitmap, bits: int, n_bits: int):
                 if not len(w.codes):
                     continue
                 total = np.bincount(w.lang, minlength=len(w.langs))
-                yield batch_of(w.langs.cast(pa.string()), pa.nulls(len(total), pa.string()), 0, total)
+                found = [(np.zeros(len(total), np.int32), np.arange(len(total)), pa.nulls(len(total), pa.large_binary()),
+                          np.zeros(len(total), np.int32), total)]
                 many, before = len(w.texts), None
                 for n, at, key in gram_keys(w, most):
                     place = ((key >> np.uint64(32 - bits)) * np.uint64(n_bits >> bits)) >> np.uint64(32)
-                    at = at[(marks[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+                    marked = (marks[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                    at, key = at[marked], key[marked]
                     if n == 1:
                         exact = w.lang[at].astype(np.int64) * many + w.codes[at]
                     else:  # what is frequent begins and ends with n-grams that are, so these have their ids
-                        at = at[(before[at] >= 0) & (before[at + 1] >= 0)]
+                        whole = (before[at] >= 0) & (before[at + 1] >= 0)
+                        at, key = at[whole], key[whole]
                         exact = before[at] * many + w.codes[at + n - 1]
                     _, first, ids, counts = np.unique(exact, return_index=True, return_inverse=True, return_counts=True)
                     before = np.full(len(w.codes) + 1, -1, np.int64)
@@ -235,8 +239,52 @@ def _count_exactly(most: int, bitmap, bits: int, n_bits: int):
                     begin = at[first]
                     phrase = [w.texts.take(pa.array(w.codes[begin + k])) for k in range(n)]
                     phrase = pc.binary_join_element_wise(*phrase, pa.scalar(b" ", pa.large_binary())) if n > 1 else phrase[0]
-                    yield batch_of(w.langs.take(pa.array(w.lang[begin])).cast(pa.string()),
-                                   phrase.cast(pa.large_string()).cast(pa.string()), n, counts)
+                    found.append(((key[first] >> np.uint64(64 - bits)).astype(np.int32), w.lang[begin], phrase,
+                                  np.full(len(begin), n, np.int32), counts))
+                parts, langs, phrases, words_, counts = zip(*found)
+                parts = np.concatenate(parts)
+                order = np.argsort(parts, kind="stable")
+                held, cut = np.unique(parts[order], return_index=True)
+                cut = pa.array(np.append(cut, len(order)), pa.int32())
+                columns = [w.langs.take(pa.array(np.concatenate(langs)[order])),
+                           pa.concat_arrays(phrases).take(pa.array(order)).cast(pa.large_string()).cast(pa.string()),
+                           pa.array(np.concatenate(words_)[order], pa.int32()),
+                           pa.array(np.concatenate(counts)[order], pa.int64())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(held, pa.int32()), *(pa.ListArray.from_arrays(cut, c) for c in columns)],
+                    names=["part", "lang", "phrase", "words", "n"])
+    return run
+
+
+def _add_up(threshold: int):
+    """The sums of a task's hash partitions (rows come in their order) that reach the threshold, and those of all words."""
+    names = ["lang", "phrase", "words", "n"]
+
+    def sums(tables: list[pa.Table]) -> pa.Table:
+        out = pa.concat_tables(tables).group_by(names[:3]).aggregate([("n", "sum")])
+        return out.select([*names[:3], "n_sum"]).rename_columns(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done():
+            out = sums(held)
+            yield from out.filter(pc.or_(pc.equal(out["words"], 0), pc.greater_equal(out["n"], threshold))).to_batches()
+
+        now, held, waiting = None, [], 0
+        for batch in batches:
+            part = batch.column("part").to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]]).tolist()
+            for b, e in zip(cuts[:-1], cuts[1:]):
+                if e > b and part[b] != now:
+                    if held:
+                        yield from done()
+                    now, held, waiting = part[b], [], 0
+                rows = [batch.column(c).slice(b, e - b).flatten() for c in names]
+                held.append(pa.Table.from_arrays(rows, names=names))
+                waiting += len(rows[0])
+                if waiting > 1 << 20:  # no more is held than what differs
+                    held, waiting = [sums(held)], 0
+        if held:
+            yield from done()
     return run
 
 
@@ -248,9 +296,9 @@ def count_frequent(docs: DataFrame, most: int = 5, threshold: int = 100, text_co
                        text_of(text_col).alias("text"))
     bitmap, bits = frequent_bitmap(docs, most, threshold, n_bits)
     marks = docs.sparkSession.sparkContext.broadcast(bitmap)
-    found = docs.mapInArrow(_count_exactly(most, marks, bits, n_bits), "lang string, phrase string, words int, n long")
-    counts = found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-    counts = saved(counts.where((F.col("words") == 0) | (F.col("n") >= threshold)), "phrase-counts")
+    packs = docs.mapInArrow(_count_exactly(most, marks, bits, n_bits), PACKS)
+    counts = saved(packs.repartition(1 << min(bits, 14), "part").sortWithinPartitions("part")
+                   .mapInArrow(_add_up(threshold), COUNTS), "phrase-counts")
     marks.destroy()
     return counts
 
