@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import catalog as cat
-from tidewater.sources import api, files, sinks, state
+from tidewater.sources import api, files, outbox, sinks, state
 from tidewater.sources.ledger import Ledger, Ranges
 from tidewater.streaming import streams as st
 
@@ -388,6 +388,70 @@ def test_send_requests_with_fake_sender(spark):
     assert {k: (r.ok, r.attempts) for k, r in again.items()} == {k: (r.ok, r.attempts) for k, r in out.items()}
 
 
+def counting_sender(folder, die_after=None, hard=False):
+    """A sender that counts what it gets in a folder, and whose task dies instead of the next send after some."""
+    def sender(rec):
+        import os
+        import uuid
+        if die_after is not None and len(os.listdir(folder)) >= die_after:
+            if hard:
+                os._exit(1)                                     # the worker is gone, nothing is cleaned up
+            raise SystemExit("the task dies")
+        open(f"{folder}/{rec['request_key']}-{uuid.uuid4().hex}", "w").close()
+        return 200 if rec["rec"] is None or rec["rec"] % 5 else 500
+    return sender
+
+
+def sent_counts(folder):
+    from collections import Counter
+    return Counter(f.split("-")[0] for f in os.listdir(folder))
+
+
+@pytest.mark.parametrize("hard", [False, True])
+def test_a_repeated_run_sends_each_key_once(spark, tmp, hard):
+    rows = [(i, s, k, "7" if k == "event" else None) for i in range(40) for s, k in ((1, "click"), (2, "event"))]
+    reqs = spark.createDataFrame(rows, "rec int, step int, kind string, event_id string")
+    got, box = f"{tmp}/got", f"{tmp}/box"
+    os.makedirs(got)
+    with pytest.raises(Exception):
+        api.send_requests(reqs, "rec", counting_sender(got, 25, hard), tries=1, outbox=box).collect()
+    assert 25 <= len(os.listdir(got)) < 30
+    for _ in range(2):                                          # the rest, and then nothing
+        out = api.send_requests(reqs, "rec", counting_sender(got), tries=1, outbox=box).collect()
+        assert len(out) == 80 and set(sent_counts(got).values()) == {1}
+        assert {r.request_key for r in out if r.attempts} == set(sent_counts(got))
+        assert all(r.ok == bool(r.rec % 5) for r in out) and sum(r.attempts for r in out) == 72
+    known = {r.request_key: (r.status, r.attempts, r.in_doubt) for r in outbox.statuses(spark, box).collect()}
+    assert known == {r.request_key: (r.status, r.attempts, False) for r in out if r.attempts}
+    again = outbox.send(reqs, "rec", counting_sender(got), box, tries=2, retry_failed=True).collect()
+    assert {r.attempts for r in again if r.rec % 5 == 0 and r.kind == "click"} == {2}
+
+
+def test_requests_in_doubt_are_held_and_settled(spark, tmp):
+    reqs = spark.createDataFrame([(1, 1, "click", None), (1, 2, "event", "7"), (2, 1, "click", None), (None, 1, "click", None),
+                                  (3, 1, "click", None), (3, 1, "click", None)],
+                                 "rec int, step int, kind string, event_id string")
+    got, box = f"{tmp}/got", f"{tmp}/box"
+    os.makedirs(got)
+    keys = {(r.rec, r.step): (r.k, r.s) for r in reqs.select("rec", "step", outbox.request_key(*reqs.columns).alias("k"),
+            F.pmod(F.xxhash64("rec"), F.lit(outbox.SHARDS)).alias("s")).collect()}
+    for own in ((1, 1), (2, 1)):
+        outbox.Log(f"{box}/shard={keys[own][1]}").intend(keys[own][0])
+
+    def run():
+        out = outbox.send(reqs, "rec", counting_sender(got), box, on_doubt="hold").collect()
+        return sorted((r.rec, r.step, r.status, r.in_doubt) for r in out if r.rec is not None)
+
+    assert run() == [(1, 1, None, True), (1, 2, None, False), (2, 1, None, True), (3, 1, 200, False), (3, 1, 200, False)]
+    assert sent_counts(got) == {keys[3, 1][0]: 1}               # equal requests are one; one without a record isn't sent
+    doubtful = {r.request_key for r in outbox.statuses(spark, box).where("in_doubt").collect()}
+    assert doubtful == {keys[1, 1][0], keys[2, 1][0]}
+    outbox.resolve(spark, box, spark.createDataFrame([(keys[1, 1][0], 1, 200), (keys[2, 1][0], 2, None)],
+                                                     f"{outbox.KEY} string, id int, status int"))
+    assert run() == [(1, 1, 200, False), (1, 2, 200, False), (2, 1, 200, False), (3, 1, 200, False), (3, 1, 200, False)]
+    assert set(sent_counts(got).values()) == {1} and keys[1, 1][0] not in sent_counts(got)
+
+
 def test_stream_consume_idempotent_restart(spark, tmp):
     src = f"{tmp}/src"
     spark.range(10).write.parquet(f"{src}/a")

@@ -13,7 +13,7 @@ from tidewater.plans.common import t
 from tidewater.plans.q_joins import EVENT_CONFIG
 from tidewater.plans.registry import query
 from tidewater.session import scratch_path
-from tidewater.sources import api, files, sinks, state
+from tidewater.sources import api, files, outbox, sinks, state
 from tidewater.sources.ledger import Ledger, Ranges
 from tidewater.tables import SCHEMAS, table_path
 
@@ -177,6 +177,10 @@ SELECT o_orderkey, 2, 'event', event_id FROM j
 def reverse_etl_requests(spark, sf):
     """The callback request table for conversions (orders): click requests for urgent orders, event requests
     with the event id from the nested config."""
+    return _requests(spark, sf)
+
+
+def _requests(spark, sf):
     o = t(spark, sf, "orders").select(
         "o_orderkey", F.col("o_orderstatus").alias("product"), F.col("o_orderpriority").alias("sub_type"),
         F.when(F.col("o_totalprice") > 100000, "premium").otherwise("standard").alias("rate_plan"),
@@ -186,6 +190,38 @@ def reverse_etl_requests(spark, sf):
     return api.request_table(o, cfg, ["product", "sub_type", "rate_plan"], "report_click", "o_orderkey")
 
 
+def _answer(request: dict) -> int:
+    """Stands in for the other system: it refuses the events of some orders for good."""
+    return 500 if request["kind"] == "event" and request["o_orderkey"] % 11 == 0 else 200
+
+
+def _answer_on_a_bad_day(request: dict) -> int:
+    return 503 if request["kind"] == "click" and request["o_orderkey"] % 7 == 0 else _answer(request)
+
+
+@query("request_statuses", f"""
+WITH conv AS (SELECT o_orderkey, o_orderstatus AS product, o_orderpriority AS sub_type,
+                     CASE WHEN o_totalprice > 100000 THEN 'premium' ELSE 'standard' END AS rate_plan,
+                     o_orderpriority = '1-URGENT' AS report_click FROM orders),
+     j AS (SELECT c.*, cfg.event_id FROM conv c LEFT JOIN (VALUES {_CFG_VALUES}) cfg(product, sub_type, rate_plan, event_id)
+             ON c.product = cfg.product AND c.sub_type = cfg.sub_type AND c.rate_plan = cfg.rate_plan)
+SELECT o_orderkey, 1 AS step, 'click' AS kind, 200 AS status, TRUE AS ok, 1 AS attempts, FALSE AS in_doubt
+  FROM j WHERE report_click
+UNION ALL
+SELECT o_orderkey, 2, 'event', CASE WHEN event_id IS NULL THEN NULL WHEN o_orderkey % 11 = 0 THEN 500 ELSE 200 END,
+       event_id IS NOT NULL AND o_orderkey % 11 <> 0,
+       CASE WHEN event_id IS NULL THEN 0 WHEN o_orderkey % 11 = 0 THEN 2 ELSE 1 END, FALSE
+  FROM j
+""")
+def request_statuses(spark, sf):
+    """All requests sent through an outbox, on a day when some clicks fail (so their events wait), and the run repeated:
+    it sends what failed or waited, and nothing else."""
+    box, requests = scratch_path(spark, "outbox"), _requests(spark, sf)
+    outbox.send(requests, "o_orderkey", _answer_on_a_bad_day, box, tries=2).write.format("noop").mode("overwrite").save()
+    done = outbox.send(requests, "o_orderkey", _answer, box, tries=2, retry_failed=True)
+    return done.select("o_orderkey", "step", "kind", "status", "ok", "attempts", "in_doubt")
+
+
 @query("upsert_by_key", """
 WITH v0 AS (SELECT c_custkey AS key, c_name AS value FROM customer),
      upd AS (SELECT c_custkey AS key, upper(c_name) || '*' AS value FROM customer WHERE c_acctbal > 5000

@@ -2,20 +2,20 @@
 table and its sender, and the incremental high-water-mark filter.
 
 HTTP itself is not done here: pages are read from where they landed, and requests are sent by an injected sender
-function inside ``mapInPandas`` (one call per request, from the executors, with retries), so the transport can be
-swapped or faked.
+function (one call per request, from the executors, with retries and an outbox, see ``outbox.py``), so the transport
+can be swapped or faked.
 """
 
 from __future__ import annotations
 
-import time
-from typing import Callable, Iterator
+from typing import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.sources.outbox import send
+
 # Status keys of a result page that are not rows.
 STATUS_KEYS = ("result_code", "result_message", "result_output")
 
@@ -75,41 +75,8 @@ def request_table(conversions: DataFrame, config: DataFrame, key_cols: list[str]
 
 
 def send_requests(requests: DataFrame, id_col: str, sender: Callable[[dict], int], tries: int = 3,
-                  backoff_s: float = 0.0) -> DataFrame:
+                  backoff_s: float = 0.0, outbox: str | None = None) -> DataFrame:
     """Send each record's requests in step order from the executors; the event request is sent only if the click
-    (when present) succeeded. Each request is tried up to ``tries`` times. Output: one status row per request.
-    Records are grouped in a task by a repartition on the record id, so a record's steps stay together."""
-    schema = T.StructType(list(requests.schema.fields) + [T.StructField("status", T.IntegerType()),
-                                                           T.StructField("ok", T.BooleanType()),
-                                                           T.StructField("attempts", T.IntegerType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # rows come in order of record and step, so one record is looked at at a time, across batches as well
-        current, blocked = None, False
-        for b in batches:
-            out = []
-            for rec in b.to_dict("records"):
-                if rec[id_col] != current:
-                    current, blocked = rec[id_col], False
-                if blocked or (rec["kind"] == "event" and rec.get("event_id") is None):
-                    out.append({**rec, "status": None, "ok": False, "attempts": 0})
-                    blocked = True
-                    continue
-                status, n = None, 0
-                for n in range(1, tries + 1):
-                    try:
-                        status = int(sender(rec))
-                    except Exception:  # noqa: BLE001 - transport errors count as a failed try
-                        status = None
-                    if status is not None and 200 <= status < 300:
-                        break
-                    if backoff_s:
-                        time.sleep(backoff_s * (2 ** (n - 1)))
-                ok = status is not None and 200 <= status < 300
-                blocked = not ok
-                out.append({**rec, "status": status, "ok": ok, "attempts": n})
-            yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
-
-    parts = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    clustered = requests.repartition(parts, id_col).sortWithinPartitions(id_col, "step")
-    return clustered.mapInPandas(run, schema)
+    (when present) succeeded. Output: one status row per request. With ``outbox`` what was sent is on record and a
+    repeated run sends the rest only (``outbox.send``)."""
+    return send(requests, id_col, sender, outbox, tries, backoff_s)
