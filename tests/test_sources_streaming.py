@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import catalog as cat
-from tidewater.sources import api, files, outbox, sinks, state
+from tidewater.sources import api, compaction, files, outbox, sinks, state
 from tidewater.sources.ledger import Ledger, Ranges
 from tidewater.streaming import streams as st
 
@@ -334,6 +334,45 @@ def test_compact(spark, tmp):
     assert spark.read.parquet(f"{tmp}/one").count() == 100
 
 
+def test_compaction_by_size(spark, tmp):
+    src, dst, target = f"{tmp}/small", f"{tmp}/packed", 60_000
+    df = spark.range(40_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("s"))
+    df.where("id < 39400").repartition(240).write.parquet(src)
+    df.where("id >= 39400").repartition(1).write.mode("append").parquet(src)
+    in_files = {f: os.path.getsize(f"{src}/{f}") for f in os.listdir(src) if f.endswith(".parquet")}
+    names = compaction.compact(spark, src, dst, target)
+    sizes = [os.path.getsize(f"{dst}/{n}") for n in names]
+    assert 10 < len(sizes) and max(sizes) <= 1.1 * target
+    assert len(sizes) <= 2 * sum(in_files.values()) / target + 1  # no two bins that would fit into one
+    assert sorted(r.id for r in spark.read.parquet(dst).collect()) == list(range(40_000))
+    assert compaction.compact(spark, src, dst, target) == []     # nothing new
+    spark.range(40_000, 40_100).select("id", F.lit("x").alias("s")).repartition(5).write.mode("append").parquet(src)
+    assert len(compaction.compact(spark, src, dst, target)) == 1
+    assert spark.read.parquet(dst).count() == 40_100
+    held = spark.conf.get("spark.sql.files.openCostInBytes")
+    assert held != "0"                                          # the settings are those from before
+
+
+def test_compaction_that_dies_on_the_way_is_repeated_without_doubles(spark, tmp, monkeypatch):
+    src, dst = f"{tmp}/dies-src", f"{tmp}/dies-dst"
+    spark.range(1000).repartition(8).write.parquet(src)
+    real, moved = compaction.move, []
+
+    def dies(*args):
+        if len(moved) == 2:
+            raise RuntimeError("lost while moving")
+        moved.append(real(*args))
+
+    monkeypatch.setattr(compaction, "move", dies)
+    with pytest.raises(RuntimeError, match="lost while moving"):
+        compaction.compact(spark, src, dst, 1000)
+    assert 0 < spark.read.parquet(dst).count() < 1000
+    monkeypatch.undo()
+    compaction.compact(spark, src, dst, 1000)
+    assert sorted(r.id for r in spark.read.parquet(dst).collect()) == list(range(1000))
+    assert compaction.sweep(spark, dst) == []
+
+
 def test_retention(spark):
     keys = spark.createDataFrame([("t/date_=2020-01-01/a",), ("t/date_=2020-03-01/a",), ("t/date_=2020-01-01_$folder$",),
                                   ("t/plain/a",)], "key string")

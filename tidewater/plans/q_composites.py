@@ -116,12 +116,12 @@ SELECT event_id, user_id, event_type, ts, CAST(ts AS DATE) AS day FROM events
 """)
 def context_views_export(spark, sf):
     """Daily range export of whole days (the last one, cut at noon, is left to a later run) in two runs, then all day
-    files compacted into one Parquet output."""
+    files packed by size into one Parquet output."""
     daily, compact = scratch_path(spark, "ctx-daily"), scratch_path(spark, "ctx-compact")
     e = t(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
     sinks.export_daily_incremental(e, "ts", "2024-01-03 00:00:00", "2024-01-10 00:00:00", daily)
     sinks.export_daily_incremental(e, "ts", "2024-01-03 00:00:00", "2024-01-17 12:00:00", daily)
-    sinks.compact_files(spark, daily, compact, num_files=1)
+    sinks.compact_files(spark, daily, compact)
     return spark.read.parquet(compact).select("event_id", "user_id", "event_type", "ts", F.col("day").cast("date"))
 
 

@@ -120,9 +120,13 @@ def export_overlapping_runs(spark, sf):
 
 @query("compact_files", "SELECT * FROM orders")
 def compact_files(spark, sf):
+    """Many small files packed by size in two runs, the second over what has come since."""
     src, dst = scratch_path(spark, "many"), scratch_path(spark, "compact")
-    t(spark, sf, "orders").repartition(16).write.mode("overwrite").parquet(src)
-    sinks.compact_files(spark, src, dst, num_files=2)
+    o = t(spark, sf, "orders")
+    urgent = F.coalesce(F.col("o_orderpriority") == "1-URGENT", F.lit(False))
+    for part in (o.where(urgent), o.where(~urgent)):
+        part.repartition(16).write.mode("append").parquet(src)
+        sinks.compact_files(spark, src, dst, target_bytes=100_000)
     return spark.read.schema(SCHEMAS["orders"]).parquet(dst)
 
 

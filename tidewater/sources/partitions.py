@@ -66,3 +66,12 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True
         out.write(bytearray(text, "utf-8"))
     finally:
         out.close()
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file; an existing target fails the call."""
+    jvm = spark.sparkContext._jvm
+    p, q = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(to)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(q) or not fs.rename(p, q):
+        raise FileExistsError(f"{path} could not become {to}")

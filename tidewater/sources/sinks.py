@@ -12,6 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.sources import compaction
 from tidewater.sources.files import read_by_suffix, timestamps_to_text
 from tidewater.sources.ledger import DAY, Ledger, Ranges, as_time
 from tidewater.sources.partitions import delete, file_names, partition_values
@@ -95,10 +96,15 @@ def export_daily_incremental(df: DataFrame, ts_col: str, start: str | datetime,
     return missing
 
 
-def compact_files(spark: SparkSession, src: str, dst: str, num_files: int = 1) -> None:
-    """Read every Parquet file under ``src`` and rewrite them as ``num_files`` files at ``dst``. ``coalesce`` merges
-    partitions without a shuffle; choose ``num_files`` from the data size (about 128-512 MB per file)."""
-    spark.read.parquet(src).coalesce(num_files).write.mode("overwrite").parquet(dst)
+def compact_files(spark: SparkSession, src: str, dst: str, num_files: int | None = None,
+                  target_bytes: int = compaction.TARGET_BYTES) -> None:
+    """Rewrite the Parquet files under ``src`` at ``dst``: by default as files of about ``target_bytes``, adding what is
+    new since the last call (``compaction.compact``). With ``num_files`` all of them become that many files, each by
+    one task, and ``dst`` is replaced."""
+    if num_files is None:
+        compaction.compact(spark, src, dst, target_bytes)
+    else:
+        spark.read.parquet(src).coalesce(num_files).write.mode("overwrite").parquet(dst)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite",
