@@ -183,8 +183,8 @@ def product_nonzero_agg(df: DataFrame, group: list[str], value: str, out: str =
     return df.groupBy(*group).agg(F.coalesce(F.product(v), F.lit(1.0)).alias(out))
 
 
-def failure_summary(df: DataFrame, record: str, failed: Column) -> DataFrame:
-    """Distinct failed records, total records and the ``failed of total`` text."""
-    a = df.agg(F.countDistinct(F.when(failed, F.col(record))).alias("failed"),
-               F.countDistinct(record).alias("total"))
+def failure_summary(df: DataFrame, record: str, failed: Column, group: list[str] | None = None) -> DataFrame:
+    """Distinct failed records, total records and the ``failed of total`` text, per group or of all."""
+    a = df.groupBy(*group or []).agg(F.countDistinct(F.when(failed, F.col(record))).alias("failed"),
+                                     F.countDistinct(record).alias("total"))
     return a.withColumn("summary", F.format_string("%d of %d", F.col("failed"), F.col("total")))

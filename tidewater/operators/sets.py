@@ -65,9 +65,11 @@ def distinct_prefixes(df: DataFrame, key: str, out: str = "prefix") -> DataFrame
 def keyed_set_state(ops: DataFrame, key: str = "key", member: str = "value", op: str = "op", ts: str = "ts",
                     seq: str | None = None) -> DataFrame:
     """Replay an add/remove operation log into current set members: the last operation per (key, member) wins
-    (``max_by`` over time, ties by ``seq``), and members whose last operation is ``add`` remain. The result is one
+    (``max_by`` over time, ties by ``seq``), and members whose last operation is ``add`` remain; operations that are
+    neither ``add`` nor ``remove`` change nothing. The result is one
     row per (key, member) — a set of any size stays distributed; ``collect_set`` is left to bounded callers."""
     order = F.struct(F.col(ts), F.col(seq)) if seq else F.col(ts)
+    order = F.when(F.col(op).isin("add", "remove"), order)  # rows without an order don't count
     last = ops.groupBy(key, member).agg(F.max_by(F.col(op), order).alias("_tw_last"))
     return last.where(F.col("_tw_last") == "add").drop("_tw_last")
 

@@ -226,10 +226,10 @@ def any_null_filter(spark, sf):
 
 @query("remove_empty_elements", """
 WITH r AS (SELECT l_orderkey, to_json(list({'n': l_linenumber, 'flag': l_returnflag} ORDER BY l_linenumber, l_returnflag))
-                  AS returns FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey),
+                  AS lines FROM lineitem GROUP BY l_orderkey),
      p AS (SELECT o.o_orderkey, concat_ws(',',
              CASE WHEN o.o_orderpriority <> '5-LOW' THEN '"priority":"' || o.o_orderpriority || '"' END,
-             CASE WHEN r.returns IS NOT NULL THEN '"returns":' || r.returns END,
+             CASE WHEN r.lines IS NOT NULL THEN '"lines":' || r.lines END,
              CASE WHEN o.o_orderstatus <> 'F' THEN '"meta":{"status":"' || o.o_orderstatus || '"}' END) AS parts
              FROM orders o LEFT JOIN r ON r.l_orderkey = o.o_orderkey)
 SELECT o_orderkey, CASE WHEN parts = '' THEN '[]' ELSE '{' || parts || '}' END AS doc_json FROM p
@@ -239,12 +239,12 @@ def remove_empty_elements(spark, sf):
     are removed recursively before writing JSON."""
     o = t(spark, sf, "orders")
     li = t(spark, sf, "lineitem")
-    lines = li.where("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.array_sort(
-        F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("flag")))).alias("returns"))
+    lines = li.groupBy("l_orderkey").agg(F.array_sort(
+        F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("flag")))).alias("lines"))
     doc = o.join(lines, o.o_orderkey == lines.l_orderkey, "left").select(
         "o_orderkey",
         F.struct(F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"),
-                 F.coalesce(F.col("returns"), F.array().cast("array<struct<n:int,flag:string>>")).alias("returns"),
+                 F.coalesce(F.col("lines"), F.array().cast("array<struct<n:int,flag:string>>")).alias("lines"),
                  F.struct(F.when(F.col("o_orderstatus") == "F", F.lit(None)).otherwise(F.col("o_orderstatus"))
                           .alias("status")).alias("meta")).alias("doc"))
     dtype = doc.schema["doc"].dataType

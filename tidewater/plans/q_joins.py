@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidewater.operators import joins as op
 from tidewater.operators.windows import assign_chunk
 from tidewater.plans.common import t
-from tidewater.plans.q_workloads import candidate_events
 from tidewater.plans.registry import query
 
 
@@ -24,16 +23,13 @@ def hash_join(spark, sf):
 
 
 @query("multi_key_join", """
-WITH cand AS (
-  SELECT event_id, ts, user_id, CAST(ts AS DATE) AS session_date FROM events
-   WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'
-     AND event_type IN ('view', 'click', 'purchase') AND user_id IS NOT NULL)
+WITH cand AS (SELECT event_id, ts, user_id, CAST(ts AS DATE) AS session_date FROM events)
 SELECT ce.event_id, e.value, e.props
   FROM cand ce JOIN events e
     ON ce.user_id = e.user_id AND ce.ts = e.ts AND ce.session_date = CAST(e.ts AS DATE) AND ce.event_id = e.event_id
 """)
 def multi_key_join(spark, sf):
-    ce = candidate_events(t(spark, sf, "events")).select("event_id", "ts", "user_id", "session_date")
+    ce = t(spark, sf, "events").select("event_id", "ts", "user_id", F.to_date("ts").alias("session_date"))
     e = t(spark, sf, "events").withColumn("e_date", F.to_date("ts"))
     j = op.multi_key_join(ce, e, [("user_id", "user_id"), ("ts", "ts"), ("session_date", "e_date"),
                                   ("event_id", "event_id")])

@@ -133,19 +133,20 @@ def distinct_prefixes(spark, sf):
 
 
 _OPS = ("SELECT user_id AS key, CAST(json_extract_string(props, '$.k') AS BIGINT) AS member, "
-        "CASE WHEN event_type IN ('view', 'click') THEN 'add' ELSE 'remove' END AS op, ts, event_id FROM events "
-        "WHERE event_type IN ('view', 'click', 'purchase')")
+        "CASE WHEN event_type IN ('view', 'click') THEN 'add' WHEN event_type = 'purchase' THEN 'remove' "
+        "ELSE 'look' END AS op, ts, event_id FROM events")
 
 
 @query("keyed_set_ops", f"""
 SELECT key, member FROM (
   SELECT key, member, op, row_number() OVER (PARTITION BY key, member ORDER BY ts DESC, event_id DESC) AS rk
-    FROM ({_OPS}))
+    FROM ({_OPS}) WHERE op <> 'look')
  WHERE rk = 1 AND op = 'add'
 """)
 def keyed_set_ops(spark, sf):
-    """Viewed/clicked offers add to a user's set, a purchase removes it; current members per user."""
-    e = t(spark, sf, "events").where(F.col("event_type").isin("view", "click", "purchase")).select(
+    """Viewed/clicked offers add to a user's set, a purchase removes it, other events look; current members per user."""
+    e = t(spark, sf, "events").select(
         F.col("user_id").alias("key"), F.get_json_object("props", "$.k").cast("bigint").alias("member"),
-        F.when(F.col("event_type").isin("view", "click"), "add").otherwise("remove").alias("op"), "ts", "event_id")
+        F.when(F.col("event_type").isin("view", "click"), "add").when(F.col("event_type") == "purchase", "remove")
+        .otherwise("look").alias("op"), "ts", "event_id")
     return so.keyed_set_state(e, "key", "member", "op", "ts", "event_id")
