@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import catalog as cat
-from tidewater.sources import api, compaction, files, outbox, sinks, state
+from tidewater.sources import api, compaction, files, outbox, quarantine, sinks, state
 from tidewater.sources.ledger import Ledger, Ranges
 from tidewater.streaming import streams as st
 
@@ -402,6 +402,53 @@ def test_incremental_watermark_twice(spark):
     assert fresh2.count() == 0 and marks2.count() == 0
 
 
+def test_broken_rows_are_set_apart_or_fail(spark, tmp):
+    pages = spark.createDataFrame([("p", '{"0": {"id": 1, "t": "a"}, "1": "broken", "2": {"id": "x"}, "3": {}, "result_code": 1}'),
+                                   ("q", '{"0": {"id": 2'), ("r", " "), ("s", None), ("u", "[1]")], "tag string, page string")
+    good, broken = api.split_paged_result(pages, "page", "id long, t string", ["tag"])
+    assert [tuple(r) for r in good.collect()] == [("p", "0", 1, "a")]
+    assert sorted((r.tag, r.row_key or "", r.reason) for r in broken.collect()) == [
+        ("p", "1", "not an object"), ("p", "2", "malformed, or a value of another type"), ("q", "", "malformed page"),
+        ("r", "", "empty page"), ("s", "", "empty page"), ("u", "", "malformed page")]
+    for page in ('{"1": "broken"}', '{"1": {"id": "x"}}'):
+        with pytest.raises(Exception, match="not an object|another type"):
+            api.normalize_paged_result(pages.limit(1).withColumn("page", F.lit(page)), "page", "id long", ["tag"]).collect()
+    times = spark.createDataFrame([("2024-13-45 bad", [])], "tstamp string, info array<struct<tstamp:string>>")
+    with pytest.raises(Exception, match="not a time: 2024-13-45 bad"):
+        times.select(api.event_time()).collect()
+    with open(f"{tmp}/lines.json", "w") as f:
+        f.write('{"a": 1}\n\n{"a": 2\n{"a": "x"}\n7\n{}\n')
+    good, broken = quarantine.read_json_lines(spark, f"{tmp}/lines.json", "a int")
+    assert sorted((r.a is None, r.a) for r in good.collect()) == [(False, 1), (True, None)]
+    assert sorted(r.raw for r in broken.collect()) == ['7', '{"a": "x"}', '{"a": 2']
+
+
+def test_broken_payload_is_in_the_dead_letters_once(spark, tmp, monkeypatch):
+    src, out, dead, ck = (f"{tmp}/dead-{x}" for x in ("src", "out", "dead", "ck"))
+    msgs = spark.createDataFrame([({"producer": "p"}, bytearray(b)) for b in (b'{"a": 1}', b'{"a": ', b'{"a": 3}')],
+                                 "headers map<string,string>, value binary")
+    with pytest.raises(Exception, match="another type"):
+        st.decode_messages(msgs, "a int").collect()
+    msgs.write.parquet(src)
+    real = st.split_messages
+
+    def run():
+        stream = spark.readStream.schema(msgs.schema).parquet(src)
+        st.consume_with_quarantine(stream, "a int", out, dead, ck).awaitTermination()
+
+    def dies(*args):  # the broken ones are written, then the batch fails
+        good, broken = real(*args)
+        return good.select(F.raise_error(F.lit("lost"))), broken
+
+    monkeypatch.setattr(st, "split_messages", dies)
+    with pytest.raises(Exception):
+        run()
+    monkeypatch.undo()
+    run()
+    assert [(r.producer, r.raw) for r in spark.read.parquet(dead).collect()] == [("p", '{"a": ')]
+    assert sorted(r.a for r in spark.read.parquet(out).collect()) == [1, 3]
+
+
 def test_send_requests_with_fake_sender(spark):
     reqs = spark.createDataFrame([(1, 1, "click", None), (1, 2, "event", "101"), (2, 1, "click", None),
                                   (2, 2, "event", "102"), (3, 2, "event", None)],

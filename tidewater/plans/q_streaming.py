@@ -39,6 +39,33 @@ def stream_consume(spark, sf):
     return spark.read.schema(SCHEMAS["events"]).parquet(out).select(*SCHEMAS_EVENTS_COLS)
 
 
+@query("stream_quarantine", """
+SELECT event_id, CASE WHEN event_id % 53 = 0 THEN 'malformed, or a value of another type'
+                      WHEN event_id % 59 = 0 THEN 'malformed, or a value of another type'
+                      WHEN event_id % 61 = 0 THEN 'not an object' WHEN event_id % 67 = 0 THEN 'empty' END AS reason,
+       CASE WHEN event_id % 53 <> 0 AND event_id % 59 <> 0 AND event_id % 61 <> 0 AND event_id % 67 <> 0 THEN user_id END
+         AS user_id,
+       CASE WHEN event_id % 53 <> 0 AND event_id % 59 <> 0 AND event_id % 61 <> 0 AND event_id % 67 <> 0 THEN event_type END
+         AS event_type
+  FROM events
+""")
+def stream_quarantine(spark, sf):
+    """Event messages, some cut short, of a wrong type, not an object or empty, through a consumer with a sink for broken
+    payloads; what each sink holds."""
+    src, out, dead, ck = (scratch_path(spark, f"quarantine-{x}") for x in ("src", "out", "dead", "ck"))
+    e = t(spark, sf, "events").select("event_id", "user_id", "event_type")
+    msgs = st.to_messages(e, "event-producer", key_col="event_id")
+    key, text = F.col("key").cast("string").cast("long"), F.col("value").cast("string")
+    broken = (F.when(key % 53 == 0, F.substring(text, 1, 20)).when(key % 59 == 0, F.lit('{"user_id": "many"}'))
+              .when(key % 61 == 0, F.lit("[1, 2]")).when(key % 67 == 0, F.lit(" ")).otherwise(text))
+    msgs.withColumn("value", broken.cast("binary")).write.parquet(src)
+    stream = spark.readStream.schema("headers MAP<STRING, STRING>, value BINARY, key BINARY").parquet(src)
+    st.consume_with_quarantine(stream, "user_id BIGINT, event_type STRING", out, dead, ck, keep=("key",)).awaitTermination()
+    number = F.col("key").cast("string").cast("long").alias("event_id")
+    good = spark.read.parquet(out).select(number, F.lit(None).cast("string").alias("reason"), "user_id", "event_type")
+    return good.unionByName(spark.read.parquet(dead).select(number, "reason"), allowMissingColumns=True)
+
+
 SCHEMAS_EVENTS_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 

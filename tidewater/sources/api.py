@@ -14,30 +14,58 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.sources import quarantine
 from tidewater.sources.outbox import send
 
 # Status keys of a result page that are not rows.
 STATUS_KEYS = ("result_code", "result_message", "result_output")
 
+PAGE = T.MapType(T.StringType(), T.StringType())
+
 
 def normalize_paged_result(pages: DataFrame, page_col: str, row_schema: T.StructType | str,
                            tag_cols: list[str]) -> DataFrame:
     """A landed page is a JSON object ``{index: row, ..., result_code: .., ...}``. Emit one row per non-status key,
-    drop empty rows (null, ``{}``, ``[]``, ""), parse the row with ``row_schema`` and tag it with ``tag_cols``."""
-    m = F.from_json(F.col(page_col), T.MapType(T.StringType(), T.StringType()), {"mode": "FAILFAST"})
-    entries = pages.select(*tag_cols, F.explode(m).alias("_tw_key", "_tw_row"))
-    rows = entries.where(~F.col("_tw_key").isin(*STATUS_KEYS) & F.col("_tw_row").isNotNull()
+    drop empty rows (null, ``{}``, ``[]``, ""), parse the row with ``row_schema`` and tag it with ``tag_cols``. A page or
+    a row that doesn't parse fails the query; ``split_paged_result`` sets them apart instead."""
+    m = F.from_json(F.col(page_col), PAGE, {"mode": "FAILFAST"})
+    rows = _page_rows(pages.select(*tag_cols, F.explode(m).alias("row_key", "_tw_row")))
+    return rows.select(*tag_cols, "row_key", quarantine.strict(F.col("_tw_row"), row_schema).alias("_tw_r")) \
+        .select(*tag_cols, "row_key", "_tw_r.*")
+
+
+def _page_rows(entries: DataFrame) -> DataFrame:
+    return entries.where(~F.col("row_key").isin(*STATUS_KEYS) & F.col("_tw_row").isNotNull()
                          & ~F.trim(F.col("_tw_row")).isin("", "{}", "[]", "null"))
-    parsed = rows.select(*tag_cols, F.col("_tw_key").alias("row_key"),
-                         F.from_json(F.col("_tw_row"), row_schema).alias("_tw_r"))
-    return parsed.select(*tag_cols, "row_key", "_tw_r.*")
+
+
+def split_paged_result(pages: DataFrame, page_col: str, row_schema: T.StructType | str,
+                       tag_cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, broken): the rows of ``normalize_paged_result``, and what doesn't parse with its tags, ``row_key`` (null
+    for a whole page), text and reason."""
+    page = F.col(page_col)
+    opened = pages.select(*tag_cols, page.alias("_tw_page"), F.from_json(page, PAGE).alias("_tw_m"))
+    # a text that isn't an object gives no map, or a map of one null value under the text itself or no key
+    whole = F.col("_tw_m").isNotNull() & F.get_json_object("_tw_page", "$").startswith("{")
+    closed = opened.where(~F.coalesce(whole, F.lit(False))).select(
+        *tag_cols, F.lit(None).cast("string").alias("row_key"), F.col("_tw_page").alias(quarantine.RAW),
+        F.when(page_is_empty("_tw_page"), "empty page").otherwise("malformed page").alias(quarantine.REASON))
+    rows = _page_rows(opened.where(whole).select(*tag_cols, F.explode("_tw_m").alias("row_key", "_tw_row")))
+    good, broken = quarantine.split(rows, "_tw_row", row_schema, [*tag_cols, "row_key"])
+    return good, broken.unionByName(closed)
+
+
+def page_is_empty(column: str) -> F.Column:
+    return F.col(column).isNull() | (F.trim(F.col(column)) == "")
 
 
 def event_time(tstamp: str = "tstamp", info: str = "info", default: str = "2020-01-01 00:00:00",
                fmt: str = "yyyy-MM-dd HH:mm:ss") -> F.Column:
-    """Event time of a landed row: its own ``tstamp``, else the first ``info[].tstamp``, else ``default``."""
+    """Event time of a landed row: its own ``tstamp``, else the first ``info[].tstamp``, else ``default``. A text that
+    isn't a time fails the query: as a null it would drop its row from every comparison with a mark."""
     raw = F.coalesce(F.col(tstamp), F.get(F.col(info), F.lit(0)).getField("tstamp"), F.lit(default))
-    return F.try_to_timestamp(raw, F.lit(fmt)).cast("timestamp_ntz")
+    found = F.try_to_timestamp(raw, F.lit(fmt)).cast("timestamp_ntz")
+    return F.coalesce(found, F.raise_error(F.concat(F.lit("not a time: "), raw)).cast("timestamp_ntz"))
 
 
 def incremental_watermark(rows: DataFrame, marks: DataFrame | None, keys: list[str], ts_col: str,

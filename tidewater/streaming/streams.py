@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewater.operators import ttl
-from tidewater.sources import api, state
+from tidewater.sources import api, quarantine, state
 from tidewater.sources.partitions import partition_values
 
 
@@ -60,9 +60,18 @@ def rate_source(spark: SparkSession, rows_per_batch: int = 5) -> DataFrame:
 
 
 def decode_messages(msgs: DataFrame, schema: T.StructType | str) -> DataFrame:
-    """Binary JSON payload + headers -> typed columns plus the producer header."""
+    """Binary JSON payload + headers -> typed columns plus the producer header. A payload that doesn't parse fails the
+    query; ``split_messages`` sets it apart instead."""
     return msgs.select(F.col("headers")["producer"].alias("producer"),
-                       F.from_json(F.col("value").cast("string"), schema).alias("m")).select("producer", "m.*")
+                       quarantine.strict(F.col("value").cast("string"), schema).alias("m")).select("producer", "m.*")
+
+
+def split_messages(msgs: DataFrame, schema: T.StructType | str,
+                   keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(good, broken): decoded messages, and those whose payload doesn't parse as text with the reason; both with the
+    producer and the columns in ``keep``."""
+    text = msgs.select(*keep, F.col("headers")["producer"].alias("producer"), F.col("value").cast("string").alias("_tw_text"))
+    return quarantine.split(text, "_tw_text", schema, [*keep, "producer"])
 
 
 def consume(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
@@ -81,6 +90,19 @@ def idempotent_batch_writer(out_path: str, fmt: str = "parquet") -> Callable[[Da
     return handler
 
 
+def consume_with_quarantine(stream: DataFrame, schema: T.StructType | str, out_path: str, dead_path: str, checkpoint: str,
+                            keep: tuple[str, ...] = (), trigger: dict | None = None):
+    """A consumer with two sinks: decoded messages go to ``out_path``, broken ones to ``dead_path``, each batch under
+    its own id in both, so a batch that is replayed replaces what it had written to either."""
+    def handler(df: DataFrame, batch_id: int) -> None:
+        df.persist()  # read for both sinks
+        good, broken = split_messages(df, schema, keep)
+        broken.write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}")
+        good.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        df.unpersist()
+    return consume(stream, handler, checkpoint, trigger)
+
+
 def interval_ingest(stream: DataFrame, ts_col: str, out_path: str, checkpoint: str, minutes: int = 5,
                     trigger: dict | None = None):
     """Append every message under ``date_=<day>/interval=<HHmm>`` of its interval start. No aggregation, so no
