@@ -31,12 +31,12 @@ from pyspark.sql import functions as F
 from tidewater.llm._arrow import slices, text_bytes
 from tidewater.llm._common import saved, text_of
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Bytes of the hashed strings.
 SEED = 24
 BITMAP_BITS = 1 << 27
 #: Bytes of strings that a bucket gets, about, and that one shard of it has at most.
-BUCKET, SHARD = 1 << 20, 1 << 18
+BUCKET, SHARD = 1 << 20, 1 << 16
 #: A key with more runs than this (and than all runs / MAX_HOT) is dealt by whole windows.
 HOT_RUNS, MAX_HOT = 10_000, 20_000
 
@@ -71,19 +71,22 @@ def runs(raw: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.ndarray, ..
         step *= 2
     if wide > step:
         least = np.minimum(least[:step - wide], least[wide - step:])
-    windows = np.maximum(np.diff(offs) - length + 1, 0)  # of each text; others cross its end
-    text = np.repeat(np.arange(len(windows)), windows)
-    at = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)
-    key = least[at + offs[text]]
-    first = np.ones(len(key), bool)
-    first[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(first)
-    n = np.diff(first, append=len(key))
+    windows = np.diff(offs) - length + 1  # of each text; others cross its end
+    has = windows > 0
+    cut = np.empty(len(least) + 1, bool)
+    cut[0] = cut[-1] = True
+    np.not_equal(least[1:], least[:-1], out=cut[1:-1])
+    cut[offs[:-1][has]] = True
+    cut[(offs[:-1] + windows)[has]] = True
+    begin = np.flatnonzero(cut)
+    n, begin = np.diff(begin), begin[:-1]
+    text = np.searchsorted(offs, begin, "right") - 1
+    within = begin - offs[text] < windows[text]
+    begin, text, n = begin[within], text[within], n[within]
     around = np.lib.stride_tricks.sliding_window_view(hashes, wide)
-    begin = at[first] + offs[text[first]]
     left = around[begin].argmin(axis=1)
     right = n - 1 + wide - 1 - around[begin + n - 1][:, ::-1].argmin(axis=1)
-    return key[first], text[first], at[first], n, left != right
+    return least[begin], text, begin - offs[text], n, left != right
 
 
 def _count_keys(length: int):
@@ -196,19 +199,19 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum(size) - 1
     symbol = raw.astype(np.int64) + len(strings)  # behind the strings' ends, which come first, in their order
     symbol[ends] = np.arange(len(strings))
-    bits = max(1, int(symbol.max()).bit_length())
-    place_bits = len(raw).bit_length()
-    known = max(1, min(4, 62 // bits))
+    bits, place_bits = max(1, int(symbol.max()).bit_length()), len(raw).bit_length()
+    known = max(1, (62 - place_bits) // bits)
     rank = symbol.copy()
     for k in range(1, known):
         rank <<= bits
         rank[:-k] |= symbol[k:]
+    place = np.arange(len(raw))
     while True:
-        order = np.argsort(rank)
-        value = rank[order]
-        new = np.ones(len(raw), np.int64)
-        new[1:] = value[1:] != value[:-1]
-        number = np.cumsum(new) - 1
+        both = np.sort((rank << place_bits) | place)
+        order = both & ((1 << place_bits) - 1)
+        both >>= place_bits
+        number = np.zeros(len(raw), np.int64)
+        np.cumsum(both[1:] != both[:-1], out=number[1:])
         rank = np.empty(len(raw), np.int64)
         rank[order] = number
         if number[-1] == len(raw) - 1:
@@ -231,27 +234,33 @@ def _steps(bwt: np.ndarray) -> np.ndarray:
     return to
 
 
-def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+def merge(transforms: list[np.ndarray], depth: int, reach: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rows (numbered through all transforms) in blocks of two and more whose suffixes share their first ``depth`` bytes,
-    and the rows' blocks: the interleave of the transforms, refined by two bytes a round."""
+    and the rows' blocks: the interleave of the transforms, refined by two bytes a round. A row of one round is the next
+    round's row of the suffix two bytes longer. ``reach`` has the bytes before each row's suffix in its string; rows with
+    fewer than ``depth`` can't come to that depth and are left out from the start."""
     bwt = np.concatenate(transforms)
     base = np.cumsum([0] + [len(t) for t in transforms])
-    to = np.concatenate([np.where(s < 0, -1, s + b) for s, b in zip(map(_steps, transforms), base)]).astype(np.int32)
-    twice = np.where(to < 0, -1, to[to])
-    pair = (bwt[to].astype(np.uint16) << 8) | bwt
-    rows, block = np.arange(len(bwt), dtype=np.int32), np.zeros(len(bwt), np.int32)
-    rounds = [(bwt, to)] * (depth % 2) + [(pair, twice)] * (depth // 2)
-    for symbols, step in rounds:
-        goes = step[rows] >= 0
-        rows, block = rows[goes], block[goes]
-        symbol = symbols[rows]
-        order = np.argsort(symbol, kind="stable")
-        rows, block, symbol = step[rows[order]], block[order], symbol[order]
+    to = np.concatenate([np.where(s < 0, -1, s + b) for s, b in zip(map(_steps, transforms), base)])
+    if reach is None:
+        reach = np.zeros(len(bwt), np.int64)
+        at = to
+        for _ in range(depth):
+            reach += at >= 0
+            at = np.where(at < 0, -1, to[at])
+    rows = np.flatnonzero(reach >= depth)
+    block = np.zeros(len(rows), np.int32)
+    one = (to << 16) | bwt  # where a row goes, and by which bytes
+    two = (to[to] << 16) | (bwt[to].astype(np.int64) << 8) | bwt
+    for moves in [one] * (depth % 2) + [two] * (depth // 2):
+        move = moves[rows]
+        order = np.argsort(move.astype(np.uint16), kind="stable")
+        move, block = move[order], block[order]
         first = np.ones(len(rows) + 1, bool)
-        first[1:-1] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
+        np.not_equal(((move[1:] ^ move[:-1]) & 0xFFFF) | (block[1:] ^ block[:-1]), 0, out=first[1:-1])
         shared = ~(first[:-1] & first[1:])  # a block of one has parted from all others
         block = np.cumsum(first[:-1], dtype=np.int32)[shared]
-        rows = rows[shared]
+        rows = move[shared] >> 16
     return rows, block
 
 
@@ -267,12 +276,13 @@ def repeats(strings: list[bytes], depth: int, shard: int = SHARD) -> tuple[np.nd
     done = [transform(x) for x in shards if x]
     if not done:
         return (np.zeros(0, np.int64),) * 3
-    rows, block = merge([bwt for bwt, _ in done], depth)
     sizes = np.cumsum([0] + [len(places) for _, places in done])
-    place = np.concatenate([places + b for (_, places), b in zip(done, sizes)])[rows]
+    place = np.concatenate([places + b for (_, places), b in zip(done, sizes)])
     begins = np.cumsum([0] + [len(s) + 1 for s in strings])
-    string = np.searchsorted(begins, place, "right") - 1
-    return string, place - begins[string], block
+    string = np.repeat(np.arange(len(strings)), np.diff(begins))[place]
+    offset = place - begins[string]
+    rows, block = merge([bwt for bwt, _ in done], depth, offset)
+    return string[rows], offset[rows], block
 
 
 def _cover(length: int):
@@ -350,7 +360,7 @@ def covered_windows(rows: DataFrame, length: int, n_bits: int = BITMAP_BITS, hot
 def _without(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 4 * SLICE):
+            for part in slices(batch, "text", 16 * SLICE):
                 raw, offs = text_bytes(part.column("text"))
                 data, out, kept = raw.tobytes(), [], []
                 for i, spans in enumerate(part.column("spans").to_pylist()):
