@@ -181,11 +181,20 @@ def _strings(length: int, marks, hot, n_bits: int, buckets: int):
                         known[strings[i]] = at
                 if len(known) > REMEMBERED:
                     known.clear()
-                bucket = np.where([s is None for s in strings], _mixed(row.view(np.uint64)), _mixed(key))
+                # covered runs that follow on each other are one span, which needs no key and goes to any bucket
+                gone = np.array([s is None for s in strings], bool)
+                joins = np.zeros(len(gone), bool)
+                joins[1:] = gone[1:] & gone[:-1] & (text[1:] == text[:-1]) & (start[1:] == (start + n)[:-1])
+                first = np.flatnonzero(~joins)
+                if not len(first):
+                    continue
+                n, gone = np.add.reduceat(n, first), gone[first]
+                key, id, row, start, twice = (x[first] for x in (key, id, row, start, twice))
+                bucket = np.where(gone, _mixed(row.view(np.uint64)), _mixed(key)) % np.uint64(buckets)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((bucket % np.uint64(buckets)).astype(np.int32)), pa.array(key.view(np.int64)),
-                     pa.array(id), pa.array(row), pa.array(start), pa.array(n), pa.array(twice),
-                     pa.array(strings, pa.binary())],
+                    [pa.array(bucket.astype(np.int32)), pa.array(np.where(gone, np.uint64(0), key).view(np.int64)),
+                     pa.array(np.where(gone, 0, id)), pa.array(row), pa.array(start), pa.array(n), pa.array(twice & ~gone),
+                     pa.array([strings[i] for i in first.tolist()], pa.binary())],
                     names=["bucket", "key", "id", "row", "start", "n", "twice", "string"])
     return run
 
