@@ -161,6 +161,34 @@ def test_top_sum_and_missing(spark):
     assert sorted(r[0] for r in agg.missing_values(nums, "v").collect()) == [6]
 
 
+def test_missing_ranges_against_sets(spark):
+    import random
+    rng = random.Random(6)
+    assert [tuple(r) for r in agg.missing_ranges(spark.createDataFrame([(1,), (10**15,)], "v long"), "v").collect()] == \
+        [(2, 10**15 - 1, 10**15 - 2)]
+    for spread in (90, 700, 10**5):
+        have = [rng.randint(-spread, spread) for _ in range(300)] + [None, -64, -65, 63, 64]
+        got = agg.missing_ranges(spark.createDataFrame([(v,) for v in have], "v long").repartition(5), "v", 6).collect()
+        present = sorted({v for v in have if v is not None})
+        assert sorted(map(tuple, got)) == [(a + 1, b - 1, b - a - 1) for a, b in zip(present, present[1:]) if b > a + 1]
+    edge = [-2**63, -2**63 + 1]
+    assert agg.missing_ranges(spark.createDataFrame([(e,) for e in edge], "v long"), "v").count() == 0
+    assert agg.missing_ranges(spark.createDataFrame([], "v long"), "v").count() == 0
+    assert agg.missing_ranges(spark.createDataFrame([(5,), (5,), (None,)], "v int"), "v").count() == 0
+
+
+def test_pages_from_a_rank_directory(spark, tmp_path):
+    from tidewater.operators import sets
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), (F.col("id") % 3).alias("g")).repartition(5)
+    d = sets.RankDirectory(df, f"{tmp_path}/ranks", "g", F.desc("k"), ranges=20)
+    want = [tuple(r) for r in df.orderBy("g", F.desc("k")).collect()]
+    for offset, limit in ((0, 10), (497, 25), (990, 50), (1000, 5), (3, 0)):
+        page = d.page(offset, limit)
+        assert [tuple(r) for r in page.collect()] == want[offset:offset + limit]
+        assert len(d.ranges_of(offset, limit)[0]) <= 2 and sum(d.counts.values()) == 1000
+    assert sets.RankDirectory(df.limit(0), f"{tmp_path}/none", "k").page(0, 5).count() == 0
+
+
 def test_exact_quantiles_match_pandas(spark):
     import random
     rnd = random.Random(3)

@@ -8,6 +8,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.sources.partitions import partition_values
+
 
 def order_by(df: DataFrame, *cols) -> DataFrame:
     return df.orderBy(*cols)
@@ -40,6 +42,39 @@ def offset_page(df: DataFrame, offset: int, limit: int, *order) -> DataFrame:
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
+class RankDirectory:
+    """A sorted copy of a frame in ranges, with the rows of each counted, so that a page at any offset reads only the
+    ranges that hold its ranks. Range bounds are sampled; rows are in the order of all given columns, which should tell
+    them apart. Built once for many pages; the counts are one number a range."""
+
+    def __init__(self, df: DataFrame, path: str, *order, ranges: int | None = None):
+        self.spark, self.path, self.order = df.sparkSession, path, order
+        n = ranges or int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_tw_range", F.spark_partition_id()) \
+            .write.partitionBy("_tw_range").parquet(path)
+        self.schema = df.schema
+        counts = self.spark.read.parquet(path).groupBy("_tw_range").count().collect() if \
+            partition_values(self.spark, path, "_tw_range") else []
+        self.counts = dict(sorted(map(tuple, counts)))
+
+    def ranges_of(self, offset: int, limit: int) -> tuple[list[int], int]:
+        """The ranges that hold ranks offset to offset + limit, and the rows before the first of them."""
+        found, before, seen = [], 0, 0
+        for r, n in self.counts.items():
+            if seen + n > offset and seen < offset + limit:
+                before = before if found else seen
+                found.append(r)
+            seen += n
+        return found, before
+
+    def page(self, offset: int, limit: int) -> DataFrame:
+        found, before = self.ranges_of(offset, limit)
+        if not found:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self.schema).parquet(*[f"{self.path}/_tw_range={r}" for r in found])
+        return rows.orderBy(*self.order).offset(offset - before).limit(limit)
+
+
 def union_all(*dfs: DataFrame, allow_missing: bool = False) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), dfs)
 

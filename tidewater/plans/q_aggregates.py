@@ -115,6 +115,17 @@ def missing_values(spark, sf):
     return op.missing_values(t(spark, sf, "lineitem").select("l_partkey"), "l_partkey")
 
 
+@query("missing_ranges", """
+WITH ids AS (SELECT DISTINCT l_orderkey * 7 + l_partkey % 5 - 1000 AS v FROM lineitem),
+     steps AS (SELECT v, lead(v) OVER (ORDER BY v) AS nxt FROM ids)
+SELECT v + 1 AS first_missing, nxt - 1 AS last_missing, nxt - v - 1 AS n_missing FROM steps WHERE nxt > v + 1
+""")
+def missing_ranges(spark, sf):
+    """The gaps in numbers made of order and part keys, as intervals."""
+    v = t(spark, sf, "lineitem").select((F.col("l_orderkey") * 7 + F.col("l_partkey") % 5 - 1000).alias("v"))
+    return op.missing_ranges(v, "v")
+
+
 @query("length_histogram", """
 SELECT CAST(length(text) AS INTEGER) AS key_length, COUNT(*) AS n_keys FROM documents GROUP BY length(text)
 """)

@@ -8,6 +8,7 @@ from tidewater.operators import sets as so
 from tidewater.operators import windows as op
 from tidewater.plans.common import t
 from tidewater.plans.registry import query
+from tidewater.session import scratch_path
 
 
 @query("lead_event", """
@@ -94,6 +95,20 @@ def offset_page(spark, sf):
     return so.offset_page(t(spark, sf, "orders").select("o_orderkey"), 100, 50, "o_orderkey")
 
 
+@query("offset_page_directory", """
+SELECT * FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
+                ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice LIMIT 40 OFFSET 50000)
+UNION ALL
+SELECT * FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
+                ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice LIMIT 40 OFFSET 12345)
+""")
+def offset_page_directory(spark, sf):
+    """Two pages of the line items from one rank directory, each reading the ranges that hold its ranks."""
+    li = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    directory = so.RankDirectory(li, scratch_path(spark, "ranks"), *li.columns, ranges=32)
+    return directory.page(50_000, 40).unionByName(directory.page(12_345, 40))
+
+
 # §2.7 set operations
 
 @query("union_all", """
