@@ -700,6 +700,44 @@ def test_cache_stream_orders_operations_expires_by_timer_and_ignores_late_ones(s
     assert step([("z", "z", "set", 500, 1)])["k"] == (None, None)
 
 
+def test_late_messages_are_kept_apart(spark, tmp, monkeypatch):
+    src, out, late, ck = (f"{tmp}/late-{x}" for x in ("src", "out", "late", "ck"))
+    t0, schema = dt.datetime(2021, 1, 1, 12), "id int, ts timestamp_ntz, m map<string,int>, v double"
+
+    def land(rows):
+        spark.createDataFrame([(i, None if s is None else t0 + dt.timedelta(minutes=s), {"a": i}, float("nan"))
+                               for i, s in rows], schema).coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        st.interval_ingest(spark.readStream.schema(schema).parquet(src), "ts", out, ck, late_path=late,
+                           delay=dt.timedelta(minutes=30)).awaitTermination()
+
+    def held(path):
+        return {r.id: (r.interval, r.m) for r in spark.read.parquet(path).collect()} if os.path.exists(path) else {}
+
+    land([(1, 0), (2, 60), (3, -90)])                           # the first batch has no watermark yet
+    run()
+    assert set(held(out)) == {1, 2, 3} and held(out)[2] == ("1300", {"a": 2})
+    land([(4, 30), (5, 24), (6, 23), (7, None), (8, 200)])      # watermark 12:30; the interval 12:25 ends with it
+    real = st.write_text
+
+    def dies(spark, path, text):
+        if "_event_time" in path and "/1" in path[-2:]:
+            raise RuntimeError("lost before the watermark is noted")
+        real(spark, path, text)
+
+    monkeypatch.setattr(st, "write_text", dies)
+    with pytest.raises(Exception, match="lost before"):
+        run()
+    monkeypatch.undo()
+    run()
+    assert set(held(out)) == {1, 2, 3, 4, 8} and set(held(late)) == {5, 6, 7}
+    assert spark.read.parquet(out).count() + spark.read.parquet(late).count() == 8
+    land([(9, 160), (10, 170)])                                 # watermark 14:50
+    run()
+    assert 9 in held(late) and 10 in held(out)
+
+
 def test_interval_counts_watermark(spark, tmp):
     src = f"{tmp}/ev"
     t0 = dt.datetime(2021, 1, 1)

@@ -3,6 +3,8 @@ sinks and checkpoints below the shared checkpoint folder; each query returns a b
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from tidewater.operators import ttl
@@ -78,10 +80,44 @@ def interval_ingest(spark, sf):
     q = st.interval_ingest(event_stream(spark, sf).select("event_id", "ts"), "ts", out, ck)
     q.awaitTermination()
     return spark.read.option("basePath", out) \
-        .schema("event_id BIGINT, ts TIMESTAMP_NTZ, interval STRING, date_ DATE") \
+        .schema("event_id BIGINT, ts TIMESTAMP_NTZ, interval STRING, batch_id INT, date_ DATE") \
         .parquet(out).select("event_id", "date_", "interval")
 
 
+@query("interval_ingest_late", """
+WITH m AS (SELECT MAX(ts) - INTERVAL 1 DAY AS mark FROM events WHERE event_id % 3 <> 0)
+SELECT event_id, CAST(time_bucket(INTERVAL 5 MINUTE, ts) AS DATE) AS date_,
+       strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%H%M') AS interval,
+       event_id % 3 = 0 AND time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= mark AS late
+  FROM events, m
+""")
+def interval_ingest_late(spark, sf):
+    """Two batches, two thirds of the events and then the rest: what comes after the watermark is kept apart."""
+    src, out, late, ck = (scratch_path(spark, f"late-{x}") for x in ("src", "out", "late", "ck"))
+    e = t(spark, sf, "events").select("event_id", "ts")
+    for part in (e.where("event_id % 3 <> 0"), e.where("event_id % 3 = 0")):
+        part.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(e.schema).parquet(src)
+        st.interval_ingest(stream, "ts", out, ck, late_path=late, delay=timedelta(days=1)).awaitTermination()
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, interval STRING, batch_id INT, date_ DATE"
+    both = [spark.read.schema(schema).parquet(p).select("event_id", "date_", "interval", F.lit(p == late).alias("late"))
+            for p in (out, late)]
+    return both[0].unionByName(both[1])
+
+
+@query("interval_counts", """
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, COUNT(*) AS n FROM events GROUP BY 1
+HAVING time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE
+""")
+def interval_counts(spark, sf):
+    """Messages per interval, of the intervals that the watermark (10 minutes) has passed at the end."""
+    out, ck = scratch_path(spark, "counts-out"), scratch_path(spark, "counts-ck")
+    counts = st.interval_counts(event_stream(spark, sf).select("event_id", "ts"), "ts", "10 minutes")
+    counts.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).outputMode("append") \
+        .trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("window_start TIMESTAMP_NTZ, n BIGINT").parquet(out)
+
+
 # cache operations from all events: a view stores the offer (ttl 2 days), a click reads and renews it, a purchase
 # stores an empty value (never stored), other events only look
 def cache_ops(spark, sf):

@@ -4,8 +4,8 @@
   by a streaming query; any streaming source feeds it (``rate-micro-batch`` for a steady 5-per-tick producer).
 - ``consume``: a consumer group is a streaming query with its own checkpoint: a batch is acknowledged when its
   offsets are committed there. Delivery to the handler is at least once; the batch id makes sinks idempotent.
-- ``interval_ingest``: each message lands in the output of its 5-minute interval (a partition per interval, so an
-  empty interval writes nothing); ``interval_counts`` is the watermarked windowed aggregate of the same stream.
+- ``interval_ingest``: each message lands in the output of its 5-minute interval, late ones in one of their own;
+  ``interval_counts`` is the watermarked windowed aggregate of the same stream.
 - ``watermark_stream``: the per-key high-water-mark delta pull, run per micro-batch.
 - ``ttl_state``: last value per key with a time-to-live and optional renew-on-read, as keyed state with timers.
 """
@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime, timedelta
 from typing import Callable, Iterator
 
 import pandas as pd
@@ -23,7 +24,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewater.operators import ttl
 from tidewater.sources import api, quarantine, state
-from tidewater.sources.partitions import partition_values
+from tidewater.sources.partitions import file_names, partition_values, read_text, write_text
 
 
 def _trigger(w, trigger: dict | None):
@@ -103,21 +104,52 @@ def consume_with_quarantine(stream: DataFrame, schema: T.StructType | str, out_p
     return consume(stream, handler, checkpoint, trigger)
 
 
+def _event_time(spark: SparkSession, checkpoint: str, before: int):
+    """The greatest event time of the batches before ``before``, as the last of them has noted it; None at the begin."""
+    folder = f"{checkpoint}/_event_time"
+    found = [int(n) for n in file_names(spark, folder) or [] if n.isdigit() and int(n) < before]
+    text = read_text(spark, f"{folder}/{max(found)}") if found else None
+    return datetime.fromisoformat(text) if text else None
+
+
 def interval_ingest(stream: DataFrame, ts_col: str, out_path: str, checkpoint: str, minutes: int = 5,
-                    trigger: dict | None = None):
-    """Append every message under ``date_=<day>/interval=<HHmm>`` of its interval start. No aggregation, so no
-    state and no watermark are needed; an interval without messages creates no output."""
-    start = F.window(F.col(ts_col), f"{minutes} minutes").start.cast("timestamp_ntz")
-    out = stream.withColumn("date_", F.to_date(start)).withColumn("interval", F.date_format(start, "HHmm"))
-    # one dated directory per day with the interval as a column (a directory per 5-minute interval would mean 288
-    # small-file directories a day); one interval is read by partition pruning on the day plus a filter on the
-    # interval column. A deterministic row-hash salt lets a heavy day be written by several tasks (at most 4 files
-    # per day and batch). The file sink's metadata log makes the output exactly-once across restarts.
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in stream.columns]), F.lit(4))
-    out = out.repartition(F.col("date_"), salt)
-    w = out.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint) \
-        .partitionBy("date_").outputMode("append")
-    return _trigger(w, trigger).start()
+                    late_path: str | None = None, delay: timedelta = timedelta(hours=1), trigger: dict | None = None):
+    """Land every message in the output of its interval: below ``batch_id=<n>/date_=<day>`` with the interval's begin
+    (HHmm) as a column, so a day is a folder and an interval a filter, and an interval without messages makes no output.
+
+    With ``late_path`` the stream has a watermark: the greatest event time of the batches before, less ``delay``.
+    Messages whose interval had ended by then go there instead, in the same form, so an interval that the watermark has
+    passed doesn't change any more and yet nothing is lost. Messages without a time go there too (else: no date).
+
+    The watermark is noted after a batch's output, which is under the batch's id: a batch that is replayed finds the
+    watermark it had and replaces what it wrote. Heavy days are cut to tasks by what the batch holds (AQE); columns of
+    any type are only carried."""
+    length = minutes * 60_000_000
+    micros = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    start = F.timestamp_micros(micros - F.pmod(micros, F.lit(length))).cast("timestamp_ntz")  # no time, no interval
+
+    def write(df: DataFrame, path: str) -> None:
+        df.hint("rebalance", "date_").write.mode("overwrite").partitionBy("date_").parquet(path)
+
+    def handler(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        df.persist()
+        rows = df.withColumn("date_", F.to_date(start)).withColumn("interval", F.date_format(start, "HHmm"))
+        seen = _event_time(spark, checkpoint, batch_id)
+        if late_path is None:
+            write(rows, f"{out_path}/batch_id={batch_id}")
+        else:
+            ended = F.lit(False) if seen is None else \
+                start <= F.lit((seen - delay - timedelta(minutes=minutes)).isoformat(" ")).cast("timestamp_ntz")
+            late = F.coalesce(ended, F.lit(True)) | start.isNull()
+            write(rows.where(late), f"{late_path}/batch_id={batch_id}")
+            write(rows.where(~late), f"{out_path}/batch_id={batch_id}")
+            newest = df.agg(F.max(F.col(ts_col).cast("timestamp_ntz")).alias("t")).first().t
+            newest = max((x for x in (seen, newest) if x), default=None)
+            if newest:
+                write_text(spark, f"{checkpoint}/_event_time/{batch_id}", newest.isoformat())
+        df.unpersist()
+    return consume(stream, handler, checkpoint, trigger)
 
 
 def interval_counts(stream: DataFrame, ts_col: str, delay: str = "10 minutes", minutes: int = 5) -> DataFrame:
