@@ -329,3 +329,25 @@ def test_pages_fail_loudly_and_empty_info(spark):
     assert str(row.select(api.event_time()).first()[0]) == "2020-01-01 00:00:00"
     ts = spark.sql("select timestamp_ntz '2024-01-01 00:00:00.123456' a, timestamp_ntz '2024-01-01 00:00:00' b")
     assert tuple(files.timestamps_to_text(ts).first()) == ("2024-01-01 00:00:00.123456", "2024-01-01 00:00:00")
+
+
+def test_sketches_merge_within_their_rank_error(spark):
+    import numpy as np
+    from tidewater.operators import sketches as sk
+    rng = np.random.default_rng(3)
+    rows = [(g, int(d), float(v)) for g, size in (("a", 20_000), ("b", 3_000), (None, 50)) for d, v in
+            zip(rng.integers(0, 12, size), np.round(rng.lognormal(3, 2, size), 1))]
+    rows += [("a", 1, None), ("a", 1, float("nan")), ("e", 2, None), ("one", 0, 7.5)]
+    df = spark.createDataFrame(rows, "g string, day int, v double").repartition(6)
+    days = sk.quantile_sketches(df, ["g", "day"], "v", 0.02).cache()
+    for some in (range(12), range(3, 7)):
+        part = df.where(F.col("day").isin(*some))
+        answers = sk.quantiles_of(sk.merge_sketches(days.where(F.col("day").isin(*some)), ["g"]), ["g"])
+        errors = sk.rank_errors(part, answers, ["g"], "v").collect()
+        assert len(errors) == 5 * answers.count() and max(r.error for r in errors) <= 0.02
+        counted = {r.g: r.n for r in answers.collect()}
+        assert counted == {g: n for g in ("a", "b", None, "one") if (n := sum(
+            x[0] == g and x[1] in some and x[2] is not None and x[2] == x[2] for x in rows))}
+    days.unpersist()
+    assert sk.k_for(0.01) > sk.k_for(0.02) >= 8
+    assert sk.quantile_sketches(df.limit(0), ["g"], "v").count() == 0

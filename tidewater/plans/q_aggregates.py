@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.operators import aggregates as op
+from tidewater.operators import sketches as sk
 from tidewater.operators.sets import parent_prefix
 from tidewater.plans.common import t
 from tidewater.plans.registry import query
@@ -54,6 +55,21 @@ def group_quantiles_fallback(spark, sf):
     return _round_q(op.group_quantiles_fallback(p, "user_id", "value", "offer", 10))
 
 
+@query("quantile_sketches", """
+SELECT event_type, prob, COUNT(value) AS n, TRUE AS merged_within, TRUE AS one_pass_within
+  FROM events, (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95])::DOUBLE AS prob) GROUP BY event_type, prob
+""")
+def quantile_sketches(spark, sf):
+    """Quantiles of values per event type from sketches per day, merged over all days, and from one pass over all: whether
+    the exact rank of each answer is within the stated error (0.01) of the probability."""
+    e = t(spark, sf, "events").select("event_type", F.to_date("ts").alias("day"), "value")
+    by_day = sk.quantile_sketches(e, ["event_type", "day"], "value", 0.01)
+    found = {"merged": sk.merge_sketches(by_day, ["event_type"]), "one_pass": sk.quantile_sketches(e, ["event_type"], "value", 0.01)}
+    within = [sk.rank_errors(e, sk.quantiles_of(s, ["event_type"]), ["event_type"], "value")
+              .select("event_type", "prob", "n", (F.col("error") <= 0.01).alias(f"{name}_within")) for name, s in found.items()]
+    return within[0].join(within[1].drop("n"), ["event_type", "prob"])
+
+
 @query("session_group_max", """
 SELECT user_id, CAST(ts AS DATE) AS session_date, event_type, MAX(ts) AS last_ts FROM events
  GROUP BY user_id, CAST(ts AS DATE), event_type
