@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import tidewater.functions as tf
+from tidewater.functions.strings import camel_name, snake_name
 
 
 def one(spark, col, data, schema):
@@ -173,3 +174,39 @@ def test_polygon(spark):
     assert r[0][0] == "POLYGON((2.0 1.0,4.0 3.0,6.0 5.0,2.0 1.0))"
     assert r[1][0] == r[0][0]
     assert [x[1] for x in r] == [True, True, False]
+
+
+def test_names_follow_the_column_functions(spark):
+    names = ["camelCaseID", "simple", "A", "aB", "ÄrgerÖl", "x1Y2", "snake_case_name", "a1b_c2d", "_lead", "x__y", "ab_CD"]
+    df = spark.createDataFrame([(n,) for n in names], "s string")
+    got = df.select("s", tf.camel_to_snake("s").alias("snake"), tf.snake_to_camel("s").alias("camel")).collect()
+    for r in got:
+        assert (r.snake, r.camel) == (snake_name(r.s), camel_name(r.s))
+    assert {r.s: r.snake for r in got}["ÄrgerÖl"] == "ärgeröl" and {r.s: r.camel for r in got}["ab_CD"] == "abCd"
+
+
+def test_product_except_self_with_zeros_nulls_and_large_numbers(spark):
+    from math import prod
+    rows = [[], [7], [None], [2, 3], [0, 4, 5], [0, 4, 0], [2, None, 3], [None, None, 3], [None, 0, 3], [-2, 3, -4],
+            [10**10] * 3, [10**10, 10**8, 5], [2] * 62, list(range(1, 300))]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, a array<bigint>")
+    got = {r.i: r.p for r in df.select("i", tf.product_except_self("a").alias("p")).collect()}
+    for i, a in enumerate(rows):
+        want = a if len(a) <= 1 else []
+        if len(a) > 1:
+            for k in range(len(a)):
+                rest = a[:k] + a[k + 1:]
+                p = None if None in rest else prod(rest)
+                want.append(p if p is not None and abs(p) < 2**63 else None)
+        assert got[i] == want
+
+
+def test_url_parts_are_decoded(spark):
+    from tidewater.operators import filters as flt
+    urls = ["postgresql://us%40er:p%3Aw+%2Fx@h.example:5432/d%20b?a=1%262&b=x+y", "s3://bucket/key", "mysql://u@h/", "x://u:@h",
+            "x://h/50%zz"]
+    got = spark.createDataFrame([(u,) for u in urls], "u string").select(flt.url_parts("u").alias("p")).select("p.*").collect()
+    assert [(r.user, r.password, r.host, r.port, r.path) for r in got] == [
+        ("us@er", "p:w+/x", "h.example", 5432, "/d b"), (None, None, "bucket", None, "/key"), ("u", None, "h", None, "/"),
+        ("u", "", "h", None, ""), (None, None, "h", None, "/50%zz")]
+    assert got[0].query == {"a": "1&2", "b": "x y"}

@@ -15,14 +15,23 @@ def product_nonzero(arr) -> Column:
 
 
 def product_except_self(arr) -> Column:
-    """Per position, the product of all other elements (zeros count); a list of length <= 1 is returned as is."""
+    """Per position, the product of all other elements (zeros and nulls count); a list of length <= 1 is returned as is.
+    A product that 64 bits don't hold is null. One pass for the product of all (nulls and zeros apart, up to 38 digits),
+    one for its quotients."""
     a = col(arr)
-    others = F.transform(
-        a,
-        lambda x, i: F.aggregate(
-            F.filter(a, lambda y, j: j != i), F.lit(1).cast("bigint"), lambda acc, y: acc * y
-        ),
-    )
+    zero = F.size(F.filter(a, lambda y: y == 0))
+    null = F.size(F.filter(a, lambda y: y.isNull()))
+    whole = F.aggregate(F.filter(a, lambda y: y != 0), F.lit(1).cast("decimal(38,0)"),
+                        lambda acc, y: F.try_multiply(acc, y.cast("decimal(19,0)")).cast("decimal(38,0)"))
+
+    def other(p: Column, x: Column) -> Column:
+        own = F.when(x.isNull() | (x == 0), 1).otherwise(x).cast("decimal(19,0)")
+        fits = F.abs(p.cast("double") / own.cast("double")) < 9.2e18
+        return (F.when(null - x.isNull().cast("int") > 0, None)
+                .when(zero - F.coalesce(x == 0, F.lit(False)).cast("int") > 0, F.lit(0).cast("bigint"))
+                .when(fits, F.call_function("div", p, own)))
+
+    others = F.flatten(F.transform(F.array(whole), lambda p: F.transform(a, lambda x: other(p, x))))
     return F.when(F.size(a) <= 1, a.cast("array<bigint>")).otherwise(others)
 
 

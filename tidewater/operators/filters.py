@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidewater.functions import name_date
 from tidewater.functions._util import col
-from tidewater.functions.strings import camel_to_snake, snake_to_camel
+from tidewater.functions.strings import camel_name, snake_name
 
 
 def point_lookup(df: DataFrame, key: str, value) -> DataFrame:
@@ -135,11 +135,8 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
 
 
 def rename_case(df: DataFrame, to: str = "snake") -> DataFrame:
-    """Rename all columns camel -> snake or snake -> camel by the rule of the column functions, which Spark evaluates
-    on one row of names; the table itself isn't read."""
-    rule = camel_to_snake if to == "snake" else snake_to_camel
-    names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(df.columns)], "i int, name string")
-    return df.toDF(*[r["name"] for r in names.select("i", rule("name").alias("name")).orderBy("i").collect()])
+    """Rename all columns camel -> snake or snake -> camel, by the rule of the column functions; no job runs."""
+    return df.toDF(*[snake_name(c) if to == "snake" else camel_name(c) for c in df.columns])
 
 
 def conditional_update(df: DataFrame, column: str, value, where: Column | None = None) -> DataFrame:
@@ -170,9 +167,14 @@ def project_report(df: DataFrame, fields: dict, where: Column | None = None) ->
     return out.select(*[F.col(p).alias(n) for n, p in fields.items()])
 
 
+def _decoded(c: Column) -> Column:
+    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+
+
 def url_parts(c) -> Column:
-    """Connection/URL text -> struct(scheme, host, path, user, port, query map). The scheme is normalised
-    (``postgresql`` -> ``postgres``, ``-`` -> ``_``)."""
+    """Connection/URL text -> struct(scheme, host, path, user, password, port, query map). The scheme is normalised
+    (``postgresql`` -> ``postgres``, ``-`` -> ``_``). User, password, path and query values are decoded (``%40`` is
+    ``@``; ``+`` is a blank in the query only); one that doesn't decode stays as it is."""
     u = col(c)
     scheme = F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.\-]*)://", 1)
     scheme = F.regexp_replace(F.when(scheme == "postgresql", F.lit("postgres")).otherwise(scheme), "-", "_")
@@ -184,8 +186,10 @@ def url_parts(c) -> Column:
     path = F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
     query = F.regexp_extract(u, r"\?([^#]*)", 1)
     return F.struct(
-        scheme.alias("scheme"), F.nullif(host, F.lit("")).alias("host"), path.alias("path"),
-        F.nullif(F.element_at(F.split(userinfo, ":"), 1), F.lit("")).alias("user"),
+        scheme.alias("scheme"), F.nullif(host, F.lit("")).alias("host"), _decoded(path).alias("path"),
+        F.nullif(_decoded(F.regexp_extract(userinfo, r"^([^:]*)", 1)), F.lit("")).alias("user"),
+        F.when(userinfo.contains(":"), _decoded(F.regexp_extract(userinfo, r"^[^:]*:(.*)$", 1))).alias("password"),
         F.nullif(port, F.lit("")).cast("int").alias("port"),
-        F.when(query != "", F.str_to_map(query, F.lit("&"), F.lit("="))).alias("query"),
+        F.when(query != "", F.transform_values(F.str_to_map(query, F.lit("&"), F.lit("=")),
+                                               lambda _, v: F.coalesce(F.try_url_decode(v), v))).alias("query"),
     )

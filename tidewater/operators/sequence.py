@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 PID = "_tw_pid"
+#: Bytes of scanned files that one range of an ordered scan gets, about.
+RANGE_BYTES = 64 << 20
 
 
 def _order_cols(order: Sequence) -> list[Column]:
@@ -38,9 +40,15 @@ def _order_cols(order: Sequence) -> list[Column]:
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
+    """As many as the session's shuffles have, and more where the scans below hold more than RANGE_BYTES for each."""
     if n:
         return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    size = 0
+    while leaves.hasNext():
+        own = int(str(leaves.next().stats().sizeInBytes()))
+        size += own if own < 1 << 62 else 0  # a source of unknown size says the most there is
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-size // RANGE_BYTES))
 
 
 def _row(batch: pa.RecordBatch, columns: list[str], i: int) -> list[pa.Array]:

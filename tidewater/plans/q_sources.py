@@ -44,6 +44,22 @@ def scan_listing(spark, sf):
     return ls.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length")
 
 
+@query("scan_listing_partitions", """
+SELECT 'l_returnflag=' || l_returnflag AS folder, TRUE AS has_files, TRUE AS has_bytes, SUM(l_quantity) AS quantity
+  FROM lineitem GROUP BY l_returnflag
+""")
+def scan_listing_partitions(spark, sf):
+    """The listing of the line items written by return flag, with what the listed files of each folder hold."""
+    out = scratch_path(spark, "listed")
+    sinks.write_partitioned(t(spark, sf, "lineitem").select("l_returnflag", "l_quantity"), out, ["l_returnflag"])
+    ls = files.list_files(spark, out, glob="*.parquet").select(
+        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder"), "length")
+    held = spark.read.parquet(out).groupBy(F.concat(F.lit("l_returnflag="), "l_returnflag").alias("folder")) \
+        .agg(F.sum("l_quantity").alias("quantity"))
+    found = ls.groupBy("folder").agg((F.count(F.lit(1)) > 0).alias("has_files"), (F.sum("length") > 0).alias("has_bytes"))
+    return found.join(held, "folder")
+
+
 @query("export_table", """
 SELECT o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate
   FROM orders
