@@ -373,6 +373,53 @@ def test_compaction_that_dies_on_the_way_is_repeated_without_doubles(spark, tmp,
     assert compaction.sweep(spark, dst) == []
 
 
+def test_deletion_in_two_phases(spark, tmp, monkeypatch):
+    from tidewater.sources import retention
+    root = f"{tmp}/kept"
+    spark.range(60).withColumn("day", (F.col("id") / 10).cast("int")).write.partitionBy("day").parquet(root)
+
+    def left():
+        return sorted(r.id for r in spark.read.parquet(root).collect())
+
+    files_of = files.list_files(spark, root, "*.parquet")
+    old = files_of.where(F.col("path").rlike("day=[012]/"))
+    n = old.count()
+    with pytest.raises(ValueError, match="keeps 0"):
+        retention.plan(spark, root, files_of)
+    with pytest.raises(ValueError, match="1 files that aren't there"):
+        retention.plan(spark, root, spark.createDataFrame([(f"file:{root}/day=9/x.parquet",)], "path string"))
+    run = retention.plan(spark, root, old)
+    assert left() == list(range(60)) and retention.open_plans(spark, root) == [run]
+    real = retention.write_text
+
+    def dies(spark, path, text):
+        if path.endswith("_CLOSED"):
+            raise RuntimeError("lost between the files and the mark")
+        real(spark, path, text)
+
+    monkeypatch.setattr(retention, "write_text", dies)
+    with pytest.raises(RuntimeError, match="lost between"):
+        retention.execute(spark, root, run)
+    monkeypatch.undo()
+    assert left() == list(range(30, 60)) and retention.open_plans(spark, root) == [run]
+    assert retention.execute(spark, root, run) == {"deleted": 0, "gone": n, "changed": 0}
+    assert left() == list(range(30, 60)) and retention.open_plans(spark, root) == []
+
+    # a file that is written anew after the plan stays; one that should stay and is lost stops the run
+    rest = files.list_files(spark, root, "*.parquet")
+    paths = sorted(r.path for r in rest.where(F.col("path").rlike("day=3/")).collect())
+    run = retention.plan(spark, root, spark.createDataFrame([(p,) for p in paths], "path string"))
+    local = paths[0].replace("file:", "")
+    os.utime(local, (1, 1))
+    assert retention.execute(spark, root, run) == {"deleted": len(paths) - 1, "gone": 0, "changed": 1}
+    run = retention.plan(spark, root, spark.createDataFrame([(paths[0],)], "path string"))
+    stays = [r.path.replace("file:", "") for r in rest.where(F.col("path").rlike("day=5/")).collect()]
+    os.rename(stays[0], f"{tmp}/away")
+    with pytest.raises(retention.NotIntact, match="nothing was deleted"):
+        retention.execute(spark, root, run)
+    assert os.path.exists(local) and retention.open_plans(spark, root) == [run]
+
+
 def test_retention(spark):
     keys = spark.createDataFrame([("t/date_=2020-01-01/a",), ("t/date_=2020-03-01/a",), ("t/date_=2020-01-01_$folder$",),
                                   ("t/plain/a",)], "key string")

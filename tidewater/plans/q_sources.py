@@ -13,7 +13,7 @@ from tidewater.plans.common import t
 from tidewater.plans.q_joins import EVENT_CONFIG
 from tidewater.plans.registry import query
 from tidewater.session import scratch_path
-from tidewater.sources import api, files, outbox, sinks, state
+from tidewater.sources import api, files, outbox, retention, sinks, state
 from tidewater.sources.ledger import Ledger, Ranges
 from tidewater.tables import SCHEMAS, table_path
 
@@ -60,6 +60,24 @@ def scan_listing_partitions(spark, sf):
     return found.join(held, "folder")
 
 
+@query("retention_delete", """
+WITH d AS (SELECT *, CAST(ts AS DATE) AS day, MAX(CAST(ts AS DATE)) OVER () AS last FROM events)
+SELECT event_id, day FROM d WHERE day > last - 10
+""")
+def retention_delete(spark, sf):
+    """The events by day, of which the newest ten days stay: the files of the others are planned for deletion, and the
+    plan is carried out; what is left."""
+    root = scratch_path(spark, "retention")
+    e = t(spark, sf, "events").select("event_id", F.to_date("ts").alias("day"))
+    sinks.write_partitioned(e, root, ["day"])
+    day = F.regexp_extract("path", r"day=(\d{4}-\d{2}-\d{2})/", 1).cast("date")
+    listed = files.list_files(spark, root, "*.parquet").withColumn("day", day)
+    newest = listed.agg(F.max("day")).scalar()
+    run = retention.plan(spark, root, listed.where(F.col("day") <= F.date_sub(newest, 10)))
+    retention.execute(spark, root, run)
+    return spark.read.parquet(root).select("event_id", F.col("day").cast("date"))
+
+
 @query("export_table", """
 SELECT o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate
   FROM orders
