@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.sequence import lead_within, running_sum_within
+from tidewater.session import scratch_path
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
@@ -69,7 +70,11 @@ def _quantiles_by_rank(vc: DataFrame, group: list[str], value: str, probs, num_p
         j = cum.withColumns({n: s.getField(n) for n in names})
     else:
         # one row per group; AQE broadcasts it when small and splits a hot group's partition otherwise
-        j = cum.join(targets, group)
+        theirs = targets.withColumnsRenamed({g: f"_tw_of_{g}" for g in group})
+        same = F.lit(True)
+        for g in group:
+            same = same & F.col(g).eqNullSafe(F.col(f"_tw_of_{g}"))
+        j = cum.join(theirs, same)
     start, end, v = F.col("_tw_cum") - F.col("_tw_c"), F.col("_tw_cum"), F.col(value)
     hit = lambda r: (start <= r) & (r < end)
     any_hit = None
@@ -90,16 +95,31 @@ def _quantiles_by_rank(vc: DataFrame, group: list[str], value: str, probs, num_p
     return g.select(*group, *out)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from a copy in the shared folder, for results that several plans read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def group_quantiles_fallback(df: DataFrame, group: str, value: str, distinct_of: str, min_distinct: int = 10,
                              probs=QUANTILES, count_name: str = "offers") -> DataFrame:
     """Groups with more than ``min_distinct`` distinct ``distinct_of`` values get their own quantiles of ``value``;
     the others get the global quantiles. One row per group with its distinct count and the quantile columns.
 
-    The global quantiles are a one-row aggregate used as a scalar subquery (computed once, no join).
+    ``df`` is read once: its (group, value, ``distinct_of``) counts are written down, and the distinct counts and both
+    kinds of quantiles come from them. The whole is one more group in the same ordered scan, whose result (a row per
+    group) is written down too and read as the groups' rows and as the one row of the whole.
     """
-    counts = group_count_distinct(df, [group], distinct_of, count_name)
-    own = exact_quantiles(df.where(F.col(group).isNotNull()), [group], value, probs)
-    glob = exact_quantiles(df, [], value, probs)
+    whole, c = "_tw_whole", "_tw_c"
+    base = _written(df.groupBy(group, value, distinct_of).agg(F.count(F.lit(1)).alias(c)), "quantile-counts")
+    counts = group_count_distinct(base, [group], distinct_of, count_name)
+    known = base.where(F.col(value).isNotNull())
+    each = known.where(F.col(group).isNotNull()).groupBy(group, value).agg(F.sum(c).alias(c)).withColumn(whole, F.lit(0))
+    total = known.groupBy(value).agg(F.sum(c).alias(c)).withColumns(
+        {whole: F.lit(1), group: F.lit(None).cast(df.schema[group].dataType)})
+    found = _written(_quantiles_by_rank(each.unionByName(total), [whole, group], value, probs, None), "quantiles")
+    own, glob = found.where(f"{whole} = 0").drop(whole), found.where(f"{whole} = 1")
     g = glob.select(F.struct(*[F.col(qname(p)) for p in probs])).scalar()
     j = counts.join(own, group, "left")
     cols = [F.when(F.col(count_name) > min_distinct, F.col(qname(p))).otherwise(g.getField(qname(p)))
