@@ -36,7 +36,7 @@ SLICE = 1 << 18
 SEED = 24
 BITMAP_BITS = 1 << 27
 #: Bytes of strings that a bucket gets, about, and that one shard of it has at most.
-BUCKET, SHARD = 1 << 20, 1 << 16
+BUCKET, SHARD = 1 << 18, 1 << 16
 #: A key with more runs than this (and than all runs / MAX_HOT) is dealt by whole windows.
 HOT_RUNS, MAX_HOT = 10_000, 20_000
 
