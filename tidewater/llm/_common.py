@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,5 +33,12 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of plans that nobody holds any more, which it does only after the
+    driver's garbage was collected; else they stay on the executors' disks while the next step writes its own."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm._arrow import slices, text_bytes
-from tidewater.llm._common import saved, text_of
+from tidewater.llm._common import free_shuffles, saved, text_of
 
 SLICE = 1 << 18
 #: Bytes of the hashed strings.
@@ -411,6 +411,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                        text_of(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
     rows = saved(rows, "passage-docs")
     spans = covered_windows(rows.select("id", "row", "text"), length, **sizes)
+    free_shuffles(rows.sparkSession)
     spans = spans.groupBy("row").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     joined = rows.select("row", F.col("own_id").alias("id"), "text").join(spans.hint("shuffle_hash"), "row", "left")
     id_type = docs.schema[id_col].dataType.simpleString()
