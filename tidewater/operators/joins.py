@@ -135,10 +135,6 @@ def cross_product(df: DataFrame, **lists) -> DataFrame:
     return out
 
 
-def range_series(df: DataFrame, name: str, start: int, end_inclusive: int) -> DataFrame:
-    return df.withColumn(name, F.explode(F.sequence(F.lit(start), F.lit(end_inclusive))))
-
-
 def schema_diff(saved: DataFrame, current: DataFrame, key: str = "name") -> DataFrame:
     """Compare saved table definitions with current ones: ``create`` (only saved), ``update`` (both, different),
     ``skip`` (equal), ``drop`` (only current). Equality is null-safe over every non-key column; array columns are

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,7 +112,3 @@ def set_lookup(state: DataFrame, key: str, member: str, probes: DataFrame) -> Da
     """For probe rows (key, member): whether the member is in the key's set."""
     hit = state.select(key, member, F.lit(True).alias("is_member"))
     return probes.join(hit, [key, member], "left").withColumn("is_member", F.coalesce("is_member", F.lit(False)))
-
-
-def sort_keys(order: Sequence) -> list:
-    return list(order)

@@ -8,8 +8,6 @@ from pyspark.sql import types as T
 
 # Default port per database type.
 DEFAULT_PORTS = {"mysql": 3306, "postgres": 5432, "postgresql": 5432}
-JDBC_DRIVERS = {"mysql": "com.mysql.cj.jdbc.Driver", "postgres": "org.postgresql.Driver",
-                "postgresql": "org.postgresql.Driver"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, header: bool = True,

@@ -6,16 +6,17 @@ location so that a retried or re-run job overwrites its own output instead of du
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.sources import compaction
 from tidewater.sources.files import read_by_suffix, timestamps_to_text
 from tidewater.sources.ledger import DAY, Ledger, Ranges, as_time
-from tidewater.sources.partitions import delete, file_names, partition_values
+from tidewater.sources.partitions import delete, file_names, move, partition_values
 
 SUFFIXES = {"json": ".json.gz", "csv": ".csv", "parquet": ".parquet"}
 
@@ -37,16 +38,31 @@ def export_table(df: DataFrame, path: str, fmt: str = "json", header: bool = Tru
     if fmt not in SUFFIXES:
         raise ValueError(f"output format must be one of {sorted(SUFFIXES)}")
     out = transform(df) if transform else df
-    if out.isEmpty():
+    if mode != "overwrite":
+        if out.isEmpty():
+            return False
+        _write_as(out, path, fmt, header, mode)
+        return True
+    # written once, beside the target, and counted on the way; only a result with rows takes the target's place
+    spark, seen = df.sparkSession, Observation()
+    folder, slash, name = path.rstrip("/").rpartition("/")
+    beside = f"{folder}{slash}_{name}-{uuid.uuid4().hex[:12]}"
+    _write_as(out.observe(seen, F.count(F.lit(1)).alias("n")), beside, fmt, header, mode)
+    if not seen.get["n"]:
+        delete(spark, beside)
         return False
-    w = out.write.mode(mode)
+    delete(spark, path)
+    move(spark, beside, path)
+    return True
+
+
+def _write_as(out: DataFrame, path: str, fmt: str, header: bool, mode: str) -> None:
     if fmt == "json":
         timestamps_to_text(out).write.mode(mode).option("compression", "gzip").json(path)
     elif fmt == "csv":
-        w.option("header", header).csv(path)
+        out.write.mode(mode).option("header", header).csv(path)
     else:
-        w.parquet(path)
-    return True
+        out.write.mode(mode).parquet(path)
 
 
 def load_overwrite(spark: SparkSession, file_path: str, target: str, schema=None,
