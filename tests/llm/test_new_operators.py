@@ -187,6 +187,17 @@ def test_repeats_of_rows_without_ids_of_their_own(spark):
     assert got == brute_repeats(docs, 100)
 
 
+def test_long_texts_are_hashed_in_pieces(spark, monkeypatch):
+    rng = random.Random(5)
+    own = "".join(rng.choices("abcdefgh ", k=9000))
+    texts = [own + "x" + own[200:4000], "z" * 7000, own[:3000], "q" * 400 + own[5000:], "short"]
+    docs = list(enumerate(texts))
+    monkeypatch.setattr(suffix_dedup, "LONG", 700)
+    monkeypatch.setattr(suffix_dedup, "SLICE", 1)  # a row at a time
+    got = rows(suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, [(i, t, "en") for i, t in docs]))))
+    assert got == brute_repeats(docs, 100)
+
+
 def test_merged_transforms_equal_one_sort():
     rng = random.Random(4)
     for shard in (20, 90, 10**6):

@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from tidewater.llm._arrow import slices, text_bytes
 from tidewater.llm._common import free_shuffles, saved, text_of
 
-SLICE = 1 << 18
+#: Text that is hashed at once, and the longest text that is not cut for it.
+SLICE, LONG = 1 << 18, 1 << 20
 #: Bytes of the hashed strings.
 SEED = 24
 BITMAP_BITS = 1 << 27
@@ -89,14 +90,27 @@ def runs(raw: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.ndarray, ..
     return least[begin], text, begin - offs[text], n, left != right
 
 
+def pieces(part: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """A slice's bytes, where its texts begin, and the place of the first byte in its text: 0, but for a text of over
+    ``LONG`` bytes, which comes alone and in pieces that share ``length`` - 1 bytes, so each window is in one."""
+    raw, offs = text_bytes(part.column("text"))
+    if len(raw) <= LONG or len(offs) > 2:
+        yield raw, offs, 0
+        return
+    for b in range(0, len(raw) - length + 1, LONG):
+        own = raw[b:b + LONG + length - 1]
+        yield own, np.array([0, len(own)]), b
+
+
 def _count_keys(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                own, _, _, _, twice = runs(*text_bytes(part.column("text")), length)
-                key, n = np.unique(np.concatenate([own, own[twice]]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))],
-                                                 names=["key", "n"])
+                for raw, offs, _ in pieces(part, length):
+                    own, _, _, _, twice = runs(raw, offs, length)
+                    key, n = np.unique(np.concatenate([own, own[twice]]), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))],
+                                                     names=["key", "n"])
     return run
 
 
@@ -160,9 +174,8 @@ def _strings(length: int, marks, hot, n_bits: int, buckets: int):
     without its bytes to any bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, hottest, known = marks.value, hot.value, {}
-        for batch in batches:
-            for part in slices(batch, "text", SLICE):
-                raw, offs = text_bytes(part.column("text"))
+        for part in (p for b in batches for p in slices(b, "text", SLICE)):
+            for raw, offs, shift in pieces(part, length):
                 key = (found := runs(raw, offs, length))[0]
                 place = key % np.uint64(n_bits)
                 held = (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
@@ -174,6 +187,7 @@ def _strings(length: int, marks, hot, n_bits: int, buckets: int):
                 id, row = (part.column(c).to_numpy()[text] for c in ("id", "row"))
                 data, begin = raw.tobytes(), offs[text] + start
                 strings = [data[b:e] for b, e in zip(begin.tolist(), (begin + n + length - 1).tolist())]
+                start = start + shift
                 for i, at in enumerate(zip(id.tolist(), row.tolist(), start.tolist())):
                     if known.setdefault(strings[i], at) < at:
                         strings[i] = None
