@@ -29,7 +29,7 @@ FAMILIES = {
 }
 TRI, BI = 12, 10  # bits of the feature tables
 WIDTH = (1 << TRI) + (1 << BI)
-ROWS, BYTES = 500, 2 << 20
+ROWS, BYTES = 100, 1 << 19
 
 
 def family_of(lang: str) -> str:
