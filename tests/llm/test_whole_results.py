@@ -135,3 +135,14 @@ def test_decontamination_with_null_and_shared_item_ids(spark):
     got = [tuple(r)[1:] for r in decontam.decontaminate(docs, bench).orderBy("doc_id").collect()]
     assert got == [(True, 1, None, 20), (True, 2, 4, 18), (True, 1, 4, 16), (True, 2, None, 20), (True, 1, None, 5),
                    (False, 0, None, 0), (True, 2, 4, 16)]
+
+
+def test_url_rule_column_names_rules_of_the_contract_only(spark, tmp):
+    urls = {"http://www.casino.net/en/1": (None, "casino", "block"), "http://cheap-pills.com/x": (None, "cheap-pills", "block"),
+            "http://spam-farm.org/x": ("org/", None, "allow"), "http://casino.example.com/de/1": ("com/de/", None, "block"),
+            "http://x.net/a/adserver/b": (None, "tracker-path", "block"), "http://x.net/": (None, None, "allow"),
+            None: (None, None, "allow")}
+    spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id bigint, url string, html string") \
+        .write.parquet(f"{tmp}/pages.parquet")
+    got = queries.op1_url_filters(spark, tmp).orderBy("page_id").collect()
+    assert [(r.rule, r.pattern, r.verdict) for r in got] == list(urls.values())
