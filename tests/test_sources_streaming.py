@@ -798,3 +798,13 @@ def test_interval_counts_watermark(spark, tmp):
     got = spark.read.parquet(out).collect()
     # windows closed by the final watermark (max ts) are emitted; each full window has 5 rows
     assert got and all(r.n == 5 for r in got)
+
+def test_cache_scan_folds_in_many_tasks(spark, tmp):
+    from tidewater.operators import ttl
+    t0, schema = dt.datetime(2021, 1, 1), "key string, value string, op string, ts timestamp_ntz, ttl int, n int"
+    ops = spark.createDataFrame([(f"k{i % 9}", f"v{i}", "set", t0, 5, i) for i in range(90)], schema)
+    ops.write.parquet(f"{tmp}/ops")
+    df = ttl.replay(spark.read.parquet(f"{tmp}/ops"), ties=("n",), num_partitions=7)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce " not in plan and "SinglePartition" in plan  # only the folded rows come to one task
+    assert df.count() == 90

@@ -39,8 +39,8 @@ def _order_cols(order: Sequence) -> list[Column]:
     return out
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    """As many as the session's shuffles have, and more where the scans below hold more than RANGE_BYTES for each."""
+def _partitions(df: DataFrame, n: int | None, range_bytes: int = RANGE_BYTES) -> int:
+    """As many as the session's shuffles have, and more where the scans below hold more than ``range_bytes`` for each."""
     if n:
         return n
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
@@ -48,7 +48,7 @@ def _partitions(df: DataFrame, n: int | None) -> int:
     while leaves.hasNext():
         own = int(str(leaves.next().stats().sizeInBytes()))
         size += own if own < 1 << 62 else 0  # a source of unknown size says the most there is
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-size // RANGE_BYTES))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-size // range_bytes))
 
 
 def _row(batch: pa.RecordBatch, columns: list[str], i: int) -> list[pa.Array]:

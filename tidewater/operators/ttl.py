@@ -24,6 +24,8 @@ from tidewater.operators.sequence import PID, _group_begin, _partitions, _row, _
 LOOK, SET, RENEW = 0, 1, 2
 #: The expiry of a value without one, in microseconds.
 NEVER = (1 << 63) - 1
+#: Bytes of scanned files that a task sorts: an operation takes some fifty times as much in memory as in a Parquet file.
+SORT_BYTES = 8 << 20
 KIND, AT, END = "_tw_kind", "_tw_at", "_tw_end"
 
 
@@ -131,7 +133,7 @@ def replay(ops: DataFrame, key: str = "key", value: str = "value", op: str = "op
     value) or anything else, which only looks. ``ttl`` counts seconds; null or 0 sets no expiry. A value is gone from its
     expiry on and a read does not bring it back. Operations run in the order of ``ts``, then ``ties``. A null key is a
     key; rows without a time come first and meet nothing that expires."""
-    n = _partitions(ops, num_partitions)
+    n = _partitions(ops, num_partitions, SORT_BYTES)
     df = _with_steps(ops, value, op, ts, ttl, auto_renew)
     df = df.withColumns({AT: F.coalesce(AT, F.lit(-NEVER)), END: F.coalesce(END, F.lit(NEVER))})
     order = [F.col(c).asc_nulls_first() for c in (key, AT, *ties)]
@@ -142,7 +144,8 @@ def replay(ops: DataFrame, key: str = "key", value: str = "value", op: str = "op
     names = [(PID, T.IntegerType()), ("first", kt), ("last", kt), *((c, yes) for c in ("single", "has_set", "touched", "ok")),
              ("first_at", long), ("alive", yes), ("end", long), ("n_rows", long), ("value", vt)]
     functions = ranged.mapInArrow(_fold(key, value), T.StructType([T.StructField(*x) for x in names]))
-    carry = functions.coalesce(1).sortWithinPartitions(PID).mapInArrow(_hand_on, T.StructType(
+    # an exchange, not coalesce(1): that would run the first pass over all partitions in one task
+    carry = functions.repartition(1).sortWithinPartitions(PID).mapInArrow(_hand_on, T.StructType(
         [T.StructField(PID, T.IntegerType()), T.StructField("_tw_alive", yes), T.StructField("_tw_until", long),
          T.StructField("_tw_value", vt), T.StructField("_tw_rows", long)]))
     joined = ranged.join(F.broadcast(carry), PID, "left")  # one row per partition
