@@ -808,3 +808,24 @@ def test_cache_scan_folds_in_many_tasks(spark, tmp):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Coalesce " not in plan and "SinglePartition" in plan  # only the folded rows come to one task
     assert df.count() == 90
+
+
+def test_partitioned_write_does_not_sort_a_hot_value(spark, tmp):
+    df = spark.range(2000).select((F.col("id") % 3).alias("part"), "id")
+    df.write.parquet(f"{tmp}/in")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    seen = []
+    listener = spark.read.parquet(f"{tmp}/in")
+    real = type(listener).hint
+
+    def hint(self, *a):
+        seen.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        return real(self, *a)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(listener), "hint", hint)
+        sinks.write_partitioned(listener, f"{tmp}/p", ["part"])
+    assert seen == [str(sinks.OPEN_FILES)] and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    many = spark.range(2000).select((F.col("id") % 40).alias("part"), "id").coalesce(1)  # more values than open files
+    sinks.write_partitioned(many, f"{tmp}/many", ["part"])
+    back = spark.read.parquet(f"{tmp}/many")
+    assert back.count() == 2000 and back.where(F.col("part") != F.col("id") % 40).count() == 0

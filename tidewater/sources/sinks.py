@@ -123,11 +123,24 @@ def compact_files(spark: SparkSession, src: str, dst: str, num_files: int | None
         spark.read.parquet(src).coalesce(num_files).write.mode("overwrite").parquet(dst)
 
 
+#: Files that a task of a partitioned write has open at once.
+OPEN_FILES = 8
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite",
                       fmt: str = "parquet", dynamic: bool = True) -> None:
     """Hive-style ``col=value`` directories. Rows are clustered by the partition columns; AQE cuts a heavy partition
     into tasks of its advisory size and puts light ones together. With ``dynamic`` overwrite only the partitions present
-    in ``df`` are replaced (re-running one day does not delete the others)."""
-    df.hint("rebalance", *partition_cols).write.mode(mode) \
-        .option("partitionOverwriteMode", "dynamic" if dynamic else "static") \
-        .partitionBy(*partition_cols).format(fmt).save(path)
+    in ``df`` are replaced (re-running one day does not delete the others). A task keeps a file open for each of up to
+    OPEN_FILES partitions and so needs not sort its rows, which take far more memory than the shuffled bytes that AQE
+    cuts by; only what further partitions get is sorted."""
+    conf = df.sparkSession.conf
+    held = conf.get(_WRITERS, None)
+    conf.set(_WRITERS, str(OPEN_FILES))
+    try:
+        df.hint("rebalance", *partition_cols).write.mode(mode) \
+            .option("partitionOverwriteMode", "dynamic" if dynamic else "static") \
+            .partitionBy(*partition_cols).format(fmt).save(path)
+    finally:
+        conf.unset(_WRITERS) if held is None else conf.set(_WRITERS, held)
