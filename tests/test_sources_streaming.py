@@ -799,6 +799,7 @@ def test_interval_counts_watermark(spark, tmp):
     # windows closed by the final watermark (max ts) are emitted; each full window has 5 rows
     assert got and all(r.n == 5 for r in got)
 
+
 def test_cache_scan_folds_in_many_tasks(spark, tmp):
     from tidewater.operators import ttl
     t0, schema = dt.datetime(2021, 1, 1), "key string, value string, op string, ts timestamp_ntz, ttl int, n int"
@@ -810,6 +811,21 @@ def test_cache_scan_folds_in_many_tasks(spark, tmp):
     assert df.count() == 90
 
 
+def test_outbox_packs_its_log(spark, tmp, monkeypatch):
+    rows = [(i, s, k, "7" if k == "event" else None) for i in range(3000) for s, k in ((1, "click"), (2, "event"))]
+    reqs = spark.createDataFrame(rows, "rec int, step int, kind string, event_id string").repartition(3)
+    box = f"{tmp}/box"
+    bad = outbox.send(reqs, "rec", lambda r: 500 if r["rec"] % 5 == 0 else 200, box, tries=1).collect()
+    files = [f for _, _, names in os.walk(box) for f in names]
+    assert len(files) <= 2 * outbox.SHARDS and not [f for f in files if ".intent" in f or ".ack" in f]
+    known = {r.request_key: (r.status, r.attempts, r.in_doubt) for r in outbox.statuses(spark, box).collect()}
+    assert known == {r.request_key: (r.status, 1, False) for r in bad if r.attempts}
+    again = outbox.send(reqs, "rec", lambda r: 200 if r["rec"] % 5 == 0 else 1 // 0, box, tries=1, retry_failed=True).collect()
+    assert all(r.ok and r.attempts == 1 for r in again) and len(again) == 6000
+    assert all(r.ok for r in outbox.send(reqs, "rec", lambda r: 1 // 0, box, retry_failed=True).collect())
+    assert {r.status for r in outbox.statuses(spark, box).collect()} == {200}
+
+
 def test_partitioned_write_does_not_sort_a_hot_value(spark, tmp):
     df = spark.range(2000).select((F.col("id") % 3).alias("part"), "id")
     df.write.parquet(f"{tmp}/in")

@@ -2,7 +2,8 @@
 
 Every request has a key derived from its row. Before it goes out, its *intent* is noted in the outbox folder; when the
 answer is there, its *acknowledgement* with the status. Both are tiny files whose names say it all, created one by one,
-so they work on any store and one listing of a shard's folder reads its log. Whoever runs the same requests again (a
+so they work on any store and one listing of a shard's folder reads its log. As a tiny file fills a block of a disk, the
+sender puts the acknowledgements of every PACK requests into one file (*pack*) and only then deletes the tiny ones. Whoever runs the same requests again (a
 retried task, a repeated job, a second look at a lazy result) finds the acknowledged ones answered and doesn't send them.
 
 A request with an intent and no acknowledgement is in doubt: its sender died in between. ``on_doubt="send"`` sends it
@@ -13,15 +14,21 @@ again, with its key, by which the receiver can tell a repetition; ``on_doubt="ho
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SHARDS = 256
+#: Acknowledged requests of a shard that are kept as tiny files until they are packed.
+PACK = 1000
+PACKED = pa.schema([("request_key", pa.string()), ("status", pa.int32()), ("attempts", pa.int32()),
+                    ("at", pa.int64())])  # microseconds
 KEY, SHARD = "request_key", "_tw_shard"
 STATUS = [T.StructField("status", T.IntegerType()), T.StructField("ok", T.BooleanType()),
           T.StructField("attempts", T.IntegerType()), T.StructField("in_doubt", T.BooleanType())]
@@ -33,31 +40,61 @@ def request_key(*columns: str) -> Column:
 
 
 class Log:
-    """The log of one shard, read when the first of its requests comes."""
+    """The log of one shard, read when the first of its requests comes. Of several acknowledgements of a key one that
+    worked counts, else the latest."""
 
     def __init__(self, folder: str):
         self.fs, self.folder = pafs.FileSystem.from_uri(folder)
         self.fs.create_dir(self.folder, recursive=True)
         self.intents, self.acks = set(), {}
+        self.tiny: dict[str, list[str]] = {}  # files of a key
+        self.loose: list[tuple] = []  # acknowledgements that are not packed
+        known = []
         for f in self.fs.get_file_info(pafs.FileSelector(self.folder)):
+            if f.base_name.startswith("_"):  # a pack that was not finished
+                continue
             key, kind, *rest = f.base_name.split(".")
+            if kind == "parquet":
+                with self.fs.open_input_file(f.path) as own:
+                    known += zip(*(c.to_pylist() for c in pq.read_table(own, schema=PACKED).columns))
+                continue
+            self.tiny.setdefault(key, []).append(f.base_name)
             if kind == "intent":
                 self.intents.add(key)
             elif kind == "ack":
-                self.acks[key] = (None if rest[0] == "none" else int(rest[0]), int(rest[1]))
+                self.loose.append((key, None if rest[0] == "none" else int(rest[0]), int(rest[1]), f.mtime_ns // 1000))
+        for key, status, attempts, _ in sorted(known + self.loose, key=lambda x: (_fine(x[1]), x[3])):
+            self.acks[key] = (status, attempts)
 
-    def _note(self, name: str) -> None:
+    def _note(self, key: str, name: str) -> None:
         with self.fs.open_output_stream(f"{self.folder}/{name}") as out:
             out.write(b".")  # Spark's file scan leaves out files of no length
+        self.tiny.setdefault(key, []).append(name)
 
     def intend(self, key: str) -> None:
-        if key not in self.intents:
-            self._note(f"{key}.intent")
+        if key not in self.intents and key not in self.acks:
+            self._note(key, f"{key}.intent")
             self.intents.add(key)
 
     def acknowledge(self, key: str, status: int | None, attempts: int) -> None:
-        self._note(f"{key}.ack.{'none' if status is None else status}.{attempts}")
+        self._note(key, f"{key}.ack.{'none' if status is None else status}.{attempts}")
         self.acks[key] = (status, attempts)
+        self.loose.append((key, status, attempts, time.time_ns() // 1000))
+
+    def pack(self, least: int = 1) -> None:
+        """Put the loose acknowledgements into one file, if there are ``least``; then delete their tiny files. Should the
+        sender die in between, both are there and say the same. What is in doubt stays."""
+        if len(self.loose) < least:
+            return
+        name = f"{uuid.uuid4().hex}.parquet"
+        table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*self.loose), PACKED)], schema=PACKED)
+        with self.fs.open_output_stream(f"{self.folder}/_{name}") as out:
+            pq.write_table(table, out, compression="zstd")
+        self.fs.move(f"{self.folder}/_{name}", f"{self.folder}/{name}")
+        for key in dict.fromkeys(x[0] for x in self.loose):
+            for own in dict.fromkeys(self.tiny.pop(key, [])):
+                self.fs.delete_file(f"{self.folder}/{own}")
+        self.loose = []
 
 
 def _folder(outbox: str, shard: int) -> str:
@@ -91,7 +128,7 @@ def send(requests: DataFrame, id_col: str, sender: Callable[[dict], int], outbox
     ``attempt``. An event without an id and a request without a record id are not sent. Requests that are equal in all
     columns share a key and go out once. With ``outbox`` (a folder that the executors reach, as a path or URI) sends are
     on record; ``retry_failed`` tries again what was acknowledged as failed. A record's requests are in one task; a shard
-    holds the records that hash to it."""
+    holds the records that hash to it; its log is at most 2 * PACK tiny files and its packs."""
     if on_doubt not in ("send", "hold"):
         raise ValueError("on_doubt is send or hold")
     columns = requests.columns
@@ -106,6 +143,8 @@ def send(requests: DataFrame, id_col: str, sender: Callable[[dict], int], outbox
                 if rec[id_col] != current:
                     current, blocked, done = rec[id_col], False, {}
                 if outbox and own != shard:
+                    if log:
+                        log.pack()
                     shard, log = own, Log(_folder(outbox, own))
                 key, found = rec[KEY], None
                 if log and key in log.acks and (_fine(log.acks[key][0]) or not retry_failed):
@@ -122,6 +161,7 @@ def send(requests: DataFrame, id_col: str, sender: Callable[[dict], int], outbox
                     found = (*_tried(sender, rec, tries, backoff_s), False)
                     if log:
                         log.acknowledge(key, *found[:2])
+                        log.pack(PACK)
                 done[key] = found
                 blocked = blocked or not _fine(found[0])
                 out.append((*rec.values(), found[0], _fine(found[0]), found[1], found[2]))
@@ -129,24 +169,31 @@ def send(requests: DataFrame, id_col: str, sender: Callable[[dict], int], outbox
             types = [*(b.schema.field(c).type for c in (*columns, KEY)), pa.int32(), pa.bool_(), pa.int32(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out) if out else [[]] * len(names), types)],
                                              names=names)
+        if log:
+            log.pack()
 
-    keyed = requests.withColumn(KEY, request_key(*columns)) \
-        .withColumn(SHARD, F.pmod(F.xxhash64(id_col), F.lit(SHARDS)).cast("int"))
-    return keyed.repartition(SHARD).sortWithinPartitions(SHARD, id_col, "step").mapInArrow(run, schema)
+    sharded = requests.withColumn(SHARD, F.pmod(F.xxhash64(id_col), F.lit(SHARDS)).cast("int"))
+    # as many tasks as the session has for a shuffle, not as few as the bytes need: they wait for answers and files
+    ordered = sharded.repartition(int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions")), SHARD) \
+        .sortWithinPartitions(SHARD, id_col, "step")
+    return ordered.select(*columns, request_key(*columns).alias(KEY), SHARD).mapInArrow(run, schema)  # keys don't compress
 
 
 def statuses(spark: SparkSession, outbox: str) -> DataFrame:
     """(request_key, status, attempts, in_doubt) of all that the outbox has on record, the latest acknowledgement first
-    of all; read from the file names, in tasks."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.*").load(f"{outbox.rstrip('/')}/shard=*") \
+    of all; read from the packs and the names of the tiny files, in tasks."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{intent,ack.*}").load(f"{outbox.rstrip('/')}/shard=*") \
         .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "modificationTime")
     part = F.split("name", r"\.")
     ack = F.get(part, F.lit(1)) == "ack"
-    rows = files.select(F.get(part, F.lit(0)).alias(KEY), ack.alias("ack"), "modificationTime",
+    rows = files.select(F.get(part, F.lit(0)).alias(KEY), ack.alias("ack"), F.unix_micros("modificationTime").alias("at"),
                         F.when(ack, F.expr("try_cast(get(split(name, '[.]'), 2) as int)")).alias("status"),
                         F.when(ack, F.get(part, F.lit(3)).cast("int")).alias("attempts"))
+    packs = spark.read.schema(f"{KEY} string, status int, attempts int, at bigint") \
+        .option("pathGlobFilter", "*.parquet").parquet(f"{outbox.rstrip('/')}/shard=*")
+    rows = rows.unionByName(packs.withColumn("ack", F.lit(True)))
     fine = F.coalesce(F.col("status").between(200, 299), F.lit(False))  # once it has worked, it has worked
-    last = rows.groupBy(KEY).agg(F.max(F.struct("ack", fine.alias("fine"), "modificationTime", "status", "attempts")).alias("x"))
+    last = rows.groupBy(KEY).agg(F.max(F.struct("ack", fine.alias("fine"), "at", "status", "attempts")).alias("x"))
     return last.select(KEY, "x.status", "x.attempts", (~F.col("x.ack")).alias("in_doubt"))
 
 
