@@ -811,6 +811,28 @@ def test_cache_scan_folds_in_many_tasks(spark, tmp):
     assert df.count() == 90
 
 
+def test_cache_stream_takes_as_many_batches_for_many_files(spark, tmp, monkeypatch):
+    import json
+    from tidewater.plans import q_streaming
+    kinds, t0 = ("view", "click", "purchase", "signup"), dt.datetime(2024, 1, 1)
+    events = spark.createDataFrame([(i, t0 + dt.timedelta(hours=i * 13 % 708, seconds=i), i % 5, kinds[i * 7 % 11 % 4], 1.0,
+                                     json.dumps({"k": f"v{i}"})) for i in range(600)],
+                                   "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    events.repartition(6).write.parquet(f"{tmp}/events.parquet")
+    folders = {}
+    monkeypatch.setattr(q_streaming, "scratch_path", lambda _, name: folders.setdefault(name, f"{tmp}/{name}"))
+    held = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task for each file
+    try:
+        got = q_streaming.keyed_ttl_state(spark, tmp).collect()
+        want = q_streaming.keyed_ttl_lookup(spark, tmp).collect()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", held)
+    assert len([f for f in os.listdir(folders["cache-ops"]) if f.endswith(".parquet")]) > 8
+    assert sum(f.isdigit() for f in os.listdir(f"{folders['ttl-ck']}/commits")) <= 3  # two batches, one for the timers
+    assert got and sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
 def test_outbox_packs_its_log(spark, tmp, monkeypatch):
     rows = [(i, s, k, "7" if k == "event" else None) for i in range(3000) for s, k in ((1, "click"), (2, "event"))]
     reqs = spark.createDataFrame(rows, "rec int, step int, kind string, event_id string").repartition(3)

@@ -11,6 +11,7 @@ from tidewater.operators import ttl
 from tidewater.plans.common import t
 from tidewater.plans.registry import query
 from tidewater.session import scratch_path
+from tidewater.sources.partitions import file_names
 from tidewater.streaming import streams as st
 from tidewater.tables import SCHEMAS, table_path
 
@@ -173,16 +174,18 @@ def keyed_ttl_replay(spark, sf):
 
 @query("keyed_ttl_state", _TTL_LOOKUP)
 def keyed_ttl_state(spark, sf):
-    """Stream form of the same cache, fed by four files of a week or so each, with event-time timers: what it holds at
-    the as-of time."""
-    src_path = scratch_path(spark, "cache-ops")
+    """Stream form of the same cache, fed by the files of four weeks or so, two a batch, with event-time timers: what it
+    holds at the as-of time."""
+    src_path, landed = scratch_path(spark, "cache-ops"), []
     ops = cache_ops(spark, sf).where(F.col("ts") <= F.lit(_TTL_AS_OF).cast("timestamp_ntz")).drop("event_id")
     weeks = ["2024-01-09", "2024-01-17", "2024-01-24", "9999-01-01"]
     for begin, end in zip(["0001-01-01", *weeks], weeks):  # files come in this order, rows within a file in any
         own = (F.col("ts") >= F.lit(begin).cast("timestamp_ntz")) & (F.col("ts") < F.lit(end).cast("timestamp_ntz"))
         ops.where(own).write.mode("append").parquet(src_path)
+        landed.append(sum(f.endswith(".parquet") for f in file_names(spark, src_path)) - sum(landed))
+    # two weeks a batch, however many files a week was written in: the count of batches must not grow with the rows
     stream = spark.readStream.schema("key STRING, value STRING, op STRING, ts TIMESTAMP_NTZ, ttl INT") \
-        .option("maxFilesPerTrigger", 2).parquet(src_path)
+        .option("maxFilesPerTrigger", max(sum(landed[:2]), sum(landed[2:]), 1)).parquet(src_path)
     out, ck = scratch_path(spark, "ttl-out"), scratch_path(spark, "ttl-ck")
     q = st.consume(st.ttl_state(stream, auto_renew=True, delay="10 days"), st.idempotent_batch_writer(out), ck,
                    output_mode="update")

@@ -16,6 +16,7 @@ import json
 from datetime import datetime, timedelta
 from typing import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,68 +190,104 @@ def watermark_stream(stream: DataFrame, keys: list[str], ts_col: str, out_path:
 
 TTL_OUT = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
                         T.StructField("expires", T.TimestampNTZType())])
-#: A key's value and expiry as of ``done``, and the operations after that, as JSON.
-TTL_STATE = "value string, expires timestamp_ntz, done timestamp_ntz, pending string"
+#: Of each key of a bucket, as JSON: its value and expiry as of a time up to which all is settled, that time, the
+#: operations after that and when its timer fires.
+TTL_STATE = "keys string"
+
+
+#: Stands for the time of an operation without one: it comes first, and what it stores doesn't expire.
+_NO_TIME = -(1 << 62)
 
 
 def _ttl_step(value, expires, ts, op, new, ttl, auto_renew: bool):
-    """One operation on (value, expires); no expiry is NaT."""
-    if value is not None and not pd.isna(expires) and expires <= ts:
-        value, expires = None, pd.NaT
+    """One operation on (value, expires); times are microseconds, no expiry is None."""
+    if value is not None and expires is not None and expires <= ts != _NO_TIME:
+        value, expires = None, None
+    until = ts + ttl * 1_000_000 if ttl and ts != _NO_TIME else None
     if op == "set" and new is not None:
-        return new, ts + pd.Timedelta(seconds=ttl) if ttl else pd.NaT
+        return new, until
     if op == "get" and auto_renew and value is not None and ttl > 0:
-        return value, ts + pd.Timedelta(seconds=ttl)
+        return value, until
     return value, expires
 
 
+def _ttl_ops(pdfs: Iterator[pd.DataFrame]) -> dict:
+    """(ts, op, value, ttl) of each row, by key."""
+    found = {}
+    for pdf in pdfs:
+        at = pdf["ts"].to_numpy().astype("datetime64[us]")
+        at = np.where(np.isnat(at), _NO_TIME, at.astype("int64"))
+        own = (pdf[c].astype(object).where(pdf[c].notna(), None).tolist() for c in ("key", "op", "value"))
+        for t, ttl, key, op, value in zip(at.tolist(), pdf["ttl"].fillna(0).astype("int64").tolist(), *own):
+            found.setdefault(key, []).append((t, op, value, ttl))
+    return found
+
+
+def _ttl_key(held: list, new: list, mark: int, auto_renew: bool) -> tuple[list | None, str | None, int | None]:
+    """What a key keeps after some operations (value, expiry, time up to which all is settled, operations after that, when
+    its timer fires; None: nothing), and the value and expiry it has now."""
+    value, expires, done, ops, _ = held
+    ops = sorted((x for x in [*map(tuple, ops), *new] if done is None or x[0] > done), key=lambda x: x[0])
+    settled = [x for x in ops if x[0] <= mark]  # nothing older can come any more
+    for x in settled:
+        value, expires = _ttl_step(value, expires, *x, auto_renew)
+    ops = ops[len(settled):]
+    now, until = value, expires
+    for x in ops:
+        now, until = _ttl_step(now, until, *x, auto_renew)
+    if now is not None and until is not None and until <= mark:
+        now, until = None, None
+    if now is None and not ops:
+        return None, None, None
+    if settled and settled[-1][0] != _NO_TIME:
+        done = settled[-1][0]
+    ends, timer = [x[0] for x in ops] + [t for t in (until, expires) if t is not None], None
+    if now is None or until is not None:  # when the watermark is there, all is settled and the value has run out
+        timer = max(max(ends) // 1000, mark // 1000) + 1
+    return [value, expires, done, ops, timer], now, until
+
+
 def _ttl_update(auto_renew: bool):
-    def fn(key, pdfs: Iterator[pd.DataFrame], st: GroupState) -> Iterator[pd.DataFrame]:
-        gone = pd.DataFrame({"key": [key[0]], "value": [None], "expires": [pd.NaT]})
-        if st.hasTimedOut:
+    def fn(_, pdfs: Iterator[pd.DataFrame], st: GroupState) -> Iterator[pd.DataFrame]:
+        keys = {k: held for k, *held in json.loads(st.get[0])} if st.exists else {}
+        new = {} if st.hasTimedOut else _ttl_ops(pdfs)
+        mark, out = st.getCurrentWatermarkMs(), []
+        for k in [k for k, held in keys.items() if k not in new and held[-1] is not None and held[-1] < mark]:
+            del keys[k]
+            out.append((k, None, None))
+        for k, ops in new.items():
+            held, value, until = _ttl_key(keys.pop(k, [None, None, None, [], None]), ops, mark * 1000, auto_renew)
+            if held:
+                keys[k] = held
+            out.append((k, value, until))
+        if keys:
+            st.update((json.dumps([[k, *held] for k, held in keys.items()]),))
+            timers = [held[-1] for held in keys.values() if held[-1] is not None]
+            if timers:  # one that has just run out fires as soon as the watermark goes on
+                st.setTimeoutTimestamp(max(min(timers), mark + 1))
+        elif st.exists:
             st.remove()
-            yield gone
-            return
-        value, expires, done, pending = st.get if st.exists else (None, None, None, "[]")
-        ops = [(pd.Timestamp(t), op, new, ttl) for t, op, new, ttl in json.loads(pending)]
-        for pdf in pdfs:
-            ops += [(r.ts, r.op, None if pd.isna(r.value) else r.value, 0 if pd.isna(r.ttl) else int(r.ttl))
-                    for r in pdf.itertuples(index=False)]
-        ops = sorted((x for x in ops if pd.isna(done) or x[0] > done), key=lambda x: x[0])
-        mark = pd.Timestamp(st.getCurrentWatermarkMs(), unit="ms")
-        settled = [x for x in ops if x[0] <= mark]  # nothing older can come any more
-        for x in settled:
-            value, expires = _ttl_step(value, expires, *x, auto_renew)
-        ops = ops[len(settled):]
-        now, until = value, expires
-        for x in ops:
-            now, until = _ttl_step(now, until, *x, auto_renew)
-        until = pd.NaT if pd.isna(until) else until
-        if now is not None and until <= mark:
-            now, until = None, pd.NaT
-        if now is None and not ops:
-            if st.exists:
-                st.remove()
-            yield gone
-            return
-        st.update((value, None if pd.isna(expires) else expires, settled[-1][0] if settled else done,
-                   json.dumps([(t.isoformat(), *x) for t, *x in ops])))
-        ends = [x[0] for x in ops] + [t for t in (until, expires) if not pd.isna(t)]
-        if now is None or not pd.isna(until):  # when the watermark is there, all is settled and the value has run out
-            st.setTimeoutTimestamp(max(int(max(ends).timestamp() * 1000) + 1, st.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"key": [key[0]], "value": [now], "expires": [until]})
+        if out:
+            names, values, ends = zip(*out)
+            ends = np.array(["NaT" if t is None else t for t in ends], "datetime64[us]")
+            yield pd.DataFrame({"key": pd.Series(names, dtype=object), "value": pd.Series(values, dtype=object), "expires": ends})
     return fn
 
 
-def ttl_state(ops: DataFrame, auto_renew: bool = False, delay: str = "10 minutes") -> DataFrame:
+def ttl_state(ops: DataFrame, auto_renew: bool = False, delay: str = "10 minutes",
+              buckets: int = 8192) -> DataFrame:
     """Keyed cache state from an operation stream (key, value, op, ts, ttl as in ``operators.ttl``): per key the current
     value and its expiry, updated each micro-batch (output mode ``update``).
 
     Operations may come out of order by up to ``delay`` of event time: what is younger than the watermark is kept and
     run in order each time, older ones are settled, and one that comes later still is ignored. A value that runs out is
-    reported as gone by an event-time timer, and its state goes."""
+    reported as gone by an event-time timer, and its state goes.
+
+    The state is kept for a hash bucket of keys together: a call for each key costs far more than its operations do. A
+    bucket's timer is the earliest of its keys. ``buckets`` is fixed for a checkpoint, as is the form of the state."""
     timed = ops.withColumn("_tw_et", F.col("ts").cast("timestamp")).withWatermark("_tw_et", delay)
-    return timed.groupBy("key").applyInPandasWithState(
+    timed = timed.withColumn("_tw_bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    return timed.groupBy("_tw_bucket").applyInPandasWithState(
         _ttl_update(auto_renew), TTL_OUT, TTL_STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
