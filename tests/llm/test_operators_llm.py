@@ -233,6 +233,21 @@ def test_token_ids(spark, tmp):
     assert bitpack.read_ids(bitpack.write_ids(docs.limit(0), tmp + "/none", path, 2)).count() == 0
 
 
+def test_known_pieces_are_not_encoded_again():
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(queries.tokenizer_file("byte_bpe_50k.json"))
+    texts = ["one two, three", " two, ", "", "four one two, " + "x" * 100, "two, four", "a\x1c b", " 漢字 two, été"]
+    whole = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    for most in (0, 3, 100):  # the long piece is never kept
+        encoder, seen = bitpack.Encoder(t, most), []
+        plain = encoder.encode_new
+        encoder.encode_new = lambda pieces: seen.append(len(pieces)) or plain(pieces)
+        for _ in range(2):
+            ids, n = bitpack.encode_all(encoder, pa.array(texts, pa.large_string()))
+            assert [list(x) for x in np.split(ids, np.cumsum(n)[:-1])] == whole
+        assert seen == [seen[0], seen[0] - min(most, seen[0] - 1)] and len(encoder.known) == min(most, seen[0] - 1)
+
+
 def shingle_set(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(words[i:i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()

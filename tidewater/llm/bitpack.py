@@ -13,10 +13,12 @@ The block offsets let any range of ids be read alone: the blocks that hold it ar
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,10 @@ from tidewater.llm._common import saved, text_of
 
 MAGIC = b"TWBITPK1"
 BLOCK = 8192
-#: Text that a task encodes at once; more of it repeats in a larger slice.
-SLICE = 12 << 20
+#: Text that a task encodes at once.
+SLICE = 6 << 20
+#: Pieces of text whose ids a worker remembers, and the bytes of the longest such piece.
+KNOWN, LONGEST = 400_000, 64
 FOOTER = "<QQQQ8s"
 HEAD = "<8sII"
 #: White space beyond ASCII; where a text has any, it is encoded in one piece (see encode_all).
@@ -125,46 +129,80 @@ class Reader:
         return found[first - one * self.block:last - one * self.block]
 
 
-def encode_pieces(tokenizer, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all pieces in a row and how many each has. Pieces that begin with white space and end otherwise are
-    encoded many at a time in one string: a cut is safe between them, and the ids' lengths in bytes tell where each
-    ends. (Each character of a byte-level token stands for a byte.) The others are encoded one by one."""
-    raw, offs = text_bytes(pieces)
-    length = np.diff(offs)
-    blank = white(raw)
-    joint = blank[offs[:-1]] & ~blank[offs[1:] - 1]
-    together = np.flatnonzero(joint)
-    texts = [raw[offs[run[0]]:offs[run[-1] + 1]] if len(run) == run[-1] - run[0] + 1 else
-             np.concatenate([raw[offs[i]:offs[i + 1]] for i in run])
-             for run in np.split(together, np.arange(2000, len(together), 2000)) if len(run)]
-    alone = np.flatnonzero(~joint)
-    texts += [raw[offs[i]:offs[i + 1]] for i in alone]
-    order = np.concatenate([together, alone])
-    found = tokenizer.encode_batch_fast([t.tobytes().decode() for t in texts], add_special_tokens=False)
-    ids = np.concatenate([np.array(e.ids, np.uint32) for e in found])
-    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
-    width = np.zeros(max(vocabulary.values()) + 1, np.int64)
-    width[list(vocabulary.values())] = [len(t) for t in vocabulary]
-    ends = np.cumsum(width[ids])
-    last = np.searchsorted(ends, np.cumsum(length[order]))
-    if len(ids) and (ends[-1] != len(raw) or not np.array_equal(ends[last], np.cumsum(length[order]))):
-        raise ValueError("not a byte-level tokenizer")
-    n = np.diff(np.concatenate([[-1], last]))
-    size = np.zeros(len(length), np.int64)
-    size[order] = n
-    # Back to the order of the pieces.
-    start = np.zeros(len(length), np.int64)
-    start[order] = np.cumsum(n) - n
-    within = np.arange(len(ids)) - np.repeat(np.cumsum(size) - size, size)
-    return ids[np.repeat(start, size) + within], size
-
-
-def encode_all(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+class Encoder:
+    """A byte-level tokenizer that remembers the ids of the first ``most`` short pieces it meets; which it remembers
+    affects the work only."""
+
+    def __init__(self, tokenizer, most: int = KNOWN):
+        self.tokenizer, self.most = tokenizer, most
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a character of a token stands for a byte
+        self.width[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.known, self.ids, self.ends = pa.array([], pa.large_string()), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where in them those of each piece begin and how many they are. ``pieces``: distinct, none empty."""
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.known), -1).to_numpy(zero_copy_only=False)
+        new = np.flatnonzero(at < 0)
+        start, n = self.ends[at], self.ends[at + 1] - self.ends[at]
+        if not len(new):
+            return self.ids, start, n
+        others = pieces.take(pa.array(new))
+        ids, size = self.encode_new(others)
+        start[new], n[new] = len(self.ids) + np.cumsum(size) - size, size
+        found = np.concatenate([self.ids, ids])
+        short = pc.binary_length(others).to_numpy(zero_copy_only=False) <= LONGEST
+        kept = short & (np.cumsum(short) <= self.most - len(self.known))
+        if kept.any():
+            self.known = pa.concat_arrays([self.known, others.filter(pa.array(kept))])
+            self.ids = np.concatenate([self.ids, ids[np.repeat(kept, size)]])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size[kept])])
+        return found, start, n
+
+    def encode_new(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces in a row and how many each has. Pieces that begin with white space and end otherwise
+        are encoded many at a time in one string: a cut is safe between them, and the ids' lengths in bytes tell where
+        each ends. The others are encoded one by one."""
+        raw, offs = text_bytes(pieces)
+        length = np.diff(offs)
+        blank = white(raw)
+        joint = blank[offs[:-1]] & ~blank[offs[1:] - 1]
+        together = np.flatnonzero(joint)
+        texts = [raw[offs[run[0]]:offs[run[-1] + 1]] if len(run) == run[-1] - run[0] + 1 else
+                 np.concatenate([raw[offs[i]:offs[i + 1]] for i in run])
+                 for run in np.split(together, np.arange(200, len(together), 200)) if len(run)]
+        alone = np.flatnonzero(~joint)
+        texts += [raw[offs[i]:offs[i + 1]] for i in alone]
+        order = np.concatenate([together, alone])
+        found = self.tokenizer.encode_batch_fast([t.tobytes().decode() for t in texts], add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in found])
+        ends = np.cumsum(self.width[ids])
+        last = np.searchsorted(ends, np.cumsum(length[order]))
+        if len(ids) and (ends[-1] != len(raw) or not np.array_equal(ends[last], np.cumsum(length[order]))):
+            raise ValueError("not a byte-level tokenizer")
+        n = np.diff(np.concatenate([[-1], last]))
+        size = np.zeros(len(length), np.int64)
+        size[order] = n
+        # Back to the order of the pieces.
+        start = np.zeros(len(length), np.int64)
+        start[order] = np.cumsum(n) - n
+        within = np.arange(len(ids)) - np.repeat(np.cumsum(size) - size, size)
+        return ids[np.repeat(start, size) + within], size
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str, changed: int) -> Encoder:
+    """The encoder of a tokenizer file, last changed at ``changed``; a worker keeps it from task to task."""
+    from tokenizers import Tokenizer
+    return Encoder(Tokenizer.from_file(path))
+
+
+def encode_all(encoder: Encoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts in a row, and how many each text has; as if every text were encoded whole.
 
     The tokenizer's own rules cut a text wherever white space follows something else, and what lies between two such
-    cuts is encoded without regard to the rest. So equal stretches are encoded once. Texts with white space beyond
-    ASCII, where that cut isn't safe, are encoded whole."""
+    cuts is encoded without regard to the rest. So equal stretches are encoded once, and not again where the encoder
+    knows them from earlier texts. Texts with white space beyond ASCII, where that cut isn't safe, are encoded whole."""
     raw, offs = text_bytes(texts)
     blank = white(raw)
     begins = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1 if len(raw) else np.zeros(0, np.int64)
@@ -178,8 +216,7 @@ def encode_all(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     pieces = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(raw)).astype(np.int64)),
                                               pa.py_buffer(raw))
     coded = pieces.dictionary_encode()
-    ids, size = encode_pieces(tokenizer, coded.dictionary)
-    start = np.concatenate([[0], np.cumsum(size)])
+    ids, start, size = encoder.encode(coded.dictionary)
     code = coded.indices.to_numpy()
     n = size[code]
     ends = np.cumsum(n)
@@ -205,20 +242,17 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id
     rows = rows.repartitionByRange(F.asc_nulls_first("id")).sortWithinPartitions(F.asc_nulls_first("id"), "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         writer, part = None, TaskContext.get().partitionId()
         for batch in batches:
             for run in slices(batch, "text", SLICE):
                 if writer is None:
-                    tokenizer = Tokenizer.from_file(tokenizer_path)
+                    encoder = encoder_of(tokenizer_path, os.stat(tokenizer_path).st_mtime_ns)
                     fs, at = pafs.FileSystem.from_uri(folder)
                     fs.create_dir(at)
                     name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}.ids"  # a name for each attempt
                     writer = Writer(fs.open_output_stream(f"{at}/{name}"), bits)
-                ids, n = encode_all(tokenizer, run.column(1))
+                ids, n = encode_all(encoder, run.column(1))
                 out = np.full(len(ids) + len(n), end_id, np.uint32)
                 place = np.arange(len(ids)) + np.repeat(np.arange(len(n)), n)
                 out[place] = ids
