@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import decontam, exact_dedup, jaccard_join, langid, packing, token_count
-from tidewater.llm._common import broadcast_within, saved
+from tidewater.llm._common import broadcast_within, saved, small_batches
 from tidewater.tables import load
 
 #: Most row keys that are broadcast; with more, Spark shuffles the join.
@@ -33,6 +33,7 @@ def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no identifiable language go: those without any letter."""
+    small_batches(spark)
     return langid.annotate(docs, langid.fit(docs)).where("lang_pred <> 'und'").select(*docs.columns)
 
 
@@ -44,6 +45,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by Jaccard similarity 0.8 of 5-word shingles, the smallest id stays; a null id only where
     there is no other, and one row where several have the smallest."""
+    small_batches(spark)
     rows = keyed(docs)
     linked = saved(jaccard_join.join_components(rows, id_col=ROW).where(F.col(ROW) != F.col("component_id"))
                    .select(ROW, "component_id"), "pipeline-linked")
@@ -64,6 +66,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each document lies: bucket, shard, batch and place."""
+    small_batches(spark)
     return packing.pack_tokens(docs, token_count.vocabulary())
 
 

@@ -5,10 +5,12 @@ import random
 import re
 
 import numpy as np
+import psutil
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tidewater.llm import decontam, jaccard_join, langid, packing, pii, queries, token_count
+from tidewater.llm import _arrow, decontam, jaccard_join, langid, packing, pii, queries, token_count
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string"
@@ -146,3 +148,34 @@ def test_url_rule_column_names_rules_of_the_contract_only(spark, tmp):
         .write.parquet(f"{tmp}/pages.parquet")
     got = queries.op1_url_filters(spark, tmp).orderBy("page_id").collect()
     assert [(r.rule, r.pattern, r.verdict) for r in got] == list(urls.values())
+
+
+def test_pipeline_hands_workers_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    docs = spark.range(30, numPartitions=1).selectExpr("id as doc_id", "repeat('ab ', 350000) as text", "'en' as lang",
+                                                       "'x' as source", "1050000L as n_chars")
+    try:
+        for _, stage in corpus_pipeline.STAGES[::2]:
+            spark.conf.unset(name)
+            stage(spark, docs.limit(0), "")
+            assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) <= 5
+    finally:
+        spark.conf.set(name, held)
+
+
+def test_workers_give_memory_back_and_scan_lists_all_pairs(spark):
+    kept = [np.zeros(1000) for _ in range(40_000)]  # 300 MB in small pieces, the last one stays
+    last = kept[-1]
+    most = psutil.Process().memory_info().rss
+    del kept
+    list(_arrow.slices(pa.RecordBatch.from_pydict({"text": ["a"]}), "text"))
+    assert len(last) == 1000 and most - psutil.Process().memory_info().rss > 200e6
+    rows = spark.range(500).selectExpr("7L as bucket", "id as cls", "100 as n", "0 as pos", "0 as prio")
+    found = jaccard_join.scan(rows, 80, 512).collect()
+    assert len({(r.a, r.b) for r in found}) == len(found) == 500 * 499 // 2

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,15 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES, rows: int
         own = pa.LargeStringArray.from_buffers(len(own), pa.py_buffer(offs), pa.py_buffer(raw))
         yield batch.slice(first, last - first).set_column(at, text, own)
         first = last
+    give_back()
+
+
+def give_back() -> None:
+    """Return this worker's free memory to the system. Spark keeps workers from task to task; else each would hold the
+    most that any of its tasks took, beside the memory of the executor itself."""
     pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

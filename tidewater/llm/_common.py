@@ -12,6 +12,8 @@ from tidewater.session import scratch_path
 #: White space of the contracts: space and the control characters \t \n \v \f \r.
 WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of rows that Spark hands to a worker at once, about; its own limit of 64 MB counts twice, in both processes.
+BATCH_BYTES = "4m"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -33,6 +35,11 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Spark hands rows to workers in batches of about BATCH_BYTES."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of plans that nobody holds any more, which it does only after the
     driver's garbage was collected; else they stay on the executors' disks while the next step writes its own."""

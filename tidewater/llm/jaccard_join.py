@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm._arrow import ascending, slices, strings, text_bytes, words
+from tidewater.llm._arrow import ascending, give_back, slices, strings, text_bytes, words
 from tidewater.llm._common import broadcast_within, saved
 
 WORDS = 5
@@ -46,7 +46,7 @@ DENSE, PIVOTS, LEVELS = 512, 4, 1
 BITMAP, LONG = 1024, 1000
 MAX_BROADCAST = 1_000_000
 #: Pairs of rows that a scan lists in one piece, about.
-AT_ONCE = 1 << 17
+AT_ONCE = 1 << 15
 #: Partners of a document that a group of pairs compares in one place; more are dealt to several.
 GROUP = 2000
 
@@ -222,14 +222,19 @@ def scan(rows: DataFrame, percent: int, dense: int, low: int = 0, high: int = 0,
                 i, j = np.triu_indices(s, 1)
                 some = max(1, AT_ONCE // len(i))
                 for f in (first[at:at + some, None] for at in range(0, len(first), some)):
-                    yield pairs(x, (f + i).ravel(), (f + j).ravel())
+                    for at in range(0, len(i), AT_ONCE):
+                        part = slice(at, at + AT_ONCE)
+                        yield pairs(x, (f + i[part]).ravel(), (f + j[part]).ravel())
             if big[-1]:
                 large, keep = int(x["bucket"][start[-1]]), slice(start[-1], start[-1] + PIVOTS)
             else:
                 large, keep = None, slice(start[-1], None)
             rest = {c: v[keep] for c, v in x.items()}
         if rest is not None and not high and large is None and len(rest["bucket"]) > 1:
-            yield pairs(rest, *np.triu_indices(len(rest["bucket"]), 1))
+            i, j = np.triu_indices(len(rest["bucket"]), 1)
+            for at in range(0, len(i), AT_ONCE):
+                yield pairs(rest, i[at:at + AT_ONCE], j[at:at + AT_ONCE])
+        give_back()
 
     return rows.drop("prio").mapInArrow(run, FOUND)
 
@@ -281,6 +286,7 @@ def measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 for name, value in zip(out, (a, b, len(hub), len(one), int((hub[at] == one).sum())), strict=True):
                     out[name].append(value)
             yield pa.RecordBatch.from_pydict({n: pa.array(v, pa.int64()) for n, v in out.items()})
+        give_back()
 
     return rows.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, common bigint")
 
