@@ -867,3 +867,86 @@ def test_partitioned_write_does_not_sort_a_hot_value(spark, tmp):
     sinks.write_partitioned(many, f"{tmp}/many", ["part"])
     back = spark.read.parquet(f"{tmp}/many")
     assert back.count() == 2000 and back.where(F.col("part") != F.col("id") % 40).count() == 0
+
+
+def test_outbox_log_is_a_file_a_shard_while_it_sends(spark, tmp):
+    box = f"{tmp}/box"
+
+    def sender(rec):
+        import glob
+        return 200 if len(glob.glob(f"{box}/*/*")) <= rec["records"] else 500
+
+    reqs = spark.range(300).select((F.col("id") % 3).alias("rec"), F.col("id").cast("int").alias("step"),
+                                   F.lit("click").alias("kind"), F.lit(3).alias("records"))
+    out = outbox.send(reqs, "rec", sender, box, tries=1).collect()
+    assert len(out) == 300 and all(r.ok for r in out)
+    assert {(r.status, r.attempts, r.in_doubt) for r in outbox.statuses(spark, box).collect()} == {(200, 1, False)}
+    assert all(r.ok for r in outbox.send(reqs, "rec", lambda r: 1 // 0, box).collect())
+
+
+def test_outbox_deals_its_shards_in_turn(spark, tmp):
+    reqs = spark.range(4000).select("id", F.lit(1).alias("step"), F.lit("click").alias("kind"))
+    out = outbox.send(reqs, "id", lambda r: 200, tries=1)
+    shards = out.groupBy(F.spark_partition_id()).agg(
+        F.count_distinct(F.pmod(F.xxhash64("id"), F.lit(outbox.SHARDS))).alias("n"))
+    assert [r.n for r in shards.collect()] == [outbox.SHARDS // 4] * 4
+
+
+def test_outbox_log_that_breaks_off_and_intents_taken_back(spark, tmp):
+    box = f"{tmp}/box"
+    shard = spark.range(1, 2).select(F.pmod(F.xxhash64("id"), F.lit(outbox.SHARDS))).head()[0]
+    folder, keys = f"{box}/shard={shard}", ["a" * 64, "b" * 64, "c" * 64, "d" * 64]
+    log = outbox.Log(folder)
+    for key, status in zip(keys, (200, None, 503, 200)):
+        log.intend(key)
+        log.acknowledge(key, status, 1)
+    with open(f"{folder}/{log.own}", "r+b") as own:               # the last answer is not noted whole
+        own.truncate(os.path.getsize(own.name) - 4)
+    with open(f"{folder}/{'0' * 32}.log", "w") as own:            # nor an intent, so that one was not sent
+        own.write("e" * 60)
+
+    def known():
+        got = outbox.Log(folder)
+        mine = {k: (*got.acks.get(k, (None, None)), k not in got.acks) for k in got.intents | set(got.acks)}
+        assert mine == {r.request_key: (r.status, r.attempts, r.in_doubt) for r in outbox.statuses(spark, box).collect()}
+        return mine
+
+    before = {keys[0]: (200, 1, False), keys[1]: (None, 1, False), keys[2]: (503, 1, False)}
+    assert known() == before | {keys[3]: (None, None, True)}
+    for _ in range(2):
+        outbox.resolve(spark, box, spark.createDataFrame([(keys[3], 1, None)], f"{outbox.KEY} string, id bigint, status int"))
+        assert known() == before
+    outbox.Log(folder).intend(keys[3])                            # sent again, and again no answer
+    assert known() == before | {keys[3]: (None, None, True)}
+    outbox.Log(folder).acknowledge(keys[2], 201, 2)
+    outbox.Log(folder).acknowledge(keys[2], 500, 3)               # once it has worked, it has worked
+    assert known() == before | {keys[2]: (201, 2, False), keys[3]: (None, None, True)}
+
+
+def test_outbox_reads_both_forms_of_its_log(spark, tmp, monkeypatch):
+    import types
+    reqs = spark.createDataFrame([(i, 1, "click", None) for i in range(40)], "rec int, step int, kind string, event_id string")
+    box = f"{tmp}/box"
+    keys = {r.rec: (r.k, r.s) for r in reqs.select("rec", outbox.request_key(*reqs.columns).alias("k"),
+            F.pmod(F.xxhash64("rec"), F.lit(outbox.SHARDS)).alias("s")).collect()}
+    fs = outbox.pafs
+    with monkeypatch.context() as m:                              # a store whose files can't be appended to
+        m.setattr(outbox, "pafs", types.SimpleNamespace(FileSystem=fs.FileSystem, FileSelector=fs.FileSelector,
+                                                        LocalFileSystem=fs.SubTreeFileSystem))
+        for rec, (key, shard) in keys.items():
+            log = outbox.Log(f"{box}/shard={shard}")
+            log.intend(key)
+            if rec % 4:
+                log.acknowledge(key, 200, 1)
+            if rec % 4 == 1:
+                log.pack()
+    names = [f for _, _, files in os.walk(box) for f in files]
+    assert {f.split(".", 1)[1].split(".")[0] for f in names} == {"intent", "ack", "parquet"}
+    held = outbox.send(reqs, "rec", lambda r: 1 // 0, box, on_doubt="hold").collect()
+    assert all(r.in_doubt == (r.rec % 4 == 0) and r.ok == bool(r.rec % 4) for r in held)
+    outbox.resolve(spark, box, spark.createDataFrame([(keys[0][0], 0, None)], f"{outbox.KEY} string, id int, status int"))
+    assert len(outbox.statuses(spark, box).collect()) == 39
+    sent = outbox.send(reqs, "rec", lambda r: 201, box, tries=1).collect()
+    assert {(r.rec % 4 == 0, r.status) for r in sent} == {(True, 201), (False, 200)}
+    known = {r.request_key: (r.status, r.in_doubt) for r in outbox.statuses(spark, box).collect()}
+    assert known == {r.request_key: (r.status, False) for r in sent} and len(known) == 40
